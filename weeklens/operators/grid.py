@@ -180,3 +180,22 @@ def cell_counts(tx: DataFrame) -> DataFrame:
         (F.col("positives") / F.col("cells")).alias("positive_rate"),
         (F.col("cells") / (2 * F.col("positives"))).alias("weight_positive"),
         (F.col("cells") / (2 * F.col("negatives"))).alias("weight_negative"))
+
+
+def grid_spines(tx: DataFrame, customers: DataFrame, products: DataFrame):
+    """The two dimension tables that stand for a grid, each with the number of
+    grid rows every one of its rows becomes (column ``_rows``):
+    customers x (products x weeks) and products x (customers x weeks).
+    One small action for the three counts; nothing of grid size is built."""
+    txw = with_week(tx)
+    b = txw.agg(F.min("week").alias("lo"), F.max("week").alias("hi"),
+                F.count_distinct("customer_id").alias("nc"),
+                F.count_distinct("product_id").alias("np")).first()
+    n_weeks = int(round((b.hi - b.lo).days / 7)) + 1
+    cust = (txw.select("customer_id").distinct()
+            .join(clean_dimension(customers, "customer_id"), "customer_id", "left")
+            .withColumn("_rows", F.lit(int(b.np) * n_weeks).cast("long")))
+    prod = (txw.select("product_id").distinct()
+            .join(clean_dimension(products, "product_id"), "product_id", "left")
+            .withColumn("_rows", F.lit(int(b.nc) * n_weeks).cast("long")))
+    return cust, prod

@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from weeklens.functions.time import week_spine
 from weeklens.operators import grid as G
 from weeklens.operators.columns import constant_profile
+from weeklens.operators import drift as D
+from weeklens.operators import incremental as I
+from weeklens.operators import split as S
 from weeklens.plans.sql_fixtures import (
-    CUST, GRID_BRAND, PROD_BRAND, PROD_PART, TX_BRAND, TX_PART, with_,
+    CUST, GRID_BRAND, PROD_BRAND, PROD_PART, TX_BRAND, TX_PART, TX_WINDOWS, drift_sql,
+    grid_cte, with_,
 )
 from weeklens.sources import load_raw
 
@@ -126,3 +130,242 @@ def q_grid_constant_columns(spark, sf):
     cust_cols = [c for c in cust.columns if c != "customer_id"]
     prod_cols = [c for c in prod.columns if c != "product_id"]
     return constant_profile(spine, cust_cols).unionByName(constant_profile(pattrs, prod_cols))
+
+
+# ------------------------------------------------------------ split
+
+def _spine(spark, sf, grain="part"):
+    return G.week_bounds(load_raw(spark, sf, grain)[0]).select(
+        F.explode(week_spine(F.col("min_week"), F.col("max_week"))).alias("week"))
+
+
+SPLIT_SQL = """, w AS (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS week FROM tx),
+r AS (SELECT week, row_number() OVER (ORDER BY week) AS week_rank, count(*) OVER () AS n FROM w),
+lab AS (SELECT week, week_rank,
+           CASE WHEN week_rank <= floor(n * 0.7) THEN 'train'
+                WHEN week_rank <= floor(n * 0.7) + floor(n * 0.15) THEN 'val' ELSE 'test' END AS split
+        FROM r)
+"""
+
+
+@query("temporal_split", with_(TX_BRAND, CUST, PROD_BRAND, GRID_BRAND) + """
+, r AS (SELECT week, row_number() OVER (ORDER BY week) AS week_rank, count(*) OVER () AS n
+        FROM (SELECT DISTINCT week FROM grid))
+SELECT week, week_rank,
+       CASE WHEN week_rank <= floor(n * 0.7) THEN 'train'
+            WHEN week_rank <= floor(n * 0.7) + floor(n * 0.15) THEN 'val' ELSE 'test' END AS split
+FROM r""")
+def q_temporal_split(spark, sf):
+    """W1 on the grid's weeks (distinct weeks of the materialised grid)."""
+    return S.split_labels(G.build_grid(*load_raw(spark, sf, "brand")).df)
+
+
+@query("split_sizes", with_(TX_PART) + SPLIT_SQL + """
+, d AS (SELECT count(DISTINCT customer_id) AS nc, count(DISTINCT product_id) AS np FROM tx),
+  pos AS (SELECT week, count(*) AS positives
+          FROM (SELECT DISTINCT customer_id, product_id, week FROM tx WHERE order_id IS NOT NULL)
+          GROUP BY week)
+SELECT split, count(*) AS n_weeks, min(lab.week) AS first_week, max(lab.week) AS last_week,
+       count(*) * max(nc) * max(np) AS cells, CAST(coalesce(sum(positives), 0) AS BIGINT) AS positives
+FROM lab CROSS JOIN d LEFT JOIN pos ON pos.week = lab.week
+GROUP BY split""")
+def q_split_sizes(spark, sf):
+    """Rows and positives of train / val / test of the part-grain grid
+    (1.04 billion cells at sf0.01) by identity: cells = C x P x weeks."""
+    tx = load_raw(spark, sf)[0]
+    labels = S.split_labels(_spine(spark, sf))
+    dims = G.with_week(tx).agg(F.count_distinct("customer_id").alias("nc"),
+                               F.count_distinct("product_id").alias("np")).first()
+    pos = (G.weekly_purchases(tx).where(F.col("comprado") == 1)
+           .join(F.broadcast(labels.select("week", "split")), "week")
+           .groupBy("split").agg(F.count("*").alias("positives")))
+    per = labels.groupBy("split").agg(F.count("*").alias("n_weeks"),
+                                      F.min("week").alias("first_week"),
+                                      F.max("week").alias("last_week"))
+    return (per.join(pos, "split", "left")
+            .select("split", "n_weeks", "first_week", "last_week",
+                    (F.col("n_weeks") * F.lit(int(dims.nc) * int(dims.np))).alias("cells"),
+                    F.coalesce("positives", F.lit(0)).cast("long").alias("positives")))
+
+
+@query("latest_weeks", with_(TX_BRAND, CUST, PROD_BRAND, GRID_BRAND) + """
+SELECT * FROM grid WHERE week >= (SELECT min(week) FROM
+  (SELECT DISTINCT week FROM grid ORDER BY week DESC LIMIT 4))""")
+def q_latest_weeks(spark, sf):
+    """Grid rows of the latest 4 weeks (the history kept by the merge)."""
+    return S.latest_weeks(G.build_grid(*load_raw(spark, sf, "brand")).df, 4)
+
+
+# ------------------------------------------------------------ incremental
+
+def _windows(spark, sf):
+    """History = transactions up to 3 weeks before the last week; new = the
+    last 6 weeks. They overlap in 3 weeks, where new rows must win."""
+    tx, cust, prod = load_raw(spark, sf, "brand")
+    txw = G.with_week(tx)
+    last = txw.agg(F.max("week")).first()[0]
+    import datetime as dt
+    hist_tx = txw.where(F.col("week") <= F.lit(last - dt.timedelta(days=21))).drop("week")
+    new_tx = txw.where(F.col("week") >= F.lit(last - dt.timedelta(days=35))).drop("week")
+    return hist_tx, new_tx, cust, prod
+
+
+def _incremental(spark, sf):
+    hist_tx, new_tx, cust, prod = _windows(spark, sf)
+    hist = G.build_grid(hist_tx, cust, prod).df
+    new = G.build_grid(new_tx, cust, prod).df
+    return hist, new, I.prepare_incremental(hist, new, 4).df
+
+
+INCR_SQL = with_(TX_BRAND, CUST, PROD_BRAND, TX_WINDOWS, grid_cte("hist", "tx_hist"),
+                 grid_cte("newg", "tx_new")) + """
+, recent AS (SELECT * FROM hist WHERE week >= (SELECT min(week) FROM
+              (SELECT DISTINCT week FROM hist ORDER BY week DESC LIMIT 4))),
+combined AS (
+  SELECT * FROM newg
+  UNION ALL
+  SELECT * FROM recent r WHERE NOT EXISTS (
+    SELECT 1 FROM newg n WHERE n.customer_id = r.customer_id AND n.product_id = r.product_id
+                          AND n.week = r.week))
+"""
+
+
+@query("incremental_merge", INCR_SQL + "SELECT * FROM combined")
+def q_incremental_merge(spark, sf):
+    return _incremental(spark, sf)[2]
+
+
+@query("incremental_stats", INCR_SQL + """
+SELECT (SELECT count(*) FROM hist) AS historical_samples, (SELECT count(*) FROM newg) AS new_samples,
+       (SELECT count(*) FROM combined) AS combined_samples,
+       (SELECT count(DISTINCT week) FROM hist) AS historical_weeks,
+       (SELECT count(DISTINCT week) FROM newg) AS new_weeks,
+       (SELECT count(DISTINCT week) FROM combined) AS combined_weeks,
+       4 AS weeks_included_from_historical,
+       (SELECT min(week) FROM combined) AS min_week, (SELECT max(week) FROM combined) AS max_week""")
+def q_incremental_stats(spark, sf):
+    hist, new, combined = _incremental(spark, sf)
+    return I.incremental_stats(hist, new, combined, 4)
+
+
+# ------------------------------------------------------------ drift
+
+CUST_NUMERIC = ["region_id", "zone_id", "Y", "X", "num_deliver_per_week", "num_visit_per_week"]
+CUST_CATEGORICAL = ["customer_type"]
+ATTR_NUMERIC = CUST_NUMERIC + ["size"]
+ATTR_CATEGORICAL = ["customer_type", "brand", "category", "sub_category", "segment", "package"]
+GRID_NUMERIC = ["region_id", "zone_id", "Y", "X", "num_deliver_per_week"]
+GRID_CATEGORICAL = ["customer_type", "brand"]
+
+
+def _tests_out(df):
+    return df.select("column_name", "test", r6(F.col("statistic")).alias("statistic"),
+                     "ref_samples", "new_samples", "categories")
+
+
+def _customers(spark, sf):
+    return load_raw(spark, sf)[1]
+
+
+def _shift_numeric(c):
+    return c.withColumn("Y", F.col("Y") * 1.3)
+
+
+def _shift_category(c):
+    # a third of the customers (zones 0-7 of 25) re-labelled to one segment
+    return c.withColumn("customer_type", F.when(F.col("zone_id") < 8, F.lit("BUILDING"))
+                        .otherwise(F.col("customer_type")))
+
+
+@query("drift_same", with_(CUST) + drift_sql("cust", "cust", CUST_NUMERIC, CUST_CATEGORICAL))
+def q_drift_same(spark, sf):
+    c = _customers(spark, sf)
+    return _tests_out(D.drift_tests(c, c))
+
+
+@query("drift_numeric_shift", with_(CUST) + ", cust2 AS (SELECT * REPLACE (Y * 1.3 AS Y) FROM cust)\n"
+       + drift_sql("cust", "cust2", CUST_NUMERIC, CUST_CATEGORICAL))
+def q_drift_numeric_shift(spark, sf):
+    c = _customers(spark, sf)
+    return _tests_out(D.drift_tests(c, _shift_numeric(c)))
+
+
+@query("drift_category_shift", with_(CUST) + """, cust2 AS (SELECT * REPLACE (
+  CASE WHEN zone_id < 8 THEN 'BUILDING' ELSE customer_type END AS customer_type) FROM cust)
+""" + drift_sql("cust", "cust2", CUST_NUMERIC, CUST_CATEGORICAL))
+def q_drift_category_shift(spark, sf):
+    c = _customers(spark, sf)
+    return _tests_out(D.drift_tests(c, _shift_category(c)))
+
+
+def _purchase_attrs(spark, sf):
+    tx, cust, prod = load_raw(spark, sf)
+    return (tx.join(G.clean_dimension(cust, "customer_id"), "customer_id", "left")
+            .join(G.clean_dimension(prod, "product_id"), "product_id", "left")
+            .select("purchase_date", *ATTR_NUMERIC, *ATTR_CATEGORICAL))
+
+
+TIME_SQL = with_(TX_PART, CUST, PROD_PART) + """, pa AS (
+  SELECT tx.purchase_date, cust.*, prod.* FROM tx LEFT JOIN cust USING (customer_id)
+  LEFT JOIN prod USING (product_id)),
+before AS (SELECT * FROM pa WHERE purchase_date < TIMESTAMP '1998-01-01'),
+after AS (SELECT * FROM pa WHERE purchase_date >= TIMESTAMP '1998-01-01')
+"""
+
+
+@query("drift_time", TIME_SQL + drift_sql("before", "after", ATTR_NUMERIC, ATTR_CATEGORICAL))
+def q_drift_time(spark, sf):
+    """Purchases before 1998 against purchases from 1998: did the customer and
+    product mix of what is bought move?"""
+    pa = _purchase_attrs(spark, sf)
+    cut = F.lit("1998-01-01").cast("timestamp")
+    ts = F.col("purchase_date").cast("timestamp")
+    return _tests_out(D.drift_tests(pa.where(ts < cut), pa.where(ts >= cut)))
+
+
+@query("drift_report_time")
+def q_drift_report_time(spark, sf):
+    """Full report with p-values and flags (driver-side p-values: no SQL)."""
+    pa = _purchase_attrs(spark, sf)
+    cut = F.lit("1998-01-01").cast("timestamp")
+    ts = F.col("purchase_date").cast("timestamp")
+    rep = D.detect_drift(pa.where(ts < cut), pa.where(ts >= cut))
+    return D.report_frame(spark, rep)
+
+
+@query("drift_grid", with_(TX_BRAND, CUST, PROD_BRAND, TX_WINDOWS, grid_cte("hist", "tx_hist"),
+                           grid_cte("newg", "tx_new"))
+       + drift_sql("hist", "newg", GRID_NUMERIC, GRID_CATEGORICAL))
+def q_drift_grid(spark, sf):
+    """Drift of the history grid against the new-weeks grid, computed on the
+    weighted dimension spines; the oracle tests the two full grids."""
+    hist_tx, new_tx, cust, prod = _windows(spark, sf)
+    t = D.grid_drift_tests(G.grid_spines(hist_tx, cust, prod), G.grid_spines(new_tx, cust, prod),
+                           GRID_NUMERIC, GRID_CATEGORICAL)
+    return _tests_out(t)
+
+
+@query("drift_summary_grid")
+def q_drift_summary_grid(spark, sf):
+    """A6 + M11 on the grid scenario (p-values on the driver)."""
+    hist_tx, new_tx, cust, prod = _windows(spark, sf)
+    rows = D.grid_drift_tests(G.grid_spines(hist_tx, cust, prod),
+                              G.grid_spines(new_tx, cust, prod),
+                              GRID_NUMERIC, GRID_CATEGORICAL).collect()
+    rep = D.finish_report(rows, GRID_NUMERIC, GRID_CATEGORICAL)
+    return D.summary_frame(spark, rep)
+
+
+@query("mean_shift", with_(CUST) + """, cust2 AS (SELECT * REPLACE (Y * 1.3 AS Y) FROM cust)
+SELECT a.column_name, round(a.m, 6) AS mean_before, round(b.m, 6) AS mean_after,
+       round(CASE WHEN a.m <> 0 THEN (b.m - a.m) / abs(a.m) * 100 END, 6) AS pct_change
+FROM (SELECT 'Y' AS column_name, avg(Y) AS m FROM cust UNION ALL SELECT 'X', avg(X) FROM cust
+      UNION ALL SELECT 'num_deliver_per_week', avg(num_deliver_per_week) FROM cust) a
+JOIN (SELECT 'Y' AS column_name, avg(Y) AS m FROM cust2 UNION ALL SELECT 'X', avg(X) FROM cust2
+      UNION ALL SELECT 'num_deliver_per_week', avg(num_deliver_per_week) FROM cust2) b
+USING (column_name)""")
+def q_mean_shift(spark, sf):
+    c = _customers(spark, sf)
+    m = D.mean_shift(c, _shift_numeric(c), ["Y", "X", "num_deliver_per_week"])
+    return m.select("column_name", *[r6(F.col(x)).alias(x)
+                                     for x in ("mean_before", "mean_after", "pct_change")])
