@@ -24,11 +24,18 @@ def running_sums(df: DataFrame, groups: Sequence[str], order: str, values: Seque
     (groups, order) value, so ties are not an issue."""
     groups = list(groups)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*groups).agg(
-        F.percentile_approx(order, probs, accuracy).alias("_cuts"))
-    # one row per group, ``buckets`` numbers each: bounded by the group count
+    if groups:
+        cuts = df.groupBy(*groups).agg(
+            F.percentile_approx(order, probs, accuracy).alias("_cuts"))
+        # one row per group, ``buckets`` numbers each: bounded by the group count
+        b = df.join(F.broadcast(cuts), groups)
+    else:
+        # a single group: its cut points are one bounded array, used as a literal
+        cut = df.agg(F.percentile_approx(order, probs, accuracy).alias("c")).first().c or []
+        b = df.withColumn("_cuts", F.array(*[F.lit(x) for x in cut]) if cut
+                          else F.array().cast(f"array<{dict(df.dtypes)[order]}>"))
     bucket = F.size(F.filter("_cuts", lambda x: x < F.col(order)))
-    b = df.join(F.broadcast(cuts), groups).withColumn("_bk", bucket).drop("_cuts")
+    b = b.withColumn("_bk", bucket).drop("_cuts")
 
     tot = b.groupBy(*groups, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     before = (Window.partitionBy(*groups).orderBy("_bk")

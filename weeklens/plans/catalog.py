@@ -18,6 +18,9 @@ from weeklens.operators.columns import constant_profile
 from weeklens.operators import drift as D
 from weeklens.operators import incremental as I
 from weeklens.operators import split as S
+from weeklens.operators import metrics as M
+from weeklens.operators import scoring as SC
+from weeklens.functions.tiers import score_tiers
 from weeklens.plans.sql_fixtures import (
     CUST, GRID_BRAND, PROD_BRAND, PROD_PART, TX_BRAND, TX_PART, TX_WINDOWS, drift_sql,
     grid_cte, with_,
@@ -369,3 +372,159 @@ def q_mean_shift(spark, sf):
     m = D.mean_shift(c, _shift_numeric(c), ["Y", "X", "num_deliver_per_week"])
     return m.select("column_name", *[r6(F.col(x)).alias(x)
                                      for x in ("mean_before", "mean_after", "pct_change")])
+
+
+# ------------------------------------------------------------ scoring
+
+GRID_ALL = with_(TX_BRAND, CUST, PROD_BRAND, GRID_BRAND)
+
+FRAME_SQL = """, lw AS (SELECT max(week) AS lw FROM grid),
+ci AS (SELECT customer_id,
+         arg_max(customer_type, CASE WHEN customer_type IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS customer_type,
+         arg_max(region_id, CASE WHEN region_id IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS region_id,
+         arg_max(zone_id, CASE WHEN zone_id IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS zone_id,
+         arg_max(Y, CASE WHEN Y IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS Y,
+         arg_max(X, CASE WHEN X IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS X,
+         arg_max(num_deliver_per_week, CASE WHEN num_deliver_per_week IS NOT NULL
+                 THEN epoch_ms(week) * 1000 + product_id END) AS num_deliver_per_week
+       FROM grid GROUP BY customer_id),
+pi AS (SELECT product_id,
+         arg_max(brand, CASE WHEN brand IS NOT NULL THEN epoch_ms(week) * 100000 + customer_id END) AS brand
+       FROM grid GROUP BY product_id),
+frame AS (SELECT ci.customer_id, pi.product_id, lw + INTERVAL 7 DAY AS week,
+                 ci.customer_type, ci.region_id, ci.zone_id, ci.Y, ci.X, ci.num_deliver_per_week, pi.brand
+          FROM ci CROSS JOIN pi CROSS JOIN lw),
+pos AS (SELECT customer_id, product_id, week FROM grid WHERE comprado = 1),
+loy AS (SELECT p.customer_id, p.product_id, count(*) / max(w.wk) AS s
+        FROM pos p JOIN (SELECT customer_id, count(DISTINCT week) AS wk FROM pos GROUP BY 1) w
+        USING (customer_id) GROUP BY 1, 2),
+scored AS (SELECT frame.*, CAST(coalesce(loy.s, 0.0) AS DOUBLE) AS probabilidad_compra
+           FROM frame LEFT JOIN loy USING (customer_id, product_id))
+"""
+
+
+@query("scoring_frame", GRID_ALL + FRAME_SQL + "SELECT * FROM frame")
+def q_scoring_frame(spark, sf):
+    """Every customer x product pair for the week after the grid's last week,
+    with each side's latest attributes."""
+    return SC.scoring_frame(G.build_grid(*load_raw(spark, sf, "brand")).df).df
+
+
+@query("next_week_positives", GRID_ALL + FRAME_SQL + """
+SELECT customer_id, product_id, week, round(probabilidad_compra, 6) AS probabilidad_compra,
+       1 AS prediccion_compra,
+       CASE WHEN probabilidad_compra > 0.7 THEN 'high' ELSE 'medium' END AS confidence_level,
+       CASE WHEN probabilidad_compra > 0.8 THEN 'immediate_action'
+            WHEN probabilidad_compra > 0.6 THEN 'follow_up' ELSE 'moderate_opportunity' END AS action_tier,
+       CASE WHEN probabilidad_compra > 0.7 THEN 'high' WHEN probabilidad_compra >= 0.5 THEN 'medium'
+            WHEN probabilidad_compra >= 0.3 THEN 'moderate' ELSE 'low' END AS probability_band
+FROM scored WHERE probabilidad_compra > 0.5""")
+def q_next_week_positives(spark, sf):
+    """P11 + W3 + S7-S10 on the loyalty baseline: the ranked list of pairs
+    predicted to buy next week, with their tiers."""
+    scored = SC.baseline_scored(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    ranked = score_tiers(scored).where(F.col("prediccion_compra") == 1)
+    return (ranked.orderBy(F.col("probabilidad_compra").desc(), "customer_id", "product_id")
+            .select("customer_id", "product_id", "week",
+                    r6(F.col("probabilidad_compra")).alias("probabilidad_compra"),
+                    "prediccion_compra", "confidence_level", "action_tier", "probability_band"))
+
+
+@query("prediction_summary", GRID_ALL + FRAME_SQL + """
+SELECT count(*) AS total_combinations,
+       count(*) FILTER (WHERE probabilidad_compra > 0.5) AS positive_predictions,
+       round(count(*) FILTER (WHERE probabilidad_compra > 0.5) / count(*), 6) AS positive_rate,
+       round(coalesce(avg(probabilidad_compra) FILTER (WHERE probabilidad_compra > 0.5), 0), 6)
+         AS avg_probability,
+       round(coalesce(max(probabilidad_compra) FILTER (WHERE probabilidad_compra > 0.5), 0), 6)
+         AS max_probability
+FROM scored""")
+def q_prediction_summary(spark, sf):
+    scored = SC.baseline_scored(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    s = SC.prediction_summary(scored)
+    return s.select("total_combinations", "positive_predictions",
+                    *[r6(F.col(c)).alias(c) for c in
+                      ("positive_rate", "avg_probability", "max_probability")])
+
+
+# ------------------------------------------------------------ metrics
+
+def _val_pairs(spark, sf):
+    """(score, tp, n) groups of the brand grid's validation weeks, scored by
+    loyalty learnt on the training weeks. Built from purchase cells and
+    counts: the val grid itself is never materialised."""
+    tx = load_raw(spark, sf, "brand")[0]
+    t_end, v_end = S.split_bounds(_spine(spark, sf, "brand"))
+    cells = G.weekly_purchases(tx).where(F.col("comprado") == 1)
+    dims = G.with_week(tx).agg(F.count_distinct("customer_id").alias("nc"),
+                               F.count_distinct("product_id").alias("np")).first()
+    w_val = int(round((v_end - t_end).days / 7))
+    train = cells.where(F.col("week") <= F.lit(t_end))
+    per_pair = train.groupBy("customer_id", "product_id").agg(F.count("*").alias("k"))
+    per_cust = train.groupBy("customer_id").agg(F.count_distinct("week").alias("w"))
+    loy = per_pair.join(per_cust, "customer_id").select(
+        "customer_id", "product_id", (F.col("k") / F.col("w")).alias("score"))
+    val = (cells.where((F.col("week") > F.lit(t_end)) & (F.col("week") <= F.lit(v_end)))
+           .groupBy("customer_id", "product_id").agg(F.count("*").alias("tp")))
+    pairs = (loy.join(val, ["customer_id", "product_id"], "full")
+             .select(F.coalesce("score", F.lit(0.0)).alias("score"),
+                     F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
+                     F.lit(w_val).cast("long").alias("n")))
+    rest = pairs.agg(F.count("*").alias("k")).select(
+        F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("tp"),
+        ((F.lit(int(dims.nc) * int(dims.np)) - F.col("k")) * w_val).cast("long").alias("n"))
+    return pairs.unionByName(rest)
+
+
+EVAL_SQL = GRID_ALL + """, r AS (SELECT week, row_number() OVER (ORDER BY week) AS wr, count(*) OVER () AS n
+           FROM (SELECT DISTINCT week FROM grid)),
+lab AS (SELECT week, CASE WHEN wr <= floor(n * 0.7) THEN 'train'
+                          WHEN wr <= floor(n * 0.7) + floor(n * 0.15) THEN 'val' ELSE 'test' END AS split
+        FROM r),
+g2 AS (SELECT grid.*, lab.split FROM grid JOIN lab USING (week)),
+tr AS (SELECT customer_id, product_id, week FROM g2 WHERE split = 'train' AND comprado = 1),
+loy AS (SELECT t.customer_id, t.product_id, count(*) / max(w.wk) AS s
+        FROM tr t JOIN (SELECT customer_id, count(DISTINCT week) AS wk FROM tr GROUP BY 1) w
+        USING (customer_id) GROUP BY 1, 2),
+v AS (SELECT g2.comprado AS y, CAST(coalesce(loy.s, 0.0) AS DOUBLE) AS s
+      FROM g2 LEFT JOIN loy USING (customer_id, product_id) WHERE split = 'val')
+"""
+
+
+@query("eval_metrics", EVAL_SQL + """, h AS (SELECT s, sum(y) AS tp, count(*) AS n FROM v GROUP BY s),
+c AS (SELECT tp, sum(tp) OVER (ORDER BY s DESC) AS ctp, sum(n) OVER (ORDER BY s DESC) AS cn FROM h),
+ap AS (SELECT sum(tp * ctp / cn) / sum(tp) AS average_precision FROM c),
+m AS (SELECT count(*) AS n_rows, sum(y) AS positives,
+             count(*) FILTER (WHERE s > 0.5) AS pp, sum(y) FILTER (WHERE s > 0.5) AS tpp,
+             count(*) FILTER (WHERE s <= 0.5 AND y = 0) AS tn,
+             min(s) AS mn, max(s) AS mx, avg(s) AS mean, quantile_cont(s, 0.5) AS med FROM v)
+SELECT n_rows, positives,
+       round(coalesce(average_precision, 0), 6) AS average_precision,
+       round(CASE WHEN pp > 0 THEN tpp / pp ELSE 0 END, 6) AS precision,
+       round(CASE WHEN positives > 0 THEN coalesce(tpp, 0) / positives ELSE 0 END, 6) AS recall,
+       round(CASE WHEN pp + positives > 0 THEN 2 * coalesce(tpp, 0) / (pp + positives) ELSE 0 END, 6)
+         AS f1_score,
+       round((coalesce(tpp, 0) + tn) / n_rows, 6) AS accuracy,
+       round(mn, 6) AS score_min, round(mx, 6) AS score_max, round(mean, 6) AS score_mean,
+       round(med, 6) AS score_median
+FROM m, ap""")
+def q_eval_metrics(spark, sf):
+    """A8-A10 of the loyalty baseline on the validation weeks; the oracle
+    scores the materialised validation grid row by row."""
+    g = _val_pairs(spark, sf)
+    ap = M.average_precision(g).first()[0]
+    tm = M.threshold_metrics(g)
+    return tm.select("n_rows", "positives", r6(F.lit(ap)).alias("average_precision"),
+                     *[r6(F.col(c)).alias(c) for c in
+                       ("precision", "recall", "f1_score", "accuracy", "score_min", "score_max",
+                        "score_mean", "score_median")])
+
+
+@query("class_balance", GRID_ALL + """
+SELECT comprado, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share,
+       round(sum(count(*)) OVER () / (2.0 * count(*)), 6) AS class_weight
+FROM grid GROUP BY comprado""")
+def q_class_balance(spark, sf):
+    cb = M.class_balance(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    return cb.select("comprado", "n", r6(F.col("share")).alias("share"),
+                     r6(F.col("class_weight")).alias("class_weight"))
