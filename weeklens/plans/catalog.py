@@ -19,6 +19,9 @@ from weeklens.operators import drift as D
 from weeklens.operators import incremental as I
 from weeklens.operators import split as S
 from weeklens.operators import metrics as M
+from weeklens.operators import model as MD
+from weeklens.operators import explain as EX
+from weeklens.operators import features as FE
 from weeklens.operators import scoring as SC
 from weeklens.functions.tiers import score_tiers
 from weeklens.plans.sql_fixtures import (
@@ -528,3 +531,138 @@ def q_class_balance(spark, sf):
     cb = M.class_balance(G.build_grid(*load_raw(spark, sf, "brand")).df)
     return cb.select("comprado", "n", r6(F.col("share")).alias("share"),
                      r6(F.col("class_weight")).alias("class_weight"))
+
+
+# ------------------------------------------------------------ features
+
+def _brand_split(spark, sf):
+    return S.temporal_split(G.build_grid(*load_raw(spark, sf, "brand")).df)
+
+
+def _num_sql(c):
+    x = f"coalesce(CAST({c} AS DOUBLE), (SELECT med FROM m_{c}))"
+    return f"""m_{c} AS (SELECT quantile_cont({c}, 0.5) AS med FROM train),
+q_{c} AS (SELECT quantile_cont({x}, 0.03) AS lo, quantile_cont({x}, 0.97) AS hi0 FROM train),
+b_{c} AS (SELECT lo, CASE WHEN hi0 > lo THEN hi0 ELSE lo + 1e-6 END AS hi FROM q_{c}),
+s_{c} AS (SELECT avg(least(greatest({x}, lo), hi)) AS mu, stddev_pop(least(greatest({x}, lo), hi)) AS sd
+          FROM train, b_{c})"""
+
+
+def _num_rows(c):
+    return f"""SELECT '{c}' AS feature, 'median' AS stat, med AS value, NULL AS text FROM m_{c}
+UNION ALL SELECT '{c}', 'winsor_lower', lo, NULL FROM b_{c}
+UNION ALL SELECT '{c}', 'winsor_upper', hi, NULL FROM b_{c}
+UNION ALL SELECT '{c}', 'mean', mu, NULL FROM s_{c}
+UNION ALL SELECT '{c}', 'scale', CASE WHEN sd > 0 THEN sd ELSE 1 END, NULL FROM s_{c}"""
+
+
+FIT_NUM = ["region_id", "Y", "X", "num_deliver_per_week"]
+FIT_CAT = ["customer_type", "brand"]
+FIT_SQL = (EVAL_SQL + ", train AS (SELECT * FROM g2 WHERE split = 'train'),\n"
+           + ",\n".join(_num_sql(c) for c in FIT_NUM) + """,
+ed AS (SELECT unnest(quantile_cont(CAST(num_deliver_per_week AS DOUBLE),
+                     [0, 1/7, 2/7, 3/7, 4/7, 5/7, 6/7, 1])) AS e,
+              unnest(range(8)) AS i FROM train),
+ek AS (SELECT e, i, e - lag(e) OVER (ORDER BY i) AS gap FROM ed),
+edges AS (SELECT e, row_number() OVER (ORDER BY i) - 1 AS k FROM ek WHERE gap IS NULL OR gap > 1e-8),
+modes AS (SELECT column_name, value FROM (
+   SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r
+   FROM (SELECT 'customer_type' AS column_name, customer_type AS value, count(*) AS n FROM train
+         WHERE customer_type IS NOT NULL GROUP BY 2
+         UNION ALL SELECT 'brand', brand, count(*) FROM train WHERE brand IS NOT NULL GROUP BY 2)) WHERE r = 1),
+wk AS (SELECT avg(CAST(weekofyear(week) AS DOUBLE)) AS mu, stddev_pop(CAST(weekofyear(week) AS DOUBLE)) AS sd
+       FROM train)
+SELECT feature, stat, round(value, 6) AS value, text FROM (
+""" + "\nUNION ALL ".join(_num_rows(c) for c in FIT_NUM) + """
+UNION ALL SELECT 'num_deliver_per_week', 'edge_' || CAST(k AS VARCHAR), e, NULL FROM edges
+UNION ALL SELECT column_name, 'mode', NULL, value FROM modes
+UNION ALL SELECT 'week', 'mean', mu, NULL FROM wk
+UNION ALL SELECT 'week', 'scale', CASE WHEN sd > 0 THEN sd ELSE 1 END, NULL FROM wk)""")
+
+
+@query("feature_fit", FIT_SQL)
+def q_feature_fit(spark, sf):
+    """F1, F2, F4, F5, F7, F9 fitted on the whole training split of the grid."""
+    train = _brand_split(spark, sf)[0]
+    ff = FE.fit_features(train, FE.FeatureSpec.for_frame(train))
+    rows = FE.fitted_table(ff)
+    df = spark.createDataFrame(rows, "feature string, stat string, value double, text string")
+    return df.select("feature", "stat", r6(F.col("value")).alias("value"), "text")
+
+
+# ------------------------------------------------------------ model (M1-M10, IO8)
+
+_MODELS: dict = {}
+
+
+def trained(spark, sf, tune=False, n_trials=3):
+    """One fit per (session, data dir, search setting); later queries reuse it."""
+    key = (id(spark), sf, tune, n_trials)
+    if key not in _MODELS:
+        tr, va, _ = _brand_split(spark, sf)
+        _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials), va)
+    return _MODELS[key]
+
+
+@query("train_model")
+def q_train_model(spark, sf):
+    """The forest with the default parameters, trained on
+    the capped training weeks, with its validation metrics."""
+    res, _ = trained(spark, sf)
+    m = res.metrics
+    row = (res.train_rows, res.val_rows, *[float(m[k] or 0) for k in
+           ("average_precision", "precision", "recall", "f1_score")],
+           int(res.params["n_estimators"]), int(res.params["max_depth"]),
+           str(res.params["max_features"]))
+    return spark.createDataFrame([row], "train_samples long, val_samples long, "
+                                 "average_precision double, precision double, recall double, "
+                                 "f1_score double, n_estimators int, max_depth int, max_features string")
+
+
+@query("train_trials")
+def q_train_trials(spark, sf):
+    """M3: seeded random search over the fast space on the fixed validation
+    weeks (3 trials here; the weekly run asks for more)."""
+    res, _ = trained(spark, sf, tune=True, n_trials=3)
+    cols = ["trial_number", "n_bins", "winsor_lower", "winsor_upper", "n_estimators",
+            "max_depth", "max_features", "average_precision", "precision", "recall", "f1_score"]
+    rows = [tuple(t[c] if c != "max_features" else str(t[c]) for c in cols) for t in res.trials]
+    return spark.createDataFrame(rows, "trial_number int, n_bins int, winsor_lower int, "
+                                 "winsor_upper int, n_estimators int, max_depth int, "
+                                 "max_features string, average_precision double, "
+                                 "precision double, recall double, f1_score double")
+
+
+@query("model_importance")
+def q_model_importance(spark, sf):
+    res, _ = trained(spark, sf)
+    return EX.importance(spark, res.model, res.features, 20)
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    res, va = trained(spark, sf)
+    return EX.permutation_importance(res.model, va)
+
+
+@query("partial_dependence")
+def q_partial_dependence(spark, sf):
+    res, va = trained(spark, sf)
+    return EX.partial_dependence(spark, res.model, res.features, va)
+
+
+@query("score_next_week")
+def q_score_next_week(spark, sf):
+    """M6: every pair of the grid scored by the forest for next week; the
+    positives, highest first."""
+    res, _ = trained(spark, sf)
+    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    scored = MD.score(res.model, SC.scoring_frame(grid).df)
+    return SC.positives_ranked(scored)
+
+
+@query("score_next_week_summary")
+def q_score_next_week_summary(spark, sf):
+    res, _ = trained(spark, sf)
+    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    return SC.prediction_summary(MD.score(res.model, SC.scoring_frame(grid).df))
