@@ -22,6 +22,8 @@ from weeklens.operators import metrics as M
 from weeklens.operators import model as MD
 from weeklens.operators import explain as EX
 from weeklens.operators import features as FE
+from weeklens.operators import profile as PR
+from weeklens.sources import io as IO
 from weeklens.operators import scoring as SC
 from weeklens.functions.tiers import score_tiers
 from weeklens.plans.sql_fixtures import (
@@ -666,3 +668,105 @@ def q_score_next_week_summary(spark, sf):
     res, _ = trained(spark, sf)
     grid = G.build_grid(*load_raw(spark, sf, "brand")).df
     return SC.prediction_summary(MD.score(res.model, SC.scoring_frame(grid).df))
+
+
+# ------------------------------------------------------------ profile (A17-A19), extraction
+
+@query("profile_dataset", with_(TX_PART, CUST, PROD_PART) + """
+SELECT (SELECT count(*) FROM tx) AS transactions,
+       (SELECT count(DISTINCT customer_id) FROM cust) AS customers_registered,
+       (SELECT count(DISTINCT customer_id) FROM tx) AS customers_active,
+       (SELECT count(DISTINCT product_id) FROM prod) AS products_catalogue,
+       (SELECT count(DISTINCT product_id) FROM tx) AS products_sold,
+       (SELECT count(DISTINCT order_id) FROM tx) AS orders,
+       (SELECT min(purchase_date) FROM tx) AS first_date,
+       (SELECT max(purchase_date) FROM tx) AS last_date""")
+def q_profile_dataset(spark, sf):
+    return PR.dataset_profile(*load_raw(spark, sf))
+
+
+PROFILE_NUM_CUST = ["region_id", "zone_id", "Y", "X", "num_deliver_per_week"]
+
+
+@query("profile_numeric", with_(CUST, PROD_PART) + """, u AS (
+""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM cust"
+                         for c in PROFILE_NUM_CUST)
+   + """ UNION ALL SELECT 'size', size FROM prod)
+SELECT column_name, count(v) AS n, count(DISTINCT v) AS n_distinct, round(min(v), 6) AS min,
+       round(max(v), 6) AS max, round(quantile_cont(v, 0.5), 6) AS median
+FROM u GROUP BY column_name""")
+def q_profile_numeric(spark, sf):
+    _, cust, prod = load_raw(spark, sf)
+    p = PR.numeric_profile(cust, PROFILE_NUM_CUST).unionByName(PR.numeric_profile(prod, ["size"]))
+    return p.select("column_name", "n", "n_distinct",
+                    *[r6(F.col(c)).alias(c) for c in ("min", "max", "median")])
+
+
+@query("category_share", with_(CUST, PROD_PART) + """, u AS (
+  SELECT 'customer_type' AS column_name, customer_type AS value, 'c' AS t FROM cust
+  UNION ALL SELECT 'brand', brand, 'p' FROM prod UNION ALL SELECT 'sub_category', sub_category, 'p' FROM prod
+  UNION ALL SELECT 'segment', segment, 'p' FROM prod UNION ALL SELECT 'package', package, 'p' FROM prod)
+SELECT column_name, value, count(*) AS n,
+       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY column_name), 6) AS pct
+FROM u GROUP BY column_name, value""")
+def q_category_share(spark, sf):
+    _, cust, prod = load_raw(spark, sf)
+    c = PR.category_share(cust, ["customer_type"]).unionByName(
+        PR.category_share(prod, ["brand", "sub_category", "segment", "package"]))
+    return c.select("column_name", "value", "n", r6(F.col("pct")).alias("pct"))
+
+
+@query("busiest_weeks", with_(TX_PART) + """
+SELECT weekofyear(purchase_date) AS week_of_year, count(*) AS transactions
+FROM tx GROUP BY 1 ORDER BY transactions DESC, week_of_year LIMIT 10""")
+def q_busiest_weeks(spark, sf):
+    return PR.busiest_weeks(load_raw(spark, sf)[0], 10)
+
+
+def _star(spark, sf):
+    g = G.build_grid(*load_raw(spark, sf, "brand")).df
+    return PR.grid_to_star(g, SC.customer_columns(g), SC.product_columns(g))
+
+
+@query("star_purchases", GRID_ALL + """
+SELECT row_number() OVER (ORDER BY week, customer_id, product_id) AS order_id,
+       customer_id, product_id, week AS purchase_date
+FROM grid WHERE comprado = 1""")
+def q_star_purchases(spark, sf):
+    """X1 + W7: the purchase table recovered from the grid, order ids dense in
+    (week, customer, product) order."""
+    return _star(spark, sf)[0]
+
+
+@query("star_customers", GRID_ALL + """
+SELECT DISTINCT customer_id, customer_type, region_id, zone_id, Y, X, num_deliver_per_week FROM grid""")
+def q_star_customers(spark, sf):
+    return _star(spark, sf)[1]
+
+
+# ------------------------------------------------------------ sinks and file scoring (IO2-IO4, M7, P12)
+
+@query("stage_roundtrip", with_(TX_PART) + """
+SELECT customer_id, product_id, week,
+       max(CASE WHEN order_id IS NOT NULL THEN 1 ELSE 0 END) AS comprado
+FROM tx GROUP BY 1, 2, 3""")
+def q_stage_roundtrip(spark, sf):
+    """IO2: weekly purchases written partitioned by week to the shared folder
+    and read back."""
+    path = IO.new_stage_path(spark, "weekly_purchases")
+    IO.write_stage(G.weekly_purchases(load_raw(spark, sf)[0]), path, ["week"])
+    back = IO.read_stage(spark, path)
+    return back.select("customer_id", "product_id", F.col("week").cast("timestamp"), "comprado")
+
+
+@query("score_file")
+def q_score_file(spark, sf):
+    """M7: the next-week pairs exported as a ten-column scoring file (CSV),
+    read back with the required-column check, scored by the forest; the
+    positives ranked with their tiers."""
+    from weeklens.plans.scoring import export_scoring_file, score_file
+    res, _ = trained(spark, sf)
+    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    path = IO.new_stage_path(spark, "scoring_file")
+    export_scoring_file(SC.scoring_frame(grid).df, path)
+    return score_file(spark, res.model, path, res.features)
