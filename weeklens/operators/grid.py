@@ -75,6 +75,15 @@ class Grid:
     n_customers: int
     n_products: int
     dropped: list = field(default_factory=list)
+    customers: DataFrame | None = None   # the customer spine with its grid attributes
+    products: DataFrame | None = None    # the listed products with their grid attributes
+
+    def weeks(self) -> DataFrame:
+        """The week spine of the grid (one row per week), without touching
+        the grid rows."""
+        spark = self.df.sparkSession
+        return spark.range(1).select(F.explode(week_spine(self.first_week, self.last_week))
+                                     .alias("week"))
 
     @property
     def n_cells(self) -> int:
@@ -137,7 +146,10 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
         dropped = grid_constant_columns(spine, prod_attrs, int(b.nc), n_products, n_weeks,
                                         cust_cols, prod_cols, tx, keep)
         grid = grid.drop(*dropped)
-    return Grid(grid, b.lo, b.hi, n_weeks, int(b.nc), n_products, dropped)
+    keep_c = [c for c in cust_cols if c not in dropped]
+    keep_p = [c for c in prod_cols if c not in dropped]
+    return Grid(grid, b.lo, b.hi, n_weeks, int(b.nc), n_products, dropped,
+                spine.select("customer_id", *keep_c), prod_attrs.select("product_id", *keep_p))
 
 
 def grid_constant_columns(spine, prod_attrs, nc, np_, nw, cust_cols, prod_cols, tx, keep):

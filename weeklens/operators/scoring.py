@@ -24,14 +24,37 @@ DROP_FOR_FEATURES = ("comprado", "customer_id", "product_id")
 
 
 def latest_attributes(grid: DataFrame, key: str, cols: Sequence[str],
-                      other: str, week: str = "week") -> DataFrame:
+                      other: str, week: str = "week",
+                      broadcast_keys: int = 1_000_000) -> DataFrame:
     """A3: per ``key``, each column's last non-null value by week (``other``
-    key breaks ties), as pandas ``sort_values(week).groupby(key).last()``."""
-    order = F.struct(F.col(week), F.col(other))
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols]
-    if not aggs:
-        return grid.select(key).distinct()
-    return grid.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    key breaks ties), as pandas ``sort_values(week).groupby(key).last()``.
+
+    A hash aggregate first finds, per key and column, the last week with a
+    value. When the keys are few enough to broadcast (checked count), the grid
+    is cut to the rows of those weeks map-side and only they go through the
+    (sort-based) ``max_by``; otherwise ``max_by`` runs over all rows, which is
+    slower but has no size limit.
+    """
+    g = grid.where(F.col(key).isNotNull())
+    if not cols:
+        return g.select(key).distinct()
+    lw_cols = [f"_lw{i}" for i in range(len(cols))]
+    lw = g.groupBy(key).agg(*[F.max(F.when(F.col(c).isNotNull(), F.col(week))).alias(n)
+                              for c, n in zip(cols, lw_cols)])
+    n_keys = lw.count()
+    if n_keys > broadcast_keys:
+        order = F.struct(F.col(week), F.col(other))
+        return g.groupBy(key).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
+                                    for c in cols])
+    hit = None
+    for n in lw_cols:
+        cond = F.col(week) == F.col(n)
+        hit = cond if hit is None else (hit | cond)
+    rows = g.join(F.broadcast(lw), key).where(hit)
+    picked = rows.groupBy(key).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull() & (F.col(week) == F.col(n)), F.col(other)))
+        .alias(c) for c, n in zip(cols, lw_cols)])
+    return lw.select(key).join(picked, key, "left")
 
 
 def customer_columns(grid: DataFrame) -> list[str]:
@@ -62,24 +85,36 @@ class ScoringFrame:
     products: DataFrame       # latest product attributes, one row per product
 
 
-def scoring_frame(grid: DataFrame, fill_gaps: bool = True,
+def scoring_frame(grid, fill_gaps: bool = True,
                   max_listed_products: int = 100_000, extra_customer: DataFrame | None = None,
                   customer_extra_cols: Sequence[str] = ()) -> ScoringFrame:
     """M6 up to the model: pairs x next week with latest attributes, gaps
-    filled (F12). ``extra_customer`` lets a caller attach per-customer columns
-    (e.g. a map of scores) before the product explode.
+    filled (F12). ``grid`` is a grid DataFrame (stored, merged: attributes
+    are aggregated from it) or a ``grid.Grid`` just built (its dimension
+    spines are the latest attributes, as every row of a key carries the same
+    ones, so no pass over the grid rows is needed). ``extra_customer`` lets a
+    caller attach per-customer columns (e.g. a map of scores) before the
+    product explode.
 
     Runs small actions: last week and counts, the product list (size-checked),
     null counts of the two attribute tables, medians of gap columns.
     """
-    last = grid.agg(F.max("week").alias("last")).first().last
+    from weeklens.operators.grid import Grid
+    if isinstance(grid, Grid):
+        last = grid.last_week
+        ccols = [c for c in grid.customers.columns if c != "customer_id"]
+        pcols = [c for c in grid.products.columns if c != "product_id"]
+        ci, pi = grid.customers, grid.products
+        nc, np_ = grid.n_customers, grid.n_products
+    else:
+        ccols, pcols = customer_columns(grid), product_columns(grid)
+        # one row per customer / per product: small, reused by several actions
+        # below, so kept (persist recomputes from lineage if an executor is lost)
+        ci = latest_attributes(grid, "customer_id", ccols, "product_id").persist()
+        pi = latest_attributes(grid, "product_id", pcols, "customer_id").persist()
+        nc, np_ = ci.count(), pi.count()
+        last = grid.agg(F.max("week").alias("last")).first().last
     nxt = F.lit(last).cast("timestamp") + F.expr("INTERVAL 7 DAYS")
-    ccols, pcols = customer_columns(grid), product_columns(grid)
-    # one row per customer / per product: small, reused by several actions
-    # below, so kept (persist recomputes from lineage if an executor is lost)
-    ci = latest_attributes(grid, "customer_id", ccols, "product_id").persist()
-    pi = latest_attributes(grid, "product_id", pcols, "customer_id").persist()
-    nc, np_ = ci.count(), pi.count()
 
     if fill_gaps:
         ci, pi = _fill_gaps(ci, ccols, np_), _fill_gaps(pi, pcols, nc)
@@ -144,11 +179,14 @@ def prediction_summary(scored: DataFrame, p: str = "probabilidad_compra",
         F.coalesce(F.max(F.when(pos, F.col(p))), F.lit(0.0)).alias("max_probability"))
 
 
-def loyalty_scores(grid: DataFrame) -> DataFrame:
+def loyalty_scores(positives: DataFrame) -> DataFrame:
     """Baseline propensity per pair: weeks in which the customer bought the
-    product / weeks in which the customer bought anything. Reads only the
-    positive cells (``comprado = 1`` pushes down to a stored grid)."""
-    pos = grid.where(F.col("comprado") == 1).select("customer_id", "product_id", "week")
+    product / weeks in which the customer bought anything. ``positives`` holds
+    the purchase cells (customer, product, week): the weekly purchases, or a
+    grid's ``comprado = 1`` rows (the filter pushes down to a stored grid)."""
+    if "comprado" in positives.columns:
+        positives = positives.where(F.col("comprado") == 1)
+    pos = positives.select("customer_id", "product_id", "week")
     per_pair = pos.groupBy("customer_id", "product_id").agg(F.count("*").alias("_k"))
     per_cust = pos.groupBy("customer_id").agg(F.count_distinct("week").alias("_w"))
     return (per_pair.join(per_cust, "customer_id")
@@ -156,16 +194,17 @@ def loyalty_scores(grid: DataFrame) -> DataFrame:
                     (F.col("_k") / F.col("_w")).alias("probabilidad_compra")))
 
 
-def loyalty_maps(grid: DataFrame) -> DataFrame:
+def loyalty_maps(positives: DataFrame) -> DataFrame:
     """The same scores folded to one map per customer (bounded by the product
     list), so they join the frame before the product explode."""
-    return (loyalty_scores(grid).groupBy("customer_id")
+    return (loyalty_scores(positives).groupBy("customer_id")
             .agg(F.map_from_entries(F.collect_list(
                 F.struct("product_id", "probabilidad_compra"))).alias("_scores")))
 
 
-def baseline_scored(grid: DataFrame) -> DataFrame:
+def baseline_scored(grid, positives: DataFrame) -> DataFrame:
     """Scoring frame with the loyalty baseline as ``probabilidad_compra``."""
-    sf = scoring_frame(grid, extra_customer=loyalty_maps(grid), customer_extra_cols=["_scores"])
+    sf = scoring_frame(grid, extra_customer=loyalty_maps(positives),
+                       customer_extra_cols=["_scores"])
     score = F.coalesce(F.col("_scores")[F.col("product_id")], F.lit(0.0))
     return sf.df.withColumn("probabilidad_compra", score.cast(T.DoubleType())).drop("_scores")

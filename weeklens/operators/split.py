@@ -34,7 +34,8 @@ def split_labels(df: DataFrame, train_frac: float = 0.7, val_frac: float = 0.15,
 
 def split_bounds(df: DataFrame, train_frac: float = 0.7, val_frac: float = 0.15,
                  week: str = "week"):
-    """Last week of train and of val (None when empty). One small action."""
+    """Last week of train and of val (None when empty). One small action;
+    ``df`` may be the grid or just its week table."""
     row = (split_labels(df, train_frac, val_frac, week)
            .agg(F.max(F.when(F.col("split") == "train", F.col(week))).alias("t"),
                 F.max(F.when(F.col("split") == "val", F.col(week))).alias("v"))
@@ -43,10 +44,11 @@ def split_bounds(df: DataFrame, train_frac: float = 0.7, val_frac: float = 0.15,
 
 
 def temporal_split(df: DataFrame, train_frac: float = 0.7, val_frac: float = 0.15,
-                   test_frac: float = 0.15, week: str = "week"):
+                   test_frac: float = 0.15, week: str = "week", weeks: DataFrame | None = None):
     """(train, val, test) frames cut by range predicates on ``week``.
-    ``test_frac`` is accepted and unused: test is whatever follows val."""
-    t_end, v_end = split_bounds(df, train_frac, val_frac, week)
+    ``test_frac`` is accepted and unused: test is whatever follows val.
+    ``weeks`` (the grid's week table, if known) saves a pass over the rows."""
+    t_end, v_end = split_bounds(weeks if weeks is not None else df, train_frac, val_frac, week)
     c = F.col(week)
     if t_end is None:
         train = df.where(F.lit(False))

@@ -7,6 +7,7 @@ cheaper. Queries whose work is a model fit have no SQL oracle.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,17 @@ ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
+    """Register ``fn`` under ``name``. Week starts depend on the session time
+    zone, so every query pins it to UTC before planning."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return fn
+        return run
     return deco
 
 
@@ -408,11 +415,17 @@ scored AS (SELECT frame.*, CAST(coalesce(loy.s, 0.0) AS DOUBLE) AS probabilidad_
 """
 
 
+def _baseline(spark, sf):
+    raw = load_raw(spark, sf, "brand")
+    purchases = G.weekly_purchases(raw[0]).where(F.col("comprado") == 1)
+    return SC.baseline_scored(G.build_grid(*raw), purchases)
+
+
 @query("scoring_frame", GRID_ALL + FRAME_SQL + "SELECT * FROM frame")
 def q_scoring_frame(spark, sf):
     """Every customer x product pair for the week after the grid's last week,
     with each side's latest attributes."""
-    return SC.scoring_frame(G.build_grid(*load_raw(spark, sf, "brand")).df).df
+    return SC.scoring_frame(G.build_grid(*load_raw(spark, sf, "brand"))).df
 
 
 @query("next_week_positives", GRID_ALL + FRAME_SQL + """
@@ -427,7 +440,7 @@ FROM scored WHERE probabilidad_compra > 0.5""")
 def q_next_week_positives(spark, sf):
     """P11 + W3 + S7-S10 on the loyalty baseline: the ranked list of pairs
     predicted to buy next week, with their tiers."""
-    scored = SC.baseline_scored(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    scored = _baseline(spark, sf)
     ranked = score_tiers(scored).where(F.col("prediccion_compra") == 1)
     return (ranked.orderBy(F.col("probabilidad_compra").desc(), "customer_id", "product_id")
             .select("customer_id", "product_id", "week",
@@ -445,8 +458,7 @@ SELECT count(*) AS total_combinations,
          AS max_probability
 FROM scored""")
 def q_prediction_summary(spark, sf):
-    scored = SC.baseline_scored(G.build_grid(*load_raw(spark, sf, "brand")).df)
-    s = SC.prediction_summary(scored)
+    s = SC.prediction_summary(_baseline(spark, sf))
     return s.select("total_combinations", "positive_predictions",
                     *[r6(F.col(c)).alias(c) for c in
                       ("positive_rate", "avg_probability", "max_probability")])
@@ -538,7 +550,8 @@ def q_class_balance(spark, sf):
 # ------------------------------------------------------------ features
 
 def _brand_split(spark, sf):
-    return S.temporal_split(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    return S.temporal_split(g.df, weeks=g.weeks())
 
 
 def _num_sql(c):
@@ -584,9 +597,18 @@ UNION ALL SELECT 'week', 'scale', CASE WHEN sd > 0 THEN sd ELSE 1 END, NULL FROM
 
 @query("feature_fit", FIT_SQL)
 def q_feature_fit(spark, sf):
-    """F1, F2, F4, F5, F7, F9 fitted on the whole training split of the grid."""
-    train = _brand_split(spark, sf)[0]
-    ff = FE.fit_features(train, FE.FeatureSpec.for_frame(train))
+    """F1, F2, F4, F5, F7, F9 fitted on the whole training split of the grid,
+    by the grid identity: the customer spine weighs products x training
+    weeks, each product customers x training weeks, each week customers x
+    products. The oracle fits on the materialised split row by row."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    t_end, _ = S.split_bounds(g.weeks())
+    weeks = g.weeks().where(F.col("week") <= F.lit(t_end))
+    w_train = weeks.count()
+    parts = [(g.customers.withColumn("_w", F.lit(g.n_products * w_train)), "_w"),
+             (g.products.withColumn("_w", F.lit(g.n_customers * w_train)), "_w"),
+             (weeks.withColumn("_w", F.lit(g.n_customers * g.n_products)), "_w")]
+    ff = FE.fit_features_weighted(parts, FE.FeatureSpec.for_frame(g.df))
     rows = FE.fitted_table(ff)
     df = spark.createDataFrame(rows, "feature string, stat string, value double, text string")
     return df.select("feature", "stat", r6(F.col("value")).alias("value"), "text")
@@ -658,7 +680,7 @@ def q_score_next_week(spark, sf):
     """M6: every pair of the grid scored by the forest for next week; the
     positives, highest first."""
     res, _ = trained(spark, sf)
-    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    grid = G.build_grid(*load_raw(spark, sf, "brand"))
     scored = MD.score(res.model, SC.scoring_frame(grid).df)
     return SC.positives_ranked(scored)
 
@@ -666,7 +688,7 @@ def q_score_next_week(spark, sf):
 @query("score_next_week_summary")
 def q_score_next_week_summary(spark, sf):
     res, _ = trained(spark, sf)
-    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    grid = G.build_grid(*load_raw(spark, sf, "brand"))
     return SC.prediction_summary(MD.score(res.model, SC.scoring_frame(grid).df))
 
 
@@ -766,7 +788,7 @@ def q_score_file(spark, sf):
     positives ranked with their tiers."""
     from weeklens.plans.scoring import export_scoring_file, score_file
     res, _ = trained(spark, sf)
-    grid = G.build_grid(*load_raw(spark, sf, "brand")).df
+    grid = G.build_grid(*load_raw(spark, sf, "brand"))
     path = IO.new_stage_path(spark, "scoring_file")
     export_scoring_file(SC.scoring_frame(grid).df, path)
     return score_file(spark, res.model, path, res.features)
