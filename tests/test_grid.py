@@ -63,7 +63,7 @@ def test_bucketed_product_path_matches_listed(spark):
 def test_duplicate_dimension_rows_do_not_multiply(spark):
     tx, cust, prod = frames(spark, [(1, 1, 10, ts(2024, 1, 3))],
                             cust_rows=[(1, "A", 1, 1, 1.0, 2.0, 3, 1), (1, "Z", 1, 1, 1.0, 2.0, 3, 1)])
-    g = G.build_grid(tx, cust, prod)
+    g = G.build_grid(tx, cust, prod, drop_constant=False)
     assert g.df.count() == 1
     assert g.df.first().customer_type == "A"     # keep-first by the other columns
 

@@ -44,8 +44,9 @@ def test_incremental_new_wins_and_is_idempotent(spark):
     got = sorted((r.week, r.comprado, r.Y) for r in out.collect())
     assert got == [(w[3], 0, 1.0), (w[4], 1, None), (w[5], 1, None)]
     again = I.prepare_incremental(out, new, 3).df
-    assert sorted(map(tuple, again.select(sorted(again.columns)).collect())) == \
-        sorted(map(tuple, out.select(sorted(out.columns)).collect()))
+    cols = sorted(out.columns)
+    assert sorted(map(repr, again.select(cols).collect())) == \
+        sorted(map(repr, out.select(cols).collect()))
 
 
 def test_incremental_without_history(spark):
