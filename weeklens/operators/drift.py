@@ -49,12 +49,15 @@ def _unpivot(df: DataFrame, cols: Sequence[str], as_type: str, weight: str | Non
 
 
 def _two_sided(ref, new, cols, as_type, w_ref, w_new) -> DataFrame:
+    """Histogram of both sides: one row per (column, value). It is read by
+    several aggregates, so it is checkpointed to the shared folder: the
+    inputs are scanned once."""
     a = _unpivot(ref, cols, as_type, w_ref).select(
         "column_name", "value", F.col("_w").alias("n1"), F.lit(0).cast("long").alias("n2"))
     b = _unpivot(new, cols, as_type, w_new).select(
         "column_name", "value", F.lit(0).cast("long").alias("n1"), F.col("_w").alias("n2"))
     return (a.unionByName(b).groupBy("column_name", "value")
-            .agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")))
+            .agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))).checkpoint()
 
 
 def ks_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],

@@ -37,14 +37,18 @@ class FeatureSpec:
     n_bins: int = 7
     winsor_lower: float = 3
     winsor_upper: float = 97
+    # "standard": median impute, winsorize, (x - mean) / population deviation;
+    # "robust" (the production trainer, F6): median impute, (x - median) / IQR
+    scaler: str = "standard"
 
     @classmethod
-    def for_frame(cls, df: DataFrame, n_bins=7, winsor_lower=3, winsor_upper=97):
+    def for_frame(cls, df: DataFrame, n_bins=7, winsor_lower=3, winsor_upper=97,
+                  scaler: str = "standard"):
         have = set(df.columns)
         return cls([c for c in NUMERIC_FEATURES if c in have],
                    [c for c in DISCRETIZE_FEATURES if c in have],
                    [c for c in CATEGORICAL_FEATURES if c in have],
-                   "week" in have, n_bins, winsor_lower, winsor_upper)
+                   "week" in have, n_bins, winsor_lower, winsor_upper, scaler)
 
 
 @dataclass
@@ -65,7 +69,8 @@ class FittedFeatures:
         parts = ["*"]
         for c in self.spec.numeric:
             x = f"coalesce(CAST(`{c}` AS DOUBLE), {_d(self.median[c])})"
-            x = f"least(greatest({x}, {_d(self.lower[c])}), {_d(self.upper[c])})"
+            if self.spec.scaler == "standard":
+                x = f"least(greatest({x}, {_d(self.lower[c])}), {_d(self.upper[c])})"
             parts.append(f"({x} - {_d(self.mean[c])}) / {_d(self.scale[c])} AS `__num_{c}`")
         for c in self.spec.discretize:
             inner = self.edges[c][1:-1]
@@ -111,6 +116,9 @@ def fit_features(df: DataFrame, spec: FeatureSpec) -> FittedFeatures:
     if num:
         r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in num]).first()
         ff.median = {c: (r[c] if r[c] is not None else 0.0) for c in num}
+    if spec.scaler == "robust":
+        _fit_robust(df, ff)
+        num = []
     # pass 2: winsor quantiles of the imputed values, bin edges, modes
     aggs = []
     for c in num:
@@ -153,6 +161,25 @@ def fit_features(df: DataFrame, spec: FeatureSpec) -> FittedFeatures:
     return ff
 
 
+def _fit_robust(df: DataFrame, ff: FittedFeatures) -> None:
+    """centre at the median, scale by the interquartile range of the
+    imputed values (exact percentiles); a zero range scales by 1."""
+    aggs = []
+    for c in ff.spec.numeric:
+        x = F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c]))
+        aggs += [F.percentile(x, F.lit(0.5)).alias(f"m_{c}"),
+                 F.percentile(x, F.lit(0.25)).alias(f"a_{c}"),
+                 F.percentile(x, F.lit(0.75)).alias(f"b_{c}")]
+    if not aggs:
+        return
+    r = df.agg(*aggs).first()
+    for c in ff.spec.numeric:
+        iqr = r[f"b_{c}"] - r[f"a_{c}"]
+        ff.mean[c] = r[f"m_{c}"]
+        ff.scale[c] = iqr if iqr > 0 else 1.0
+        ff.lower[c], ff.upper[c] = float("-inf"), float("inf")
+
+
 def _merge_edges(edges):
     """Drop each edge within the tolerance of the edge before it (bins of no
     width), as the quantile discretiser does; a constant column keeps one bin."""
@@ -181,8 +208,10 @@ def fitted_table(ff: FittedFeatures):
     """Rows (feature, stat, value) of everything fitted; strings as text."""
     rows = []
     for c in ff.spec.numeric:
-        rows += [(c, "median", ff.median[c], None), (c, "winsor_lower", ff.lower[c], None),
-                 (c, "winsor_upper", ff.upper[c], None), (c, "mean", ff.mean[c], None),
+        rows.append((c, "median", ff.median[c], None))
+        if ff.spec.scaler == "standard":
+            rows += [(c, "winsor_lower", ff.lower[c], None), (c, "winsor_upper", ff.upper[c], None)]
+        rows += [(c, "center" if ff.spec.scaler == "robust" else "mean", ff.mean[c], None),
                  (c, "scale", ff.scale[c], None)]
     for c in ff.spec.discretize:
         rows += [(c, f"edge_{i}", e, None) for i, e in enumerate(ff.edges[c])]

@@ -98,29 +98,37 @@ def clean_dimension(dim: DataFrame, key: str) -> DataFrame:
 
 def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
                drop_constant: bool = True, keep=("week", LABEL),
-               max_listed_products: int = 100_000, rows_per_bucket: int = 2_000) -> Grid:
+               max_listed_products: int = 100_000, rows_per_bucket: int = 2_000,
+               checkpoint_cells: bool = True) -> Grid:
     """build_grid: P1, A1, A2, S2, S3, J2-J4, S5, P4.
 
-    Runs small actions: week bounds and customer count (one row), the product
-    list (bounded by ``max_listed_products``), and the constant check on the
-    two dimension tables. The returned frame is lazy.
+    Transactions are folded once into weekly purchase cells; the cells are
+    checkpointed to the shared checkpoint folder, so the transaction join runs
+    once and later actions (and a lost executor) start from the cells. Small
+    actions follow: week bounds and customer count (one row), the product list
+    (bounded by ``max_listed_products``), the constant check on the two
+    dimension tables. The returned frame is lazy.
     """
-    txw = with_week(tx)
+    cells = weekly_purchases(tx)
+    if checkpoint_cells:
+        cells = cells.checkpoint()
     cust = clean_dimension(customers, "customer_id")
     prod = clean_dimension(products, "product_id")
 
-    b = txw.agg(F.min("week").alias("lo"), F.max("week").alias("hi"),
-                F.count_distinct("customer_id").alias("nc")).first()
+    b = cells.agg(F.min("week").alias("lo"), F.max("week").alias("hi"),
+                  F.count_distinct("customer_id").alias("nc")).first()
     if b.lo is None:
         raise ValueError("no transactions with keys")
     n_weeks = int(round((b.hi - b.lo).days / 7)) + 1
 
-    spine = (txw.select("customer_id").distinct()
+    spine = (cells.select("customer_id").distinct()
              .join(cust, "customer_id", "left"))
+    sets = (cells.where(F.col(LABEL) == 1).groupBy("customer_id", "week")
+            .agg(F.collect_set("product_id").alias("_bought")))
     cw = (spine.withColumn("week", F.explode(week_spine(b.lo, b.hi)))
-          .join(purchase_sets(tx), ["customer_id", "week"], "left"))
+          .join(sets, ["customer_id", "week"], "left"))
 
-    pids = txw.select("product_id").distinct()
+    pids = cells.select("product_id").distinct()
     listed = [r.product_id for r in pids.limit(max_listed_products + 1).collect()]
     prod_attrs = prod.join(pids, "product_id", "right")
     if len(listed) <= max_listed_products:
@@ -144,7 +152,7 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
     dropped = []
     if drop_constant:
         dropped = grid_constant_columns(spine, prod_attrs, int(b.nc), n_products, n_weeks,
-                                        cust_cols, prod_cols, tx, keep)
+                                        cust_cols, prod_cols, cells, keep)
         grid = grid.drop(*dropped)
     keep_c = [c for c in cust_cols if c not in dropped]
     keep_p = [c for c in prod_cols if c not in dropped]
@@ -152,8 +160,9 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
                 spine.select("customer_id", *keep_c), prod_attrs.select("product_id", *keep_p))
 
 
-def grid_constant_columns(spine, prod_attrs, nc, np_, nw, cust_cols, prod_cols, tx, keep):
-    """P4 through the dimension identity (see module docstring)."""
+def grid_constant_columns(spine, prod_attrs, nc, np_, nw, cust_cols, prod_cols, cells, keep):
+    """P4 through the dimension identity (see module docstring); ``cells``
+    are the weekly purchase cells."""
     out = []
     if nc == 1:
         out.append("customer_id")
@@ -162,7 +171,7 @@ def grid_constant_columns(spine, prod_attrs, nc, np_, nw, cust_cols, prod_cols,
     if nw == 1:
         out.append("week")
     if LABEL not in keep:
-        pos = purchase_sets(tx).agg(F.sum(F.size("_bought"))).first()[0] or 0
+        pos = cells.agg(F.sum(LABEL)).first()[0] or 0
         if pos == 0 or pos == nc * np_ * nw:
             out.append(LABEL)
     if cust_cols:

@@ -614,6 +614,27 @@ def q_feature_fit(spark, sf):
     return df.select("feature", "stat", r6(F.col("value")).alias("value"), "text")
 
 
+@query("feature_fit_robust", EVAL_SQL + """, train AS (SELECT * FROM g2 WHERE split = 'train'),
+imp AS (SELECT """ + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM train)) AS {c}"
+    for c in FIT_NUM) + """ FROM train)
+SELECT feature, stat, round(value, 6) AS value, CAST(NULL AS VARCHAR) AS text FROM (
+""" + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, 'median' AS stat, (SELECT quantile_cont({c}, 0.5) FROM train) AS value
+UNION ALL SELECT '{c}', 'center', quantile_cont({c}, 0.5) FROM imp
+UNION ALL SELECT '{c}', 'scale', CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) > 0
+  THEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) ELSE 1 END FROM imp""" for c in FIT_NUM) + ")")
+def q_feature_fit_robust(spark, sf):
+    """F6 (the production trainer's scaling): median impute, centre at the
+    median, scale by the interquartile range, on the whole training split."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    train = S.temporal_split(g.df, weeks=g.weeks())[0].select(*FIT_NUM)
+    spec = FE.FeatureSpec(FIT_NUM, [], [], False, scaler="robust")
+    ff = FE.fit_features(train, spec)
+    df = spark.createDataFrame(FE.fitted_table(ff), "feature string, stat string, value double, text string")
+    return df.select("feature", "stat", r6(F.col("value")).alias("value"), "text")
+
+
 # ------------------------------------------------------------ model (M1-M10, IO8)
 
 _MODELS: dict = {}
