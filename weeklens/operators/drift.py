@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from weeklens.functions.pvalues import chi2_sf, ks_pvalue
 from weeklens.operators.columns import by_type
 from weeklens.operators.ordered import running_sums
+from weeklens.session import reliable_checkpoint
 
 NUMERIC_EXCLUDE = ("customer_id", "product_id", "comprado")
 CATEGORICAL_EXCLUDE = ("customer_id", "product_id", "week", "purchase_date")
@@ -56,8 +57,9 @@ def _two_sided(ref, new, cols, as_type, w_ref, w_new) -> DataFrame:
         "column_name", "value", F.col("_w").alias("n1"), F.lit(0).cast("long").alias("n2"))
     b = _unpivot(new, cols, as_type, w_new).select(
         "column_name", "value", F.lit(0).cast("long").alias("n1"), F.col("_w").alias("n2"))
-    return (a.unionByName(b).groupBy("column_name", "value")
-            .agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))).checkpoint()
+    h = (a.unionByName(b).groupBy("column_name", "value")
+            .agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2")))
+    return reliable_checkpoint(h)
 
 
 def ks_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from weeklens.functions.time import week_start, week_spine
 from weeklens.operators.columns import constant_columns
 from weeklens.operators.dedup import dedup_keep_first, dedup_rows
+from weeklens.session import reliable_checkpoint
 
 KEYS = ["customer_id", "product_id", "week"]
 LABEL = "comprado"
@@ -111,7 +112,7 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
     """
     cells = weekly_purchases(tx)
     if checkpoint_cells:
-        cells = cells.checkpoint()
+        cells = reliable_checkpoint(cells)
     cust = clean_dimension(customers, "customer_id")
     prod = clean_dimension(products, "product_id")
 

@@ -26,16 +26,20 @@ class Incremental:
 
 
 def prepare_incremental(history: DataFrame | None, new: DataFrame,
-                        weeks_to_include: int = 4) -> Incremental:
+                        weeks_to_include: int = 4, history_weeks: DataFrame | None = None,
+                        new_first_week=None) -> Incremental:
     """U2. ``history`` may be None (no history yet): the new grid is used as is.
-    Runs two small actions (the history bound and the new week range)."""
+    Runs two small actions (the history bound and the new week range); pass
+    the history's week table and the new first week when known (a grid just
+    built knows both) to skip the passes over the rows."""
     if history is None:
         return Incremental(new, None)
-    lo = latest_weeks_bound(history, weeks_to_include)
+    lo = latest_weeks_bound(history_weeks if history_weeks is not None else history,
+                            weeks_to_include)
     if lo is None:
         return Incremental(new, None)
     recent = history.where(F.col("week") >= F.lit(lo))
-    new_lo = new.agg(F.min("week")).first()[0]
+    new_lo = new_first_week if new_first_week is not None else new.agg(F.min("week")).first()[0]
     if new_lo is None:
         combined = recent.unionByName(new, allowMissingColumns=True)
         return Incremental(combined, lo)

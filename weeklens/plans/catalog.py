@@ -227,9 +227,11 @@ def _windows(spark, sf):
 
 def _incremental(spark, sf):
     hist_tx, new_tx, cust, prod = _windows(spark, sf)
-    hist = G.build_grid(hist_tx, cust, prod).df
-    new = G.build_grid(new_tx, cust, prod).df
-    return hist, new, I.prepare_incremental(hist, new, 4).df
+    hist = G.build_grid(hist_tx, cust, prod)
+    new = G.build_grid(new_tx, cust, prod)
+    merged = I.prepare_incremental(hist.df, new.df, 4, history_weeks=hist.weeks(),
+                                   new_first_week=new.first_week)
+    return hist.df, new.df, merged.df
 
 
 INCR_SQL = with_(TX_BRAND, CUST, PROD_BRAND, TX_WINDOWS, grid_cte("hist", "tx_hist"),

@@ -60,3 +60,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written stage tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage
+    (never a local checkpoint: executors may be lost)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
