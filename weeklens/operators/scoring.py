@@ -159,10 +159,13 @@ def _fill_gaps(attrs: DataFrame, cols: Sequence[str], repeat: int) -> DataFrame:
 
 def positives_ranked(scored: DataFrame, p: str = "probabilidad_compra",
                      threshold: float = 0.5) -> DataFrame:
-    """P11 + W3: strict ``p > threshold``, highest first (keys break ties)."""
-    return (scored.where(F.col(p) > F.lit(threshold))
-            .select("customer_id", "product_id", "week", p)
-            .orderBy(F.col(p).desc(), "customer_id", "product_id"))
+    """P11 + W3: strict ``p > threshold``, highest first (keys break ties).
+    The positives are checkpointed before the sort: a global sort samples its
+    input first, which would otherwise score every pair twice."""
+    from weeklens.session import reliable_checkpoint
+    pos = reliable_checkpoint(scored.where(F.col(p) > F.lit(threshold))
+                              .select("customer_id", "product_id", "week", p))
+    return pos.orderBy(F.col(p).desc(), "customer_id", "product_id")
 
 
 def prediction_summary(scored: DataFrame, p: str = "probabilidad_compra",

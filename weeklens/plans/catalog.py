@@ -646,8 +646,14 @@ def trained(spark, sf, tune=False, n_trials=3):
     """One fit per (session, data dir, search setting); later queries reuse it."""
     key = (id(spark), sf, tune, n_trials)
     if key not in _MODELS:
-        tr, va, _ = _brand_split(spark, sf)
-        _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials), va)
+        g = G.build_grid(*load_raw(spark, sf, "brand"))
+        t_end, v_end = S.split_bounds(g.weeks())
+        tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
+        pairs = g.n_customers * g.n_products
+        w_train = int(round((t_end - g.first_week).days / 7)) + 1
+        w_val = int(round((v_end - t_end).days / 7)) if v_end else 0
+        _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials,
+                                 train_rows=pairs * w_train, val_rows=pairs * w_val), va)
     return _MODELS[key]
 
 
