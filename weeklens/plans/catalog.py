@@ -686,6 +686,23 @@ def q_train_trials(spark, sf):
                                  "precision double, recall double, f1_score double")
 
 
+@query("train_model_production")
+def q_train_model_production(spark, sf):
+    """The production trainer variant (robust scaling, week of year as a
+    category, fixed parameters, threshold 0.2), metrics on train and
+    validation and the validation score stats."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
+    res = MD.train_production(tr, va)
+    m = res.metrics
+    keys = ["train_average_precision", "train_precision", "train_recall", "train_f1_score",
+            "val_average_precision", "val_precision", "val_recall", "val_f1_score",
+            "val_score_min", "val_score_max", "val_score_mean", "val_score_median", "threshold"]
+    row = (res.train_rows, res.val_rows, *[float(m[k] or 0) for k in keys])
+    return spark.createDataFrame([row], "train_samples long, val_samples long, "
+                                 + ", ".join(f"{k} double" for k in keys))
+
+
 @query("model_importance")
 def q_model_importance(spark, sf):
     res, _ = trained(spark, sf)
