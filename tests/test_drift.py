@@ -87,3 +87,26 @@ def test_nan_counts_as_missing(spark):
 
 def test_should_retrain():
     assert D.should_retrain(None)
+
+
+def test_exact_ks_against_enumeration():
+    import itertools
+    from weeklens.functions.pvalues import ks_exact_sf
+    m, n = 4, 5
+    stats = []
+    for pos in itertools.combinations(range(m + n), m):
+        a = set(pos)
+        c1 = c2 = 0
+        best = 0.0
+        for k in range(m + n):
+            if k in a:
+                c1 += 1
+            else:
+                c2 += 1
+            best = max(best, abs(c1 / m - c2 / n))
+        stats.append(best)
+    for d in sorted(set(stats)):
+        expect = sum(s >= d - 1e-12 for s in stats) / len(stats)
+        assert ks_exact_sf(d, m, n) == pytest.approx(expect, abs=1e-12)
+    # equal sizes and a large case stay in range
+    assert 0.0 < ks_exact_sf(0.1, 1500, 1500) < 1.0
