@@ -122,8 +122,9 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
         raise ValueError("no transactions with keys")
     n_weeks = int(round((b.hi - b.lo).days / 7)) + 1
 
+    # one row per customer: read by the constant check and by the grid plan
     spine = (cells.select("customer_id").distinct()
-             .join(cust, "customer_id", "left"))
+             .join(cust, "customer_id", "left")).persist()
     sets = (cells.where(F.col(LABEL) == 1).groupBy("customer_id", "week")
             .agg(F.collect_set("product_id").alias("_bought")))
     cw = (spine.withColumn("week", F.explode(week_spine(b.lo, b.hi)))
@@ -131,7 +132,7 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
 
     pids = cells.select("product_id").distinct()
     listed = [r.product_id for r in pids.limit(max_listed_products + 1).collect()]
-    prod_attrs = prod.join(pids, "product_id", "right")
+    prod_attrs = prod.join(pids, "product_id", "right").persist()
     if len(listed) <= max_listed_products:
         listed.sort()
         n_products = len(listed)

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weeklens.session import reliable_checkpoint
+
 
 def running_sums(df: DataFrame, groups: Sequence[str], order: str, values: Sequence[str],
                  buckets: int = 64, accuracy: int = 10_000) -> DataFrame:
@@ -23,6 +25,9 @@ def running_sums(df: DataFrame, groups: Sequence[str], order: str, values: Seque
     ``order`` <= this row's. ``df`` must already hold one row per distinct
     (groups, order) value, so ties are not an issue."""
     groups = list(groups)
+    # the input is read by the cut points, the bucket totals and the final
+    # window: write it once to the shared folder instead of recomputing it
+    df = reliable_checkpoint(df)
     probs = [i / buckets for i in range(1, buckets)]
     if groups:
         cuts = df.groupBy(*groups).agg(
