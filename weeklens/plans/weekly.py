@@ -11,6 +11,7 @@ import os
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from weeklens.operators import drift as D
 from weeklens.operators import explain as EX
@@ -35,11 +36,17 @@ def run_weekly(spark: SparkSession, sf_dir: str, workdir: str, grain: str = "bra
     """run_weekly. Returns the small dict of what happened; reports are also
     written as JSON next to the stage tables."""
     p = {k: os.path.join(workdir, k) for k in
-         ("dataset", "train", "val", "test", "dataset_hist", "model", "reports", "predictions")}
+         ("dataset", "train", "val", "test", "dataset_hist", "model", "reports", "predictions",
+          "spine_customers", "spine_products", "hist_customers", "hist_products")}
     out: dict = {}
 
     g = G.build_grid(*load_raw(spark, sf_dir, grain))
     IO.write_stage(g.df, p["dataset"], ["week"])
+    # the grid's dimension spines, each row weighted by the grid rows it stands for
+    IO.write_stage(g.customers.withColumn("_rows", F.lit(g.n_products * g.n_weeks).cast("long")),
+                   p["spine_customers"])
+    IO.write_stage(g.products.withColumn("_rows", F.lit(g.n_customers * g.n_weeks).cast("long")),
+                   p["spine_products"])
     grid = IO.read_stage(spark, p["dataset"])
     weeks = g.weeks()
     train, val, test = S.temporal_split(grid, weeks=weeks)
@@ -48,9 +55,16 @@ def run_weekly(spark: SparkSession, sf_dir: str, workdir: str, grain: str = "bra
     train, val = IO.read_stage(spark, p["train"]), IO.read_stage(spark, p["val"])
 
     report = None
-    if _exists(spark, p["dataset_hist"]):
+    if _exists(spark, p["hist_customers"]):
         try:
-            report = D.detect_drift(IO.read_stage(spark, p["dataset_hist"]), grid)
+            # drift of the two grids by the spine identity (equal to testing the grids)
+            hist = IO.read_stage(spark, p["dataset_hist"])
+            num = D.by_type(hist, "numeric", D.NUMERIC_EXCLUDE)
+            cat = D.by_type(hist, "categorical", D.CATEGORICAL_EXCLUDE)
+            ref = (IO.read_stage(spark, p["hist_customers"]), IO.read_stage(spark, p["hist_products"]))
+            cur = (IO.read_stage(spark, p["spine_customers"]), IO.read_stage(spark, p["spine_products"]))
+            rows = D.grid_drift_tests(ref, cur, num, cat).collect()
+            report = D.finish_report(rows, num, cat)
         except Exception:
             if not fail_open:
                 raise
@@ -70,6 +84,8 @@ def run_weekly(spark: SparkSession, sf_dir: str, workdir: str, grain: str = "bra
                                      "train_samples": res.train_rows, "val_samples": res.val_rows},
                              os.path.join(p["reports"], "training"))
         IO.promote_baseline(spark, p["dataset"], p["dataset_hist"])
+        for a, b in (("spine_customers", "hist_customers"), ("spine_products", "hist_products")):
+            IO.write_stage(IO.read_stage(spark, p[a]), p[b])
         out["metrics"] = res.metrics
         imp = EX.importance(spark, model, ff, 20)
         IO.write_json_report(spark, {"top_features_by_importance":
