@@ -59,6 +59,11 @@ def week_bounds(tx: DataFrame) -> DataFrame:
     return w.agg(F.min("week").alias("min_week"), F.max("week").alias("max_week"))
 
 
+def week_bounds_of_cells(cells: DataFrame) -> DataFrame:
+    """A2 on purchase cells (already carrying ``week``): one row."""
+    return cells.agg(F.min("week").alias("min_week"), F.max("week").alias("max_week"))
+
+
 def purchase_sets(tx: DataFrame) -> DataFrame:
     """Products bought per customer-week. The set is bounded by the catalogue,
     and the aggregate combines map-side, so a hot customer is folded early."""

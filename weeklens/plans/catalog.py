@@ -31,6 +31,7 @@ from weeklens.plans.sql_fixtures import (
     CUST, GRID_BRAND, PROD_BRAND, PROD_PART, TX_BRAND, TX_PART, TX_WINDOWS, drift_sql,
     grid_cte, with_,
 )
+from weeklens.session import reliable_checkpoint
 from weeklens.sources import load_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,11 +188,11 @@ GROUP BY split""")
 def q_split_sizes(spark, sf):
     """Rows and positives of train / val / test of the part-grain grid
     (1.04 billion cells at sf0.01) by identity: cells = C x P x weeks."""
-    tx = load_raw(spark, sf)[0]
-    labels = S.split_labels(_spine(spark, sf))
-    dims = G.with_week(tx).agg(F.count_distinct("customer_id").alias("nc"),
-                               F.count_distinct("product_id").alias("np")).first()
-    pos = (G.weekly_purchases(tx).where(F.col("comprado") == 1)
+    cells = _cells(spark, sf, "part")
+    labels = S.split_labels(_cell_weeks(cells))
+    dims = cells.agg(F.count_distinct("customer_id").alias("nc"),
+                     F.count_distinct("product_id").alias("np")).first()
+    pos = (cells.where(F.col("comprado") == 1)
            .join(F.broadcast(labels.select("week", "split")), "week")
            .groupBy("split").agg(F.count("*").alias("positives")))
     per = labels.groupBy("split").agg(F.count("*").alias("n_weeks"),
@@ -468,15 +469,25 @@ def q_prediction_summary(spark, sf):
 
 # ------------------------------------------------------------ metrics
 
+def _cells(spark, sf, grain):
+    """Weekly purchase cells, checkpointed: the transaction join runs once."""
+    return reliable_checkpoint(G.weekly_purchases(load_raw(spark, sf, grain)[0]))
+
+
+def _cell_weeks(cells):
+    return G.week_bounds_of_cells(cells).select(
+        F.explode(week_spine(F.col("min_week"), F.col("max_week"))).alias("week"))
+
+
 def _val_pairs(spark, sf):
     """(score, tp, n) groups of the brand grid's validation weeks, scored by
     loyalty learnt on the training weeks. Built from purchase cells and
     counts: the val grid itself is never materialised."""
-    tx = load_raw(spark, sf, "brand")[0]
-    t_end, v_end = S.split_bounds(_spine(spark, sf, "brand"))
-    cells = G.weekly_purchases(tx).where(F.col("comprado") == 1)
-    dims = G.with_week(tx).agg(F.count_distinct("customer_id").alias("nc"),
-                               F.count_distinct("product_id").alias("np")).first()
+    all_cells = _cells(spark, sf, "brand")
+    t_end, v_end = S.split_bounds(_cell_weeks(all_cells))
+    cells = all_cells.where(F.col("comprado") == 1)
+    dims = all_cells.agg(F.count_distinct("customer_id").alias("nc"),
+                         F.count_distinct("product_id").alias("np")).first()
     w_val = int(round((v_end - t_end).days / 7))
     train = cells.where(F.col("week") <= F.lit(t_end))
     per_pair = train.groupBy("customer_id", "product_id").agg(F.count("*").alias("k"))
