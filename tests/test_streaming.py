@@ -12,33 +12,22 @@ from weeklens.sources import load_raw
 from weeklens.streaming import latest_state, start_weekly_intake
 
 
-def test_stream_of_two_drops_equals_batch_merge(spark):
+def test_two_weekly_drops_equal_batch_merge(spark):
     tx, cust, prod = load_raw(spark, SF_SMALL, "brand")
+    tx = tx.select("order_id", "customer_id", "product_id",
+                   F.col("purchase_date").cast("timestamp").alias("purchase_date"))
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
-    drops = os.path.join(base, "drops")
+    drops, state, ckpt = (os.path.join(base, x) for x in ("drops", "state", "ckpt"))
     cut = dt.datetime(2001, 6, 1)
     first = tx.where(F.col("purchase_date") < F.lit(cut))
     second = tx.where(F.col("purchase_date") >= F.lit(cut - dt.timedelta(days=14)))
-    first.coalesce(1).write.parquet(os.path.join(drops, "w1"))
-    second.coalesce(1).write.parquet(os.path.join(drops, "w2"))
-    import glob
-    import shutil
-    flat = os.path.join(base, "flat")
-    os.makedirs(flat)
-    for i, d in enumerate(("w1", "w2")):
-        f = sorted(glob.glob(os.path.join(drops, d, "*.parquet")))[0]
-        shutil.copy(f, os.path.join(flat, f"part-{i}.parquet"))
-        os.utime(os.path.join(flat, f"part-{i}.parquet"), (1_700_000_000 + i, 1_700_000_000 + i))
-    q = start_weekly_intake(spark, flat, cust, prod, os.path.join(base, "state"),
-                            os.path.join(base, "ckpt"))
-    q.awaitTermination(300)
-    got = latest_state(spark, os.path.join(base, "state"))
-    g1 = build_grid(first.select("order_id", "customer_id", "product_id",
-                                 F.col("purchase_date").cast("timestamp")), cust, prod).df
-    g2 = build_grid(second.select("order_id", "customer_id", "product_id",
-                                  F.col("purchase_date").cast("timestamp")), cust, prod).df
-    exp = prepare_incremental(g1, g2, 4).df
+    for drop in (first, second):
+        drop.write.mode("append").parquet(drops)
+        start_weekly_intake(spark, drops, cust, prod, state, ckpt,
+                            files_per_batch=100_000).awaitTermination(300)
+    got = latest_state(spark, state)
+    exp = prepare_incremental(build_grid(first, cust, prod).df, build_grid(second, cust, prod).df, 4).df
     cols = sorted(exp.columns)
-    got = got.select(*cols).withColumn("week", F.col("week").cast("timestamp"))
+    got = got.select(cols).withColumn("week", F.col("week").cast("timestamp"))
     assert got.count() == exp.count()
-    assert got.select(cols).exceptAll(exp.select(cols)).count() == 0
+    assert got.exceptAll(exp.select(cols)).count() == 0

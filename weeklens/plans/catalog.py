@@ -849,3 +849,29 @@ def q_score_file(spark, sf):
     path = IO.new_stage_path(spark, "scoring_file")
     export_scoring_file(SC.scoring_frame(grid).df, path)
     return score_file(spark, res.model, path, res.features)
+
+
+# ------------------------------------------------------------ streaming intake (U2 as a stream)
+
+@query("stream_weekly_intake", INCR_SQL + "SELECT * FROM combined")
+def q_stream_weekly_intake(spark, sf):
+    """The weekly merge run as a Structured Streaming job: the history
+    transactions and the last six weeks arrive as two parquet drops (written
+    from the tables to the shared folder), each micro-batch is gridded and
+    merged into the state table; returns the final state (equal to
+    ``incremental_merge``)."""
+    import os
+    import uuid
+    from weeklens.streaming import latest_state, start_weekly_intake
+    hist_tx, new_tx, cust, prod = _windows(spark, sf)
+    base = IO.new_stage_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    drops, state = os.path.join(base, "drops"), os.path.join(base, "state")
+    cols = ["order_id", "customer_id", "product_id",
+            F.col("purchase_date").cast("timestamp").alias("purchase_date")]
+    for week_drop in (hist_tx, new_tx):
+        # a drop lands, the job runs once over what is new (as each week)
+        week_drop.select(*cols).write.mode("append").parquet(drops)
+        start_weekly_intake(spark, drops, cust, prod, state, os.path.join(base, "ckpt"),
+                            files_per_batch=100_000, available_now=True).awaitTermination()
+    out = latest_state(spark, state)
+    return out.withColumn("week", F.col("week").cast("timestamp"))
