@@ -110,3 +110,11 @@ def test_exact_ks_against_enumeration():
         assert ks_exact_sf(d, m, n) == pytest.approx(expect, abs=1e-12)
     # equal sizes and a large case stay in range
     assert 0.0 < ks_exact_sf(0.1, 1500, 1500) < 1.0
+
+
+def test_column_on_one_side_only(spark):
+    ref = spark.range(50).select((F.col("id") * 1.0).alias("a"), (F.col("id") * 2.0).alias("b"))
+    new = spark.range(50).select((F.col("id") * 1.0).alias("a"))
+    rep = D.detect_drift(ref, new)
+    assert set(rep.test_details) == {"a"}
+    assert rep.summary["total_columns_analyzed"] == 2      # b counts, untested

@@ -242,13 +242,11 @@ def grid_drift_tests(ref_spines, new_spines, numeric=None, categorical=None,
     Equal to testing the two materialised grids, at dimension-table cost."""
     out = None
     for ref, new in zip(ref_spines, new_spines):
-        num = None if numeric is None else [c for c in numeric if c in ref.columns]
-        cat = None if categorical is None else [c for c in categorical if c in ref.columns]
-        r, n = ref, new
-        if numeric is None:
-            num = [c for c in by_type(ref, "numeric", (*NUMERIC_EXCLUDE, "_rows"))]
-        if categorical is None:
-            cat = by_type(ref, "categorical", CATEGORICAL_EXCLUDE)
-        t = drift_tests(r, n, num, cat, min_samples, "_rows", "_rows")
+        skip = (*NUMERIC_EXCLUDE, "_rows")
+        num = (by_type(ref, "numeric", skip) if numeric is None
+               else [c for c in numeric if c in ref.columns])
+        cat = (by_type(ref, "categorical", CATEGORICAL_EXCLUDE) if categorical is None
+               else [c for c in categorical if c in ref.columns])
+        t = drift_tests(ref, new, num, cat, min_samples, "_rows", "_rows")
         out = t if out is None else out.unionByName(t)
     return out
