@@ -76,3 +76,24 @@ def test_cell_counts_match_grid(spark):
     cc = G.cell_counts(tx).first()
     agg = g.df.agg(F.count("*").alias("n"), F.sum("comprado").alias("p")).first()
     assert cc.cells == agg.n and cc.positives == agg.p
+
+
+def test_hot_customer_third_of_rows(spark):
+    """One customer holds a third of all transactions: results stay exact
+    (cells, labels, latest attributes) with no per-key window in the way."""
+    import datetime as dt
+    from weeklens.operators import scoring as SC
+    base = ts(2024, 1, 1)
+    rows = [(i, 1 + (i % 3 != 0) * (2 + i % 50), 10 + i % 7, base + dt.timedelta(days=i % 60))
+            for i in range(3000)]
+    cust = [(c, "T" + str(c % 4), 1, c % 5, float(c), -float(c), 1 + c % 6, 1) for c in range(1, 60)]
+    prod = [(p, "b" + str(p), "G", "s", "LOW", "can", float(p)) for p in range(10, 17)]
+    tx, cu, pr = frames(spark, rows, cust, prod)
+    assert tx.where("customer_id = 1").count() == 1000
+    g = G.build_grid(tx, cu, pr)
+    cc = G.cell_counts(tx).first()
+    agg = g.df.agg(F.count("*").alias("n"), F.sum("comprado").alias("p")).first()
+    assert (agg.n, agg.p) == (cc.cells, cc.positives)
+    la = SC.latest_attributes(g.df, "customer_id", ["customer_type", "Y"], "product_id")
+    got = {r.customer_id: (r.customer_type, r.Y) for r in la.collect()}
+    assert got[1] == ("T1", 1.0) and len(got) == g.n_customers
