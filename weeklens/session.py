@@ -42,14 +42,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    we only create a private folder when it is unset, which is the case in
-    local tests.
+    On a cluster this must be set by the deployment (a shared file system)
+    and an unset value is an error: a machine-local folder would not survive
+    the loss of an executor. Only a local-mode session (tests) gets a private
+    folder when it is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
         path = tempfile.mkdtemp(prefix="weeklens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
