@@ -118,3 +118,10 @@ def test_column_on_one_side_only(spark):
     rep = D.detect_drift(ref, new)
     assert set(rep.test_details) == {"a"}
     assert rep.summary["total_columns_analyzed"] == 2      # b counts, untested
+
+
+def test_all_null_on_one_side(spark):
+    ref = spark.range(50).select((F.col("id") * 1.0).alias("a"), (F.col("id") % 3).cast("string").alias("c"))
+    new = spark.range(50).select(F.lit(None).cast("double").alias("a"), F.lit(None).cast("string").alias("c"))
+    rep = D.detect_drift(ref, new)
+    assert rep.test_details == {} and rep.summary["total_columns_analyzed"] == 2

@@ -73,7 +73,9 @@ def ks_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],
     tot = h.groupBy("column_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
     c = running_sums(h, ["column_name"], "value", ["n1", "n2"], buckets)
     c = c.join(F.broadcast(tot), "column_name")
-    gap = F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))
+    # a side with no values has total 0: the gap is null and the gate skips it
+    gap = F.abs(F.try_divide(F.col("cum_n1"), F.col("tot1"))
+                - F.try_divide(F.col("cum_n2"), F.col("tot2")))
     return (c.groupBy("column_name")
             .agg(F.max(gap).alias("statistic"), F.first("tot1").alias("ref_samples"),
                  F.first("tot2").alias("new_samples"))
@@ -98,10 +100,10 @@ def chi_square_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],
     def term(o, e):
         dev = F.abs(o - e)
         dev = dev - F.when(yates, F.least(F.lit(0.5), dev)).otherwise(F.lit(0.0))
-        return dev * dev / e
+        return F.try_divide(dev * dev, e)
 
-    e1 = t * F.col("tot1") / n
-    e2 = t * F.col("tot2") / n
+    e1 = F.try_divide(t * F.col("tot1"), n)
+    e2 = F.try_divide(t * F.col("tot2"), n)
     j = j.withColumn("_term", term(F.col("n1"), e1) + term(F.col("n2"), e2))
     return (j.groupBy("column_name")
             .agg(F.sum("_term").alias("statistic"), F.first("tot1").alias("ref_samples"),

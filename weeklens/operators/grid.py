@@ -205,9 +205,9 @@ def cell_counts(tx: DataFrame) -> DataFrame:
     row = row.withColumn("cells", cells).withColumn("negatives", F.col("cells") - F.col("positives"))
     return row.select(
         "n_customers", "n_products", "n_weeks", "cells", "positives", "negatives",
-        (F.col("positives") / F.col("cells")).alias("positive_rate"),
-        (F.col("cells") / (2 * F.col("positives"))).alias("weight_positive"),
-        (F.col("cells") / (2 * F.col("negatives"))).alias("weight_negative"))
+        F.try_divide(F.col("positives"), F.col("cells")).alias("positive_rate"),
+        F.try_divide(F.col("cells"), 2 * F.col("positives")).alias("weight_positive"),
+        F.try_divide(F.col("cells"), 2 * F.col("negatives")).alias("weight_negative"))
 
 
 def grid_spines(tx: DataFrame, customers: DataFrame, products: DataFrame):
