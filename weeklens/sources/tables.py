@@ -31,7 +31,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def brand_key(brand: Column) -> Column:
     """Numeric product key at brand grain: the number in 'Brand#13'."""
-    return F.regexp_extract(brand, r"(\d+)", 1).cast("long")
+    return F.regexp_extract(brand, r"(\d+)", 1).try_cast("long")
 
 
 def segment_of(price: Column) -> Column:
@@ -89,7 +89,7 @@ def products(spark: SparkSession, sf_dir: str, grain: str = "part") -> DataFrame
         F.lit("GOODS").alias("category"),
         F.col("p_type").alias("sub_category"),
         segment_of(F.col("p_retailprice")).alias("segment"),
-        F.split(F.col("p_name"), " ").getItem(1).alias("package"),
+        F.get(F.split(F.col("p_name"), " "), 1).alias("package"),
         F.col("p_size").cast("double").alias("size"))
 
 
