@@ -44,3 +44,15 @@ def test_tiers_and_summary(spark):
     assert none.avg_probability == 0.0 and none.max_probability == 0.0
     empty = SC.prediction_summary(df.where("false")).first()
     assert empty.positive_rate == 0.0
+
+
+def test_scoring_frame_bucketed_products(spark):
+    g = spark.createDataFrame([
+        (1, 10, ts(2024, 1, 1), 0, "A", 1.0), (2, 20, ts(2024, 1, 1), 1, "B", 2.0),
+        (2, 30, ts(2024, 1, 8), 0, "B", 2.0)],
+        "customer_id long, product_id long, week timestamp, comprado int, customer_type string, Y double")
+    a = SC.scoring_frame(g).df
+    b = SC.scoring_frame(g, max_listed_products=1).df
+    cols = sorted(a.columns)
+    assert a.count() == 6
+    assert sorted(map(repr, a.select(cols).collect())) == sorted(map(repr, b.select(cols).collect()))

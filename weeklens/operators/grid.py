@@ -104,7 +104,7 @@ def clean_dimension(dim: DataFrame, key: str) -> DataFrame:
 
 def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
                drop_constant: bool = True, keep=("week", LABEL),
-               max_listed_products: int = 100_000, rows_per_bucket: int = 2_000,
+               max_listed_products: int = 10_000, rows_per_bucket: int = 2_000,
                checkpoint_cells: bool = True) -> Grid:
     """build_grid: P1, A1, A2, S2, S3, J2-J4, S5, P4.
 
@@ -136,20 +136,8 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
           .join(sets, ["customer_id", "week"], "left"))
 
     pids = cells.select("product_id").distinct()
-    listed = [r.product_id for r in pids.limit(max_listed_products + 1).collect()]
     prod_attrs = prod.join(pids, "product_id", "right").persist()
-    if len(listed) <= max_listed_products:
-        listed.sort()
-        n_products = len(listed)
-        rows = cw.withColumn("product_id", F.explode(F.array(*[F.lit(p) for p in listed]).cast("array<long>")))
-        rows = rows.join(F.broadcast(prod_attrs), "product_id", "left")
-    else:
-        n_products = pids.count()
-        buckets = max(1, math.ceil(n_products / rows_per_bucket))
-        bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets))
-        rows = (cw.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                         F.lit(buckets - 1).cast("long"))))
-                .join(prod_attrs.withColumn("_b", bucket), "_b").drop("_b"))
+    rows, n_products = attach_products(cw, prod_attrs, max_listed_products, rows_per_bucket)
 
     label = F.coalesce(F.array_contains("_bought", F.col("product_id")), F.lit(False)).cast("int")
     cust_cols = [c for c in cust.columns if c != "customer_id"]
@@ -167,6 +155,31 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
                 spine.select("customer_id", *keep_c), prod_attrs.select("product_id", *keep_p))
 
 
+def attach_products(rows: DataFrame, products: DataFrame, max_listed: int = 10_000,
+                    rows_per_bucket: int = 2_000):
+    """Pair every row with every product of ``products`` (which holds
+    ``product_id`` and its attributes); returns (frame, product count).
+
+    Up to ``max_listed`` products (a checked count) the ids are collected and
+    exploded from a literal list, the attributes joined by broadcast: no
+    shuffle. Above it the products are spread over hash buckets of about
+    ``rows_per_bucket`` and each row is replicated once per bucket, an
+    equi-join on the bucket that spreads the product side over all tasks."""
+    listed = [r.product_id for r in products.select("product_id").limit(max_listed + 1).collect()]
+    if len(listed) <= max_listed:
+        listed.sort()
+        ids = F.array(*[F.lit(p) for p in listed]).cast("array<long>")
+        out = rows.withColumn("product_id", F.explode(ids))
+        return out.join(F.broadcast(products), "product_id", "left"), len(listed)
+    n = products.count()
+    buckets = max(1, math.ceil(n / rows_per_bucket))
+    bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets))
+    out = (rows.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                      F.lit(buckets - 1).cast("long"))))
+           .join(products.withColumn("_b", bucket), "_b").drop("_b"))
+    return out, n
+
+
 def grid_constant_columns(spine, prod_attrs, nc, np_, nw, cust_cols, prod_cols, cells, keep):
     """P4 through the dimension identity (see module docstring); ``cells``
     are the weekly purchase cells."""

@@ -86,7 +86,7 @@ class ScoringFrame:
 
 
 def scoring_frame(grid, fill_gaps: bool = True,
-                  max_listed_products: int = 100_000, extra_customer: DataFrame | None = None,
+                  max_listed_products: int = 10_000, extra_customer: DataFrame | None = None,
                   customer_extra_cols: Sequence[str] = ()) -> ScoringFrame:
     """M6 up to the model: pairs x next week with latest attributes, gaps
     filled (F12). ``grid`` is a grid DataFrame (stored, merged: attributes
@@ -99,7 +99,7 @@ def scoring_frame(grid, fill_gaps: bool = True,
     Runs small actions: last week and counts, the product list (size-checked),
     null counts of the two attribute tables, medians of gap columns.
     """
-    from weeklens.operators.grid import Grid
+    from weeklens.operators.grid import Grid, attach_products
     if isinstance(grid, Grid):
         last = grid.last_week
         ccols = [c for c in grid.customers.columns if c != "customer_id"]
@@ -119,18 +119,10 @@ def scoring_frame(grid, fill_gaps: bool = True,
     if fill_gaps:
         ci, pi = _fill_gaps(ci, ccols, np_), _fill_gaps(pi, pcols, nc)
 
-    listed = [r.product_id for r in
-              pi.select("product_id").limit(max_listed_products + 1).collect()]
-    if len(listed) > max_listed_products:
-        raise ValueError("product list above max_listed_products; raise it or score by chunks")
-    listed.sort()
     rows = ci
     if extra_customer is not None:
         rows = rows.join(extra_customer, "customer_id", "left")
-    rows = (rows.withColumn("product_id",
-                            F.explode(F.array(*[F.lit(p) for p in listed]).cast("array<long>")))
-            .withColumn("week", nxt)
-            .join(F.broadcast(pi), "product_id", "left"))
+    rows, _ = attach_products(rows.withColumn("week", nxt), pi, max_listed_products)
     frame = rows.select("customer_id", "product_id", "week", *ccols, *pcols,
                         *customer_extra_cols)
     return ScoringFrame(frame, last, nc, np_, ci, pi)
