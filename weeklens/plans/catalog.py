@@ -664,7 +664,8 @@ def trained(spark, sf, tune=False, n_trials=3):
         w_train = int(round((t_end - g.first_week).days / 7)) + 1
         w_val = int(round((v_end - t_end).days / 7)) if v_end else 0
         _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials,
-                                 train_rows=pairs * w_train, val_rows=pairs * w_val), va)
+                                 train_rows=pairs * w_train, val_rows=pairs * w_val,
+                                 parallelism=n_trials), va)
     return _MODELS[key]
 
 
