@@ -237,22 +237,34 @@ def fit_features_weighted(parts, spec: FeatureSpec) -> FittedFeatures:
                 return df, w
         raise KeyError(c)
 
+    # numeric columns, grouped by the table that holds them: four passes per table
+    groups: dict = {}
     for c in spec.numeric:
         df, w = owner(c)
-        x = F.col(c).cast("double")
+        groups.setdefault(id(df), (df, w, []))[2].append(c)
+    for df, w, cols in groups.values():
         wt = F.col(w).cast("long")
-        med = df.agg(F.percentile(x, F.lit(0.5), wt)).first()[0]
-        ff.median[c] = med if med is not None else 0.0
-        xi = F.coalesce(x, F.lit(ff.median[c]))
-        r = df.agg(F.percentile(xi, F.lit(spec.winsor_lower / 100), wt).alias("lo"),
-                   F.percentile(xi, F.lit(spec.winsor_upper / 100), wt).alias("hi")).first()
-        ff.lower[c] = r.lo
-        ff.upper[c] = r.hi if r.hi > r.lo else r.lo + 1e-6
-        xc = F.least(F.greatest(xi, F.lit(ff.lower[c])), F.lit(ff.upper[c]))
-        mu = df.agg((F.sum(xc * wt) / F.sum(wt)).alias("m")).first().m or 0.0
-        var = df.agg((F.sum((xc - F.lit(mu)) * (xc - F.lit(mu)) * wt) / F.sum(wt)).alias("v")).first().v
-        ff.mean[c] = mu
-        ff.scale[c] = var ** 0.5 if var and var > 0 else 1.0
+        r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5), wt).alias(c)
+                     for c in cols]).first()
+        for c in cols:
+            ff.median[c] = r[c] if r[c] is not None else 0.0
+        xi = {c: F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c])) for c in cols}
+        r = df.agg(*[F.percentile(xi[c], F.lit(spec.winsor_lower / 100), wt).alias(f"lo_{c}")
+                     for c in cols],
+                   *[F.percentile(xi[c], F.lit(spec.winsor_upper / 100), wt).alias(f"hi_{c}")
+                     for c in cols]).first()
+        for c in cols:
+            lo, hi = r[f"lo_{c}"], r[f"hi_{c}"]
+            ff.lower[c] = lo
+            ff.upper[c] = hi if hi > lo else lo + 1e-6
+        xc = {c: F.least(F.greatest(xi[c], F.lit(ff.lower[c])), F.lit(ff.upper[c])) for c in cols}
+        r = df.agg(*[(F.sum(xc[c] * wt) / F.sum(wt)).alias(c) for c in cols]).first()
+        for c in cols:
+            ff.mean[c] = r[c] or 0.0
+        r = df.agg(*[(F.sum((xc[c] - F.lit(ff.mean[c])) * (xc[c] - F.lit(ff.mean[c])) * wt)
+                      / F.sum(wt)).alias(c) for c in cols]).first()
+        for c in cols:
+            ff.scale[c] = r[c] ** 0.5 if r[c] and r[c] > 0 else 1.0
     probs = [i / spec.n_bins for i in range(spec.n_bins + 1)]
     for c in spec.discretize:
         df, w = owner(c)
