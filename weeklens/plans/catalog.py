@@ -150,11 +150,6 @@ def q_grid_constant_columns(spark, sf):
 
 # ------------------------------------------------------------ split
 
-def _spine(spark, sf, grain="part"):
-    return G.week_bounds(load_raw(spark, sf, grain)[0]).select(
-        F.explode(week_spine(F.col("min_week"), F.col("max_week"))).alias("week"))
-
-
 SPLIT_SQL = """, w AS (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS week FROM tx),
 r AS (SELECT week, row_number() OVER (ORDER BY week) AS week_rank, count(*) OVER () AS n FROM w),
 lab AS (SELECT week, week_rank,
