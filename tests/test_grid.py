@@ -97,3 +97,17 @@ def test_hot_customer_third_of_rows(spark):
     la = SC.latest_attributes(g.df, "customer_id", ["customer_type", "Y"], "product_id")
     got = {r.customer_id: (r.customer_type, r.Y) for r in la.collect()}
     assert got[1] == ("T1", 1.0) and len(got) == g.n_customers
+
+
+def test_star_from_grid_object_equals_from_rows(spark):
+    from weeklens.operators import profile as PR
+    from weeklens.operators import scoring as SC
+    from weeklens.sources import load_raw
+    from conftest import SF_SMALL
+    g = G.build_grid(*load_raw(spark, SF_SMALL, "brand"))
+    cc, pc = SC.customer_columns(g.df), SC.product_columns(g.df)
+    a = PR.grid_to_star(g, cc, pc)
+    b = PR.grid_to_star(g.df, cc, pc)
+    for x, y in zip(a, b):
+        cols = sorted(x.columns)
+        assert sorted(map(repr, x.select(cols).collect())) == sorted(map(repr, y.select(cols).collect()))

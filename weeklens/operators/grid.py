@@ -83,6 +83,7 @@ class Grid:
     dropped: list = field(default_factory=list)
     customers: DataFrame | None = None   # the customer spine with its grid attributes
     products: DataFrame | None = None    # the listed products with their grid attributes
+    cells: DataFrame | None = None       # checkpointed weekly purchase cells (label per cell)
 
     def weeks(self) -> DataFrame:
         """The week spine of the grid (one row per week), without touching
@@ -152,7 +153,8 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
     keep_c = [c for c in cust_cols if c not in dropped]
     keep_p = [c for c in prod_cols if c not in dropped]
     return Grid(grid, b.lo, b.hi, n_weeks, int(b.nc), n_products, dropped,
-                spine.select("customer_id", *keep_c), prod_attrs.select("product_id", *keep_p))
+                spine.select("customer_id", *keep_c), prod_attrs.select("product_id", *keep_p),
+                cells)
 
 
 def attach_products(rows: DataFrame, products: DataFrame, max_listed: int = 10_000,

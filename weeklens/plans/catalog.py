@@ -799,8 +799,8 @@ def q_busiest_weeks(spark, sf):
 
 
 def _star(spark, sf):
-    g = G.build_grid(*load_raw(spark, sf, "brand")).df
-    return PR.grid_to_star(g, SC.customer_columns(g), SC.product_columns(g))
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    return PR.grid_to_star(g, SC.customer_columns(g.df), SC.product_columns(g.df))
 
 
 @query("star_purchases", GRID_ALL + """
