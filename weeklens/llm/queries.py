@@ -8,20 +8,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weeklens.llm import poly_fingerprints
+from weeklens.llm import (
+    credential_links,
+    mixture_packing,
+    poly_fingerprints,
+    shard_propagation,
+    simhash_trie,
+    warc_assembly,
+)
+
+# Vocabulary files of the public tokenizers (never copied into the repository).
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_label_propagation(spark, sf_dir):
+    return shard_propagation.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+def op2_warc_transactions(spark, sf_dir):
+    return warc_assembly.archive_roundtrip(_table(spark, sf_dir, "pages"))
+
+
+def op3_mixture_packing(spark, sf_dir):
+    return mixture_packing.pack(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
+def op8_credential_links(spark, sf_dir):
+    return credential_links.scan(_table(spark, sf_dir, "documents")).drop("findings")
+
+
+def op10_simhash_trie(spark, sf_dir):
+    found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op7_exact_dedup(spark, sf_dir):
     found = poly_fingerprints.exact_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES = {
+    "op1_label_propagation": op1_label_propagation,
+    "op2_warc_transactions": op2_warc_transactions,
+    "op3_mixture_packing": op3_mixture_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_credential_links": op8_credential_links,
+    "op10_simhash_trie": op10_simhash_trie,
 }
 
 ORACLE = {
