@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality filter, deduplication, decontamination, packing.
+"""Corpus pipeline: quality, exact and near duplicates, decontamination, packing.
 
 ``STAGES`` lists (name, function); every function takes (spark, docs, sf_dir)
 and returns a DataFrame. ``run`` writes each stage to the shared checkpoint
@@ -8,8 +8,19 @@ executor never costs more than the stage it was working on.
 
 from __future__ import annotations
 
+from weeklens.llm.bayes_quality import drop_rejected
 from weeklens.llm.common import stage
+from weeklens.llm.mixture_packing import pack
 from weeklens.llm.poly_fingerprints import drop_exact_duplicates
+from weeklens.llm.simhash_trie import drop_near_duplicates
+from weeklens.llm.template_decontam import drop_contaminated
+
+TOKENIZER_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that the quality classifier rejects (bad or toxic ones) go."""
+    return drop_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark, docs, sf_dir):
@@ -17,11 +28,31 @@ def exact_dedup(spark, docs, sf_dir):
     return drop_exact_duplicates(docs)
 
 
+def near_dedup(spark, docs, sf_dir):
+    """Of documents linked by SimHash (four words, at most four bits), the one with the least doc_id stays."""
+    return drop_near_duplicates(docs, words=4, max_bits=4)
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark, docs, sf_dir):
+    """Pieces of documents in sequences of 2048 tokens, every window mixed like the whole."""
+    return pack(docs, TOKENIZER_RANKS)
+
+
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
 ]
 
-# Rows of a run depend on a trained classifier and on tokenizer ids: not SQL.
+# A trained classifier and tokenizer ids are no SQL; tests hold the stages
+# against brute force.
 ORACLE_SQL = None
 
 

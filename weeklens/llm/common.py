@@ -48,6 +48,19 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``with_row_id`` number is in column _rid of ``gone``.
+
+    Columns stay as given, whatever their names. Only the numbers of the dropped rows are joined.
+    """
+    name = "_rid"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    numbered = with_row_id(docs, name)
+    other = gone.select(F.col("_rid").alias("_gone"))
+    return numbered.join(other.hint("shuffle_hash"), numbered[name] == other["_gone"], "left_anti").drop(name)
+
+
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
                   rows: int, per_bucket: int = 100_000) -> DataFrame:
     """Add ``out`` = 0, 1, 2, ... (no gaps) over the rows of each key.

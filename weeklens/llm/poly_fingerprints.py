@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id
+from weeklens.llm.common import column, stage, with_row_id, without_rows
 
 # Two primes below 2^31 and a base for each.
 PRIMES = (2147483647, 2147483629)
@@ -159,4 +159,4 @@ def exact_duplicates(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, text: str
 def drop_exact_duplicates(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` does not keep; columns as given."""
     gone = exact_duplicates(docs, chunk_bytes).filter(~F.col("kept")).select("_rid")
-    return with_row_id(docs).join(gone.hint("shuffle_hash"), "_rid", "left_anti").drop("_rid")
+    return without_rows(docs, gone)

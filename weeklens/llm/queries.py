@@ -9,11 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weeklens.llm import (
+    bayes_quality,
     credential_links,
+    line_blocks,
     mixture_packing,
     poly_fingerprints,
+    sentence_spans,
     shard_propagation,
     simhash_trie,
+    template_decontam,
     warc_assembly,
 )
 
@@ -37,6 +41,23 @@ def op3_mixture_packing(spark, sf_dir):
     return mixture_packing.pack(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op4_sentence_spans(spark, sf_dir):
+    found = sentence_spans.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_removed", "removed", "first_docs")
+
+
+def op5_line_blocks(spark, sf_dir):
+    return line_blocks.extract(_table(spark, sf_dir, "pages"))
+
+
+def op6_template_leaks(spark, sf_dir):
+    return template_decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("_rid")
+
+
+def op9_bayes_quality(spark, sf_dir):
+    return bayes_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("_rid")
+
+
 def op8_credential_links(spark, sf_dir):
     return credential_links.scan(_table(spark, sf_dir, "documents")).drop("findings")
 
@@ -55,8 +76,12 @@ QUERIES = {
     "op1_label_propagation": op1_label_propagation,
     "op2_warc_transactions": op2_warc_transactions,
     "op3_mixture_packing": op3_mixture_packing,
+    "op4_sentence_spans": op4_sentence_spans,
+    "op5_line_blocks": op5_line_blocks,
+    "op6_template_leaks": op6_template_leaks,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_credential_links": op8_credential_links,
+    "op9_bayes_quality": op9_bayes_quality,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
