@@ -8,12 +8,15 @@ from weeklens.sources import io as IO
 
 def test_weekly_run_trains_then_reuses(spark):
     work = scratch_path(spark, f"weekly-{uuid.uuid4().hex[:8]}")
-    kw = dict(tune=False, train_cap=2000, val_cap=1000)
+    kw = dict(tune=False, train_cap=2000)
     first = run_weekly(spark, SF_SMALL, work, **kw)
     assert first["retrained"] and first["drift_detected"] is None
     s = first["prediction_summary"]
     assert s["total_combinations"] > 0 and 0 <= s["positive_rate"] <= 1
-    second = run_weekly(spark, SF_SMALL, work, **kw)
+    assert min(first["explained"].values()) > 0 and first["val_samples"] > 2000
+    second = run_weekly(spark, SF_SMALL, work, stamp="w2", **kw)
+    assert second["explained"] == first["explained"]
+    assert spark.read.parquet(f"{work}/snapshots/snapshot=w2").count() == spark.read.parquet(f"{work}/dataset").count()
     assert second["drift_detected"] is False and not second["retrained"]
     drift = IO.read_json_report(spark, f"{work}/reports/drift")
     assert drift["summary"]["columns_with_drift"] == 0

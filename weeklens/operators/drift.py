@@ -13,7 +13,7 @@ the customer table's histogram with that weight (same for products).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -216,12 +216,19 @@ def summary_frame(spark: SparkSession, report: DriftReport) -> DataFrame:
                                    float(s["drift_percentage"]), report.drift_detected)], schema)
 
 
-def should_retrain(report: DriftReport | None, fail_open: bool = False) -> bool:
+def should_retrain(report: "DriftReport | Callable[[], DriftReport | None] | None",
+                   fail_open: bool = False) -> bool:
     """No reference -> train; drift -> train; else reuse the model.
-    Errors raise unless ``fail_open`` (then they count as drift)."""
-    if report is None:
-        return True
-    return bool(report.drift_detected)
+    ``report`` may be a function that makes it; its errors raise unless
+    ``fail_open`` (then they count as drift)."""
+    if callable(report):
+        try:
+            report = report()
+        except Exception:
+            if not fail_open:
+                raise
+            return True
+    return report is None or bool(report.drift_detected)
 
 
 def mean_shift(ref: DataFrame, new: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -1,10 +1,10 @@
 """Feature fitting as aggregates, feature transform as one SQL projection
 (F1-F11).
 
-``fit_features`` runs three aggregate passes over the training frame (each a
-single row of results): medians; then quantiles of the imputed values,
-bin edges and modes; then mean and population deviation of the clipped
-values. The fitted constants become one ``SQLTransformer`` statement, so the
+``fit_features`` reads the training frame once into value histograms (one row
+per column and distinct value) and works out medians, quantiles of the imputed
+values, bin edges, and mean and population deviation of the clipped values from
+those; a second pass counts categories for the modes. The fitted constants become one ``SQLTransformer`` statement, so the
 transform is plain native expressions and is saved with the Spark ML
 pipeline. Categoricals are indexed alphabetically with an unknown bucket and
 one-hot encoded with that bucket dropped, so an unseen or missing category
@@ -13,19 +13,27 @@ is all zeros.
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weeklens.operators.columns import choose_features
+from weeklens.operators.ordered import histogram, quantiles
+from weeklens.session import reliable_checkpoint
+
 # The feature lists of the trainer and its default settings.
 NUMERIC_FEATURES = ["region_id", "Y", "X", "num_deliver_per_week", "num_visit_per_week", "size"]
 CATEGORICAL_FEATURES = ["customer_type", "brand", "category", "sub_category", "segment", "package"]
 DISCRETIZE_FEATURES = ["num_deliver_per_week"]
+# The full trainer's lists: regions and zones are categories there.
+NUMERIC_FEATURES_FULL = ["Y", "X", "num_deliver_per_week", "num_visit_per_week", "size"]
+CATEGORICAL_FEATURES_FULL = ["customer_type", "brand", "category", "sub_category", "segment", "package",
+                             "region_id", "zone_id"]
 DEFAULTS = {"n_bins": 7, "winsor_lower": 3, "winsor_upper": 97}
 EDGE_TOLERANCE = 1e-8
+WEEK_NAME = "__week"
 
 
 @dataclass
@@ -50,6 +58,15 @@ class FeatureSpec:
                    [c for c in CATEGORICAL_FEATURES if c in have],
                    "week" in have, n_bins, winsor_lower, winsor_upper, scaler)
 
+    @classmethod
+    def full(cls, df: DataFrame, n_bins=9, winsor_lower=2, winsor_upper=100):
+        """The full trainer's choice, falling back to all columns of a kind
+        where fewer than two named ones exist."""
+        num, cat = choose_features(df, NUMERIC_FEATURES_FULL, CATEGORICAL_FEATURES_FULL)
+        have = set(df.columns)
+        return cls(num, [c for c in DISCRETIZE_FEATURES if c in have], cat, "week" in have,
+                   n_bins, winsor_lower, winsor_upper)
+
 
 @dataclass
 class FittedFeatures:
@@ -64,11 +81,18 @@ class FittedFeatures:
     week_mean: float = 0.0
     week_scale: float = 1.0
 
+    def as_dict(self) -> dict:
+        return asdict(self)
+
+    @classmethod
+    def from_dict(cls, d: dict) -> "FittedFeatures":
+        return cls(**{**d, "spec": FeatureSpec(**d["spec"])})
+
     # ---------------------------------------------------------------- transform
     def statement(self) -> str:
         parts = ["*"]
         for c in self.spec.numeric:
-            x = f"coalesce(CAST(`{c}` AS DOUBLE), {_d(self.median[c])})"
+            x = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_d(self.median[c])})"
             if self.spec.scaler == "standard":
                 x = f"least(greatest({x}, {_d(self.lower[c])}), {_d(self.upper[c])})"
             parts.append(f"({x} - {_d(self.mean[c])}) / {_d(self.scale[c])} AS `__num_{c}`")
@@ -79,7 +103,7 @@ class FittedFeatures:
             parts.append(f"CAST(coalesce({terms}, 0) AS DOUBLE) AS `__disc_{c}`")
         for c in self.spec.categorical:
             m = self.mode.get(c)
-            fill = "NULL" if m is None else "'" + str(m).replace("'", "''") + "'"
+            fill = "NULL" if m is None else _s(m)
             parts.append(f"coalesce(CAST(`{c}` AS STRING), {fill}) AS `__cat_{c}`")
         if self.spec.week:
             w = "coalesce(CAST(weekofyear(`week`) AS DOUBLE), 0.0)"
@@ -104,80 +128,33 @@ class FittedFeatures:
         return stages
 
 
+def winsorize(df: DataFrame, cols, lower: float, upper: float, refit: bool = False,
+              fitted: FittedFeatures | None = None) -> DataFrame:
+    """F4 by itself: clip columns at percentiles. With ``refit`` the percentiles
+    are those of ``df`` (each batch its own, as the reference's transformer
+    does); otherwise the bounds of ``fitted`` are used. Nulls stay null."""
+    if refit:
+        q = {r.name: r.q for r in quantiles(
+            histogram([(df, {c: F.col(c) for c in cols}, None)]), [lower / 100, upper / 100]).collect()}
+        bounds = {c: (lo, hi if hi > lo else lo + 1e-6) for c, (lo, hi) in q.items()}
+    else:
+        bounds = {c: (fitted.lower[c], fitted.upper[c]) for c in cols}
+    return df.withColumns({c: F.least(F.greatest(F.col(c).cast("double"), F.lit(lo)), F.lit(hi))
+                           for c, (lo, hi) in bounds.items()})
+
+
+def _s(x: str) -> str:
+    """A string as SQL: its UTF-8 bytes in hex, so that no character needs escaping."""
+    return f"decode(X'{str(x).encode('utf-8').hex()}', 'UTF-8')"
+
+
 def _d(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
 def fit_features(df: DataFrame, spec: FeatureSpec) -> FittedFeatures:
-    """F1, F2, F4, F5, F7, F9 fitted on ``df`` (three one-row aggregates)."""
-    ff = FittedFeatures(spec)
-    num, disc, cat = spec.numeric, spec.discretize, spec.categorical
-    # pass 1: medians (exact, linear interpolation), null-skipping
-    if num:
-        r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in num]).first()
-        ff.median = {c: (r[c] if r[c] is not None else 0.0) for c in num}
-    if spec.scaler == "robust":
-        _fit_robust(df, ff)
-        num = []
-    # pass 2: winsor quantiles of the imputed values, bin edges, modes
-    aggs = []
-    for c in num:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c]))
-        aggs += [F.percentile(x, F.lit(spec.winsor_lower / 100)).alias(f"lo_{c}"),
-                 F.percentile(x, F.lit(spec.winsor_upper / 100)).alias(f"hi_{c}")]
-    probs = [i / spec.n_bins for i in range(spec.n_bins + 1)]
-    for c in disc:
-        aggs.append(F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs]))
-                    .alias(f"ed_{c}"))
-    for c in cat:
-        aggs.append(F.mode(F.col(c).cast("string"), True).alias(f"mo_{c}"))
-    if aggs:
-        r = df.agg(*aggs).first()
-        for c in num:
-            lo, hi = r[f"lo_{c}"], r[f"hi_{c}"]
-            ff.lower[c] = lo
-            ff.upper[c] = hi if hi > lo else lo + 1e-6
-        for c in disc:
-            ff.edges[c] = _merge_edges(r[f"ed_{c}"] or [0.0, 0.0])
-        for c in cat:
-            ff.mode[c] = r[f"mo_{c}"]
-    # pass 3: mean and population deviation of the clipped values (+ week)
-    aggs = []
-    for c in num:
-        x = F.least(F.greatest(F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c])),
-                               F.lit(ff.lower[c])), F.lit(ff.upper[c]))
-        aggs += [F.avg(x).alias(f"mu_{c}"), F.stddev_pop(x).alias(f"sd_{c}")]
-    if spec.week:
-        w = F.coalesce(F.weekofyear("week").cast("double"), F.lit(0.0))
-        aggs += [F.avg(w).alias("mu_week"), F.stddev_pop(w).alias("sd_week")]
-    if aggs:
-        r = df.agg(*aggs).first()
-        for c in num:
-            ff.mean[c] = r[f"mu_{c}"] or 0.0
-            ff.scale[c] = r[f"sd_{c}"] or 1.0
-        if spec.week:
-            ff.week_mean = r["mu_week"] or 0.0
-            ff.week_scale = r["sd_week"] or 1.0
-    return ff
-
-
-def _fit_robust(df: DataFrame, ff: FittedFeatures) -> None:
-    """centre at the median, scale by the interquartile range of the
-    imputed values (exact percentiles); a zero range scales by 1."""
-    aggs = []
-    for c in ff.spec.numeric:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c]))
-        aggs += [F.percentile(x, F.lit(0.5)).alias(f"m_{c}"),
-                 F.percentile(x, F.lit(0.25)).alias(f"a_{c}"),
-                 F.percentile(x, F.lit(0.75)).alias(f"b_{c}")]
-    if not aggs:
-        return
-    r = df.agg(*aggs).first()
-    for c in ff.spec.numeric:
-        iqr = r[f"b_{c}"] - r[f"a_{c}"]
-        ff.mean[c] = r[f"m_{c}"]
-        ff.scale[c] = iqr if iqr > 0 else 1.0
-        ff.lower[c], ff.upper[c] = float("-inf"), float("inf")
+    """F1, F2, F4-F7, F9 fitted on the rows of ``df``."""
+    return fit_features_weighted([(df, None)], spec)
 
 
 def _merge_edges(edges):
@@ -191,17 +168,14 @@ def _merge_edges(edges):
 
 def feature_names(ff: FittedFeatures, labels: dict) -> list[str]:
     """names of the assembled vector; ``labels`` maps each categorical to
-    its alphabetical labels. A name seen before gets ``_1``, ``_2``..."""
-    names = list(ff.spec.numeric) + list(ff.spec.discretize)
-    for c in ff.spec.categorical:
-        names += [f"{c}_{v}" for v in labels.get(c, [])]
-    if ff.spec.week:
-        names.append("week")
-    seen, out = Counter(), []
-    for n in names:
-        out.append(n if seen[n] == 0 else f"{n}_{seen[n]}")
-        seen[n] += 1
-    return out
+    its alphabetical labels. The k-th repetition of a name (the same column as
+    number and as bins) is told apart by the suffix ``_k``."""
+    groups = [ff.spec.numeric, ff.spec.discretize,
+              *[[f"{c}_{v}" for v in labels.get(c, [])] for c in ff.spec.categorical],
+              ["week"] * ff.spec.week]
+    flat = [n for g in groups for n in g]
+    earlier = [flat[:i].count(n) for i, n in enumerate(flat)]
+    return [f"{n}_{k}" if k else n for n, k in zip(flat, earlier)]
 
 
 def fitted_table(ff: FittedFeatures):
@@ -223,66 +197,92 @@ def fitted_table(ff: FittedFeatures):
 
 
 def fit_features_weighted(parts, spec: FeatureSpec) -> FittedFeatures:
-    """The same fit from tables whose rows each stand for ``w`` rows of the
-    training frame: ``parts`` is a list of (frame, weight column). Each
-    feature is fitted on the part that holds it, with frequency-weighted exact
-    percentiles, weighted modes and two-pass weighted moments. A dense grid's
-    training split is its customer spine (weight products x weeks), product
-    list (customers x weeks) and week table (customers x products)."""
+    """The fit from tables whose rows each stand for ``w`` rows of the training
+    frame: ``parts`` is a list of (frame, weight column or None). Each feature
+    is fitted on the part that holds it. A dense grid's training split is its
+    customer spine (weight products x weeks), product list (customers x weeks)
+    and week table (customers x products).
+
+    The frames are read once into a histogram (value, count) per column;
+    medians, quantiles, bin edges and moments are worked out from it, with
+    nulls and NaN counted at the median as the imputer puts them there."""
     ff = FittedFeatures(spec)
 
     def owner(c):
-        for df, w in parts:
+        for i, (df, _) in enumerate(parts):
             if c in df.columns:
-                return df, w
+                return i
         raise KeyError(c)
 
-    # numeric columns, grouped by the table that holds them: four passes per table
-    groups: dict = {}
-    for c in spec.numeric:
-        df, w = owner(c)
-        groups.setdefault(id(df), (df, w, []))[2].append(c)
-    for df, w, cols in groups.values():
-        wt = F.col(w).cast("long")
-        r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5), wt).alias(c)
-                     for c in cols]).first()
-        for c in cols:
-            ff.median[c] = r[c] if r[c] is not None else 0.0
-        xi = {c: F.coalesce(F.col(c).cast("double"), F.lit(ff.median[c])) for c in cols}
-        r = df.agg(*[F.percentile(xi[c], F.lit(spec.winsor_lower / 100), wt).alias(f"lo_{c}")
-                     for c in cols],
-                   *[F.percentile(xi[c], F.lit(spec.winsor_upper / 100), wt).alias(f"hi_{c}")
-                     for c in cols]).first()
-        for c in cols:
-            lo, hi = r[f"lo_{c}"], r[f"hi_{c}"]
-            ff.lower[c] = lo
-            ff.upper[c] = hi if hi > lo else lo + 1e-6
-        xc = {c: F.least(F.greatest(xi[c], F.lit(ff.lower[c])), F.lit(ff.upper[c])) for c in cols}
-        r = df.agg(*[(F.sum(xc[c] * wt) / F.sum(wt)).alias(c) for c in cols]).first()
-        for c in cols:
-            ff.mean[c] = r[c] or 0.0
-        r = df.agg(*[(F.sum((xc[c] - F.lit(ff.mean[c])) * (xc[c] - F.lit(ff.mean[c])) * wt)
-                      / F.sum(wt)).alias(c) for c in cols]).first()
-        for c in cols:
-            ff.scale[c] = r[c] ** 0.5 if r[c] and r[c] > 0 else 1.0
-    probs = [i / spec.n_bins for i in range(spec.n_bins + 1)]
-    for c in spec.discretize:
-        df, w = owner(c)
-        e = df.agg(F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs]),
-                                F.col(w).cast("long"))).first()[0]
-        ff.edges[c] = _merge_edges(e or [0.0, 0.0])
-    for c in spec.categorical:
-        df, w = owner(c)
-        counts = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v"))
-                  .agg(F.sum(w).alias("n")))
-        top = counts.agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("m")).first()
-        ff.mode[c] = top.m
+    wanted: dict = {}
+    for c in dict.fromkeys([*spec.numeric, *spec.discretize]):
+        wanted.setdefault(owner(c), {})[c] = F.col(c)
     if spec.week:
-        df, w = owner("week")
-        x = F.coalesce(F.weekofyear("week").cast("double"), F.lit(0.0))
-        wt = F.col(w).cast("long")
-        mu = df.agg((F.sum(x * wt) / F.sum(wt)).alias("m")).first().m or 0.0
-        var = df.agg((F.sum((x - F.lit(mu)) * (x - F.lit(mu)) * wt) / F.sum(wt)).alias("v")).first().v
-        ff.week_mean = mu
-        ff.week_scale = var ** 0.5 if var and var > 0 else 1.0
+        wanted.setdefault(owner("week"), {})[WEEK_NAME] = F.coalesce(
+            F.weekofyear("week").cast("double"), F.lit(0.0))
+    weight = [None if w is None else F.col(w) for _, w in parts]
+    if wanted:
+        hist = reliable_checkpoint(histogram([(parts[i][0], cols, weight[i])
+                                              for i, cols in sorted(wanted.items())]))
+        _fit_numbers(hist, ff)
+    if spec.categorical:
+        counts = None
+        for c in spec.categorical:
+            i = owner(c)
+            n = F.count("*") if weight[i] is None else F.sum(weight[i])
+            part = (parts[i][0].where(F.col(c).isNotNull())
+                    .groupBy(F.lit(c).alias("name"), F.col(c).cast("string").alias("v"))
+                    .agg(n.cast("long").alias("n")))
+            counts = part if counts is None else counts.unionByName(part)
+        top = counts.groupBy("name").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"))
+        ff.mode = {c: None for c in spec.categorical} | {r.name: r.v for r in top.collect()}
     return ff
+
+
+def _fit_numbers(hist: DataFrame, ff: FittedFeatures) -> None:
+    """Medians, edges, clipping bounds and moments from a checkpointed histogram.
+    Every collected table has one row per column."""
+    spec = ff.spec
+    probs = [i / spec.n_bins for i in range(spec.n_bins + 1)]
+    q = {r.name: r.q for r in quantiles(hist, [0.5, *probs], checkpointed=True).collect()}
+    ff.median = {c: q[c][0] if c in q else 0.0 for c in spec.numeric}
+    for c in spec.discretize:
+        ff.edges[c] = _merge_edges(q[c][1:] if c in q else [0.0, 0.0])
+    names = [*spec.numeric, *([WEEK_NAME] if spec.week else [])]
+    if not names:
+        return
+    fill = F.create_map(*[x for c in names for x in (F.lit(c), F.lit(float(ff.median.get(c, 0.0))))])
+    full = (hist.where(F.col("name").isin(names)).withColumn("v", F.coalesce("v", fill[F.col("name")]))
+            .groupBy("name", "v").agg(F.sum("n").alias("n")))
+    robust = spec.scaler == "robust"
+    ranks = [0.25, 0.5, 0.75] if robust else [spec.winsor_lower / 100, spec.winsor_upper / 100]
+    if spec.numeric:
+        for r in quantiles(full.where(F.col("name").isin(spec.numeric)), ranks).collect():
+            if robust:
+                iqr = r.q[2] - r.q[0]
+                ff.mean[r.name], ff.scale[r.name] = r.q[1], iqr if iqr > 0 else 1.0
+                ff.lower[r.name], ff.upper[r.name] = float("-inf"), float("inf")
+            else:
+                ff.lower[r.name] = r.q[0]
+                ff.upper[r.name] = r.q[1] if r.q[1] > r.q[0] else r.q[0] + 1e-6
+    moments = [WEEK_NAME] if robust and spec.week else [] if robust else names
+    if moments:
+        low = F.create_map(*[x for c in moments for x in (F.lit(c), F.lit(float(ff.lower.get(c, float("-inf")))))])
+        high = F.create_map(*[x for c in moments for x in (F.lit(c), F.lit(float(ff.upper.get(c, float("inf")))))])
+        x = full.where(F.col("name").isin(moments)).withColumn(
+            "v", F.least(F.greatest("v", low[F.col("name")]), high[F.col("name")]))
+        total = x.groupBy("name").agg(F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("m"))
+        spread = (x.join(F.broadcast(total.select("name", "m")), "name").groupBy("name")
+                  .agg((F.sum((F.col("v") - F.col("m")) ** 2 * F.col("n")) / F.sum("n")).alias("var"),
+                       F.first("m").alias("m")))
+        for r in spread.collect():
+            scale = r["var"] ** 0.5 if r["var"] and r["var"] > 0 else 1.0
+            if r.name == WEEK_NAME:
+                ff.week_mean, ff.week_scale = r.m, scale
+            else:
+                ff.mean[r.name], ff.scale[r.name] = r.m, scale
+    for c in spec.numeric:
+        ff.mean.setdefault(c, 0.0)
+        ff.scale.setdefault(c, 1.0)
+        ff.lower.setdefault(c, 0.0)
+        ff.upper.setdefault(c, 1e-6)

@@ -64,14 +64,6 @@ def week_bounds_of_cells(cells: DataFrame) -> DataFrame:
     return cells.agg(F.min("week").alias("min_week"), F.max("week").alias("max_week"))
 
 
-def purchase_sets(tx: DataFrame) -> DataFrame:
-    """Products bought per customer-week. The set is bounded by the catalogue,
-    and the aggregate combines map-side, so a hot customer is folded early."""
-    return (with_week(tx).where(F.col("order_id").isNotNull())
-            .groupBy("customer_id", "week")
-            .agg(F.collect_set("product_id").alias("_bought")))
-
-
 @dataclass
 class Grid:
     df: DataFrame
@@ -96,6 +88,14 @@ class Grid:
     def n_cells(self) -> int:
         return self.n_customers * self.n_products * self.n_weeks
 
+    def class_counts(self) -> DataFrame:
+        """Grid rows per label (A13) by identity: the purchase cells hold the
+        positives, all other rows are negatives. Two rows, no grid row made."""
+        pos = self.cells.agg(F.coalesce(F.sum(LABEL), F.lit(0)).cast("long").alias("_p"))
+        both = F.array(F.struct(F.lit(1).alias(LABEL), F.col("_p").alias("n")),
+                       F.struct(F.lit(0).alias(LABEL), (F.lit(self.n_cells) - F.col("_p")).alias("n")))
+        return pos.select(F.explode(both).alias("r")).select("r.*").where("n > 0")
+
 
 def clean_dimension(dim: DataFrame, key: str) -> DataFrame:
     """P1 then P2: a dimension listed twice with different attributes would
@@ -103,10 +103,10 @@ def clean_dimension(dim: DataFrame, key: str) -> DataFrame:
     return dedup_keep_first(dedup_rows(dim).where(F.col(key).isNotNull()), [key])
 
 
-def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
+def build_grid(tx: DataFrame | None, customers: DataFrame, products: DataFrame,
                drop_constant: bool = True, keep=("week", LABEL),
                max_listed_products: int = 10_000, rows_per_bucket: int = 2_000,
-               checkpoint_cells: bool = True) -> Grid:
+               checkpoint_cells: bool = True, cells: DataFrame | None = None) -> Grid:
     """build_grid: P1, A1, A2, S2, S3, J2-J4, S5, P4.
 
     Transactions are folded once into weekly purchase cells; the cells are
@@ -114,11 +114,13 @@ def build_grid(tx: DataFrame, customers: DataFrame, products: DataFrame,
     once and later actions (and a lost executor) start from the cells. Small
     actions follow: week bounds and customer count (one row), the product list
     (bounded by ``max_listed_products``), the constant check on the two
-    dimension tables. The returned frame is lazy.
+    dimension tables. The returned frame is lazy. ``cells`` (written weekly
+    purchase cells) may be given instead of transactions.
     """
-    cells = weekly_purchases(tx)
-    if checkpoint_cells:
-        cells = reliable_checkpoint(cells)
+    if cells is None:
+        cells = weekly_purchases(tx)
+        if checkpoint_cells:
+            cells = reliable_checkpoint(cells)
     cust = clean_dimension(customers, "customer_id")
     prod = clean_dimension(products, "product_id")
 

@@ -1,10 +1,11 @@
 """Incremental merge of new grid rows into recent history.
 
 combined = latest N weeks of history  UNION BY NAME  new grid, one row per
-(customer, product, week), new rows winning. Because new rows win outright,
-"keep last" is a left-anti join of history against the new keys, and only the
-history weeks that overlap the new week range take part in that join; older
-history rows pass straight through without a shuffle.
+(customer, product, week), new rows winning, the last of repeated rows of one
+side staying. A ``Grid`` just built holds each key once, and a history row is
+replaced by it exactly when its customer, its product and its week all belong
+to the new grid; so the merge of built grids joins history rows to the two
+small key tables of the new grid and never shuffles rows by their full key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weeklens.operators.dedup import dedup_keep_last
+from weeklens.operators.grid import Grid
 from weeklens.operators.split import latest_weeks_bound
 
 KEYS = ["customer_id", "product_id", "week"]
@@ -25,31 +28,62 @@ class Incremental:
     history_lower_bound: object
 
 
-def prepare_incremental(history: DataFrame | None, new: DataFrame,
+def _unique(df: DataFrame, order) -> DataFrame:
+    """One row per key: the last by ``order`` (default: all other columns, as
+    a distributed table has no file order)."""
+    rest = list(order) or [c for c in df.columns if c not in KEYS]
+    return dedup_keep_last(df, KEYS, rest)
+
+
+def prepare_incremental(history: DataFrame | Grid | None, new: DataFrame | Grid,
                         weeks_to_include: int = 4, history_weeks: DataFrame | None = None,
-                        new_first_week=None) -> Incremental:
+                        new_first_week=None, order=(), unique: bool = False) -> Incremental:
     """U2. ``history`` may be None (no history yet): the new grid is used as is.
-    Runs two small actions (the history bound and the new week range); pass
-    the history's week table and the new first week when known (a grid just
-    built knows both) to skip the passes over the rows."""
+
+    Each side is a grid DataFrame or a ``Grid`` just built. Rows of a frame
+    that repeat a key are cut to the last by ``order`` columns (pass ``unique``
+    if the keys are known to be unique, as in a table this function wrote).
+    Small actions find the history bound and, for a frame, the new week range."""
+    new_rows = new.df if isinstance(new, Grid) else (new if unique else _unique(new, order))
     if history is None:
-        return Incremental(new, None)
-    lo = latest_weeks_bound(history_weeks if history_weeks is not None else history,
-                            weeks_to_include)
+        return Incremental(new_rows, None)
+    weeks = history_weeks if history_weeks is not None else (
+        history.weeks() if isinstance(history, Grid) else history)
+    lo = latest_weeks_bound(weeks, weeks_to_include)
     if lo is None:
-        return Incremental(new, None)
-    recent = history.where(F.col("week") >= F.lit(lo))
-    new_lo = new_first_week if new_first_week is not None else new.agg(F.min("week")).first()[0]
+        return Incremental(new_rows, None)
+    table = history.df if isinstance(history, Grid) else history
+    recent = table.where(F.col("week") >= F.lit(lo))
+    if not isinstance(history, Grid) and not unique:
+        recent = _unique(recent, order)
+    if isinstance(new, Grid):
+        new_lo, new_hi = new.first_week, new.last_week
+    else:
+        new_lo = new_first_week if new_first_week is not None else new.agg(F.min("week")).first()[0]
+        new_hi = None
     if new_lo is None:
-        combined = recent.unionByName(new, allowMissingColumns=True)
-        return Incremental(combined, lo)
+        return Incremental(recent.unionByName(new_rows, allowMissingColumns=True), lo)
     older = recent.where(F.col("week") < F.lit(new_lo))
     overlap = recent.where(F.col("week") >= F.lit(new_lo))
-    kept = overlap.join(new.select(*KEYS), KEYS, "left_anti")
-    combined = (older.unionByName(kept).unionByName(new, allowMissingColumns=True))
+    if isinstance(new, Grid):
+        # every (customer, product, week) of the new spines is a row of the new grid
+        c = new.customers.select(F.col("customer_id").alias("_c"))
+        p = new.products.select(F.col("product_id").alias("_p"))
+        kept = (overlap.join(c, F.col("customer_id") == F.col("_c"), "left")
+                .join(p, F.col("product_id") == F.col("_p"), "left")
+                .where(F.col("_c").isNull() | F.col("_p").isNull() | (F.col("week") > F.lit(new_hi)))
+                .drop("_c", "_p"))
+    else:
+        kept = overlap.join(new_rows.select(*KEYS), KEYS, "left_anti")
+    combined = older.unionByName(kept).unionByName(new_rows, allowMissingColumns=True)
     return Incremental(combined, lo)
 
 
+STATS_SCHEMA = ("historical_samples long, new_samples long, combined_samples long, "
+                "historical_weeks long, new_weeks long, combined_weeks long, "
+                "weeks_included_from_historical int, min_week timestamp, max_week timestamp")
+
+
 def incremental_stats(history: DataFrame | None, new: DataFrame, combined: DataFrame,
                       weeks_to_include: int = 4) -> DataFrame:
     """Row counts, distinct weeks and week range per input. Three
@@ -59,8 +93,26 @@ def incremental_stats(history: DataFrame | None, new: DataFrame, combined: DataF
                       F.min("week").alias("lo"), F.max("week").alias("hi")).first()
     n, c = one(new), one(combined)
     h = one(history) if history is not None else None
-    schema = ("historical_samples long, new_samples long, combined_samples long, "
-              "historical_weeks long, new_weeks long, combined_weeks long, "
-              "weeks_included_from_historical int, min_week timestamp, max_week timestamp")
     row = (h.n if h else 0, n.n, c.n, h.w if h else 0, n.w, c.w, weeks_to_include, c.lo, c.hi)
-    return new.sparkSession.createDataFrame([row], schema)
+    return new.sparkSession.createDataFrame([row], STATS_SCHEMA)
+
+
+def incremental_stats_of_grids(history: Grid, new: Grid, weeks_to_include: int = 4) -> DataFrame:
+    """A12 of a merge of built grids, by identity: sizes are products of key
+    counts, and replaced rows are (common customers) x (common products) x
+    (common weeks). No grid row is made."""
+    weeks = history.weeks()
+    lo = latest_weeks_bound(weeks, weeks_to_include)
+    recent = weeks.where(F.col("week") >= F.lit(lo))
+    both = new.weeks().select("week")
+    common = (history.customers.select("customer_id").join(new.customers.select("customer_id"), "customer_id").count()
+              * history.products.select("product_id").join(new.products.select("product_id"), "product_id").count()
+              * recent.join(both, "week").count())
+    kept = history.n_customers * history.n_products * recent.count() - common
+    # a history week stays in the result if any of its rows is kept
+    alone = recent.join(both, "week", "left_anti") if common and kept == 0 else recent
+    w = alone.union(both).agg(F.count_distinct("week").alias("n"), F.min("week").alias("lo"),
+                              F.max("week").alias("hi")).first()
+    row = (history.n_cells, new.n_cells, new.n_cells + kept, history.n_weeks, new.n_weeks, w.n,
+           weeks_to_include, w.lo, w.hi)
+    return new.df.sparkSession.createDataFrame([row], STATS_SCHEMA)

@@ -18,43 +18,26 @@ from pyspark.sql import types as T
 
 from weeklens.functions.time import next_week
 from weeklens.operators.columns import by_prefix
+from weeklens.operators.ordered import histogram, quantiles
 from weeklens.sources.tables import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES
 
 DROP_FOR_FEATURES = ("comprado", "customer_id", "product_id")
 
 
 def latest_attributes(grid: DataFrame, key: str, cols: Sequence[str],
-                      other: str, week: str = "week",
-                      broadcast_keys: int = 1_000_000) -> DataFrame:
+                      other: str, week: str = "week") -> DataFrame:
     """A3: per ``key``, each column's last non-null value by week (``other``
-    key breaks ties), as pandas ``sort_values(week).groupby(key).last()``.
+    key breaks ties, a null one ranks lowest, then the value itself), as pandas
+    ``sort_values(week).groupby(key).last()``.
 
-    A hash aggregate first finds, per key and column, the last week with a
-    value. When the keys are few enough to broadcast (checked count), the grid
-    is cut to the rows of those weeks map-side and only they go through the
-    (sort-based) ``max_by``; otherwise ``max_by`` runs over all rows, which is
-    slower but has no size limit.
-    """
+    One aggregate whose buffers are a (week, other, value) struct per column,
+    folded on the map side, so a key with any share of the rows is cheap."""
     g = grid.where(F.col(key).isNotNull())
     if not cols:
         return g.select(key).distinct()
-    lw_cols = [f"_lw{i}" for i in range(len(cols))]
-    lw = g.groupBy(key).agg(*[F.max(F.when(F.col(c).isNotNull(), F.col(week))).alias(n)
-                              for c, n in zip(cols, lw_cols)])
-    n_keys = lw.count()
-    if n_keys > broadcast_keys:
-        order = F.struct(F.col(week), F.col(other))
-        return g.groupBy(key).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
-                                    for c in cols])
-    hit = None
-    for n in lw_cols:
-        cond = F.col(week) == F.col(n)
-        hit = cond if hit is None else (hit | cond)
-    rows = g.join(F.broadcast(lw), key).where(hit)
-    picked = rows.groupBy(key).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull() & (F.col(week) == F.col(n)), F.col(other)))
-        .alias(c) for c, n in zip(cols, lw_cols)])
-    return lw.select(key).join(picked, key, "left")
+    return (g.groupBy(key).agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(week), F.col(other), F.col(c).alias("v")))).alias(c)
+        for c in cols]).select(key, *[F.col(c)["v"].alias(c) for c in cols]))
 
 
 def customer_columns(grid: DataFrame) -> list[str]:
@@ -67,11 +50,14 @@ def product_columns(grid: DataFrame) -> list[str]:
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> dict:
-    """Nulls per column in one pass. Runs one single-row aggregate."""
+    """Nulls (NaN counts as null) per column in one pass. Runs one
+    single-row aggregate."""
     cols = list(cols or df.columns)
     if not cols:
         return {}
-    row = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols]).first()
+    floats = {c for c, t in df.dtypes if t in ("double", "float")}
+    missing = {c: F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull() for c in cols}
+    row = df.agg(*[F.sum(missing[c].cast("long")).alias(c) for c in cols]).first()
     return {c: int(row[c] or 0) for c in cols}
 
 
@@ -85,7 +71,7 @@ class ScoringFrame:
     products: DataFrame       # latest product attributes, one row per product
 
 
-def scoring_frame(grid, fill_gaps: bool = True,
+def scoring_frame(grid, fill: bool = True,
                   max_listed_products: int = 10_000, extra_customer: DataFrame | None = None,
                   customer_extra_cols: Sequence[str] = ()) -> ScoringFrame:
     """M6 up to the model: pairs x next week with latest attributes, gaps
@@ -116,8 +102,8 @@ def scoring_frame(grid, fill_gaps: bool = True,
         last = grid.agg(F.max("week").alias("last")).first().last
     nxt = F.lit(last).cast("timestamp") + F.expr("INTERVAL 7 DAYS")
 
-    if fill_gaps:
-        ci, pi = _fill_gaps(ci, ccols, np_), _fill_gaps(pi, pcols, nc)
+    if fill:
+        ci, pi = fill_gaps(ci, ccols, np_), fill_gaps(pi, pcols, nc)
 
     rows = ci
     if extra_customer is not None:
@@ -128,7 +114,7 @@ def scoring_frame(grid, fill_gaps: bool = True,
     return ScoringFrame(frame, last, nc, np_, ci, pi)
 
 
-def _fill_gaps(attrs: DataFrame, cols: Sequence[str], repeat: int) -> DataFrame:
+def fill_gaps(attrs: DataFrame, cols: Sequence[str], repeat: int) -> DataFrame:
     """F12 on an attribute table whose rows each stand for ``repeat`` frame
     rows: strings -> 'Unknown', numbers -> the frame median, which is the
     frequency-weighted exact percentile of the attribute table."""
@@ -136,16 +122,17 @@ def _fill_gaps(attrs: DataFrame, cols: Sequence[str], repeat: int) -> DataFrame:
     if not gaps:
         return attrs
     types = dict(attrs.dtypes)
-    numeric = [c for c in gaps if types[c] not in ("string",)]
+    numeric = [c for c in gaps if types[c] != "string"]
     med = {}
     if numeric:
-        row = attrs.agg(*[F.percentile(F.col(c), F.lit(0.5), F.lit(repeat)).alias(c)
-                          for c in numeric]).first()
-        med = {c: row[c] for c in numeric}
+        hist = histogram([(attrs, {c: F.col(c) for c in numeric}, F.lit(repeat))])
+        med = {r.name: r.q[0] for r in quantiles(hist, [0.5]).collect()}
     out = attrs
     for c in gaps:
-        fill = F.lit("Unknown") if types[c] == "string" else F.lit(med[c]).cast(types[c])
-        out = out.withColumn(c, F.coalesce(F.col(c), fill))
+        # a median may fall between two integers: the filled column is a double then
+        fill = F.lit("Unknown") if types[c] == "string" else F.lit(med.get(c)).cast("double")
+        value = F.col(c) if types[c] == "string" else F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        out = out.withColumn(c, F.coalesce(value, fill))
     return out
 
 

@@ -167,8 +167,8 @@ SELECT week, week_rank,
             WHEN week_rank <= floor(n * 0.7) + floor(n * 0.15) THEN 'val' ELSE 'test' END AS split
 FROM r""")
 def q_temporal_split(spark, sf):
-    """W1 on the grid's weeks (distinct weeks of the materialised grid)."""
-    return S.split_labels(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    """W1 on the grid's weeks: its week spine, no grid row is made."""
+    return S.split_labels(G.build_grid(*load_raw(spark, sf, "brand")).weeks())
 
 
 @query("split_sizes", with_(TX_PART) + SPLIT_SQL + """
@@ -204,7 +204,8 @@ SELECT * FROM grid WHERE week >= (SELECT min(week) FROM
   (SELECT DISTINCT week FROM grid ORDER BY week DESC LIMIT 4))""")
 def q_latest_weeks(spark, sf):
     """Grid rows of the latest 4 weeks (the history kept by the merge)."""
-    return S.latest_weeks(G.build_grid(*load_raw(spark, sf, "brand")).df, 4)
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    return g.df.where(F.col("week") >= F.lit(S.latest_weeks_bound(g.weeks(), 4)))
 
 
 # ------------------------------------------------------------ incremental
@@ -222,12 +223,9 @@ def _windows(spark, sf):
 
 
 def _incremental(spark, sf):
+    """The two built grids."""
     hist_tx, new_tx, cust, prod = _windows(spark, sf)
-    hist = G.build_grid(hist_tx, cust, prod)
-    new = G.build_grid(new_tx, cust, prod)
-    merged = I.prepare_incremental(hist.df, new.df, 4, history_weeks=hist.weeks(),
-                                   new_first_week=new.first_week)
-    return hist.df, new.df, merged.df
+    return G.build_grid(hist_tx, cust, prod), G.build_grid(new_tx, cust, prod)
 
 
 INCR_SQL = with_(TX_BRAND, CUST, PROD_BRAND, TX_WINDOWS, grid_cte("hist", "tx_hist"),
@@ -245,7 +243,32 @@ combined AS (
 
 @query("incremental_merge", INCR_SQL + "SELECT * FROM combined")
 def q_incremental_merge(spark, sf):
-    return _incremental(spark, sf)[2]
+    return I.prepare_incremental(*_incremental(spark, sf), 4).df
+
+
+@query("merge_repeated_rows", with_(CUST) + """
+, base AS (SELECT customer_id, customer_id % 7 AS product_id, TIMESTAMP '2024-01-01' + INTERVAL 7 DAY * (customer_id % 9) AS week,
+                  Y, zone_id FROM cust),
+hist AS (SELECT customer_id, product_id, week, Y, 0 AS rank FROM base UNION ALL
+         SELECT customer_id, product_id, week, Y + 1, 1 FROM base WHERE zone_id < 12),
+newr AS (SELECT customer_id, product_id, week, Y + 10 AS Y, 0 AS rank FROM base WHERE zone_id % 2 = 0 UNION ALL
+         SELECT customer_id, product_id, week, Y + 20, 1 FROM base WHERE zone_id % 4 = 0),
+lo AS (SELECT min(week) AS lo FROM (SELECT DISTINCT week FROM hist ORDER BY week DESC LIMIT 4)),
+both_ AS (SELECT *, 0 AS side FROM hist, lo WHERE week >= lo UNION ALL SELECT *, 1 FROM newr, lo),
+last_ AS (SELECT *, row_number() OVER (PARTITION BY customer_id, product_id, week ORDER BY side DESC, rank DESC) AS r FROM both_)
+SELECT customer_id, product_id, week, round(Y, 6) AS Y, CAST(rank AS INTEGER) AS rank FROM last_ WHERE r = 1""")
+def q_merge_repeated_rows(spark, sf):
+    """U2 + P3 where both sides repeat keys: the last row of the newer side stays."""
+    week = F.lit("2024-01-01").cast("timestamp") + F.make_interval(weeks=(F.col("customer_id") % 9).cast("int"))
+    base = load_raw(spark, sf)[1].select("customer_id", (F.col("customer_id") % 7).alias("product_id"),
+                                         week.alias("week"), "Y", "zone_id")
+
+    def side(rows, more, rank):
+        return rows.select("customer_id", "product_id", "week", (F.col("Y") + more).alias("Y"), F.lit(rank).alias("rank"))
+    hist = side(base, 0.0, 0).unionByName(side(base.where("zone_id < 12"), 1.0, 1))
+    new = side(base.where("zone_id % 2 = 0"), 10.0, 0).unionByName(side(base.where("zone_id % 4 = 0"), 20.0, 1))
+    merged = I.prepare_incremental(hist, new, 4, order=["rank"]).df
+    return merged.withColumn("Y", r6(F.col("Y")))
 
 
 @query("incremental_stats", INCR_SQL + """
@@ -257,8 +280,7 @@ SELECT (SELECT count(*) FROM hist) AS historical_samples, (SELECT count(*) FROM
        4 AS weeks_included_from_historical,
        (SELECT min(week) FROM combined) AS min_week, (SELECT max(week) FROM combined) AS max_week""")
 def q_incremental_stats(spark, sf):
-    hist, new, combined = _incremental(spark, sf)
-    return I.incremental_stats(hist, new, combined, 4)
+    return I.incremental_stats_of_grids(*_incremental(spark, sf), 4)
 
 
 # ------------------------------------------------------------ drift
@@ -446,6 +468,97 @@ def q_next_week_positives(spark, sf):
                     "prediccion_compra", "confidence_level", "action_tier", "probability_band"))
 
 
+@query("score_tiers_all", GRID_ALL + FRAME_SQL + """
+SELECT customer_id, product_id, round(probabilidad_compra, 6) AS probabilidad_compra,
+       CAST(probabilidad_compra > 0.5 AS INTEGER) AS prediccion_compra,
+       CASE WHEN probabilidad_compra > 0.5 THEN CASE WHEN probabilidad_compra > 0.7 THEN 'high' ELSE 'medium' END
+            WHEN probabilidad_compra < 0.3 THEN 'high' ELSE 'medium' END AS confidence_level,
+       CASE WHEN probabilidad_compra > 0.8 THEN 'immediate_action' WHEN probabilidad_compra > 0.6 THEN 'follow_up'
+            WHEN probabilidad_compra > 0.5 THEN 'moderate_opportunity' WHEN probabilidad_compra < 0.2 THEN 'low_priority'
+            ELSE 'latent_potential' END AS action_tier,
+       CASE WHEN probabilidad_compra > 0.7 THEN 'high' WHEN probabilidad_compra >= 0.5 THEN 'medium'
+            WHEN probabilidad_compra >= 0.3 THEN 'moderate' ELSE 'low' END AS probability_band
+FROM scored""")
+def q_score_tiers_all(spark, sf):
+    """S7-S10 for every scored pair, positive or not."""
+    return score_tiers(_baseline(spark, sf)).select(
+        "customer_id", "product_id", r6(F.col("probabilidad_compra")).alias("probabilidad_compra"),
+        "prediccion_compra", "confidence_level", "action_tier", "probability_band")
+
+
+GAPPY = """, gappy AS (SELECT customer_id, product_id, week,
+    CASE WHEN (customer_id + product_id + weekofyear(week)) % 3 <> 0 THEN customer_type END AS customer_type,
+    CASE WHEN (customer_id * 7 + product_id + weekofyear(week)) % 4 = 0 AND customer_id % 11 <> 0 THEN Y + weekofyear(week) END AS Y,
+    CASE WHEN customer_id % 13 <> 0 THEN num_deliver_per_week END AS num_deliver_per_week FROM grid)
+"""
+
+
+def _gappy(spark, sf):
+    g = G.build_grid(*load_raw(spark, sf, "brand")).df
+    w, c, p = F.weekofyear("week"), F.col("customer_id"), F.col("product_id")
+    return g.select("customer_id", "product_id", "week",
+                    F.when((c + p + w) % 3 != 0, F.col("customer_type")).alias("customer_type"),
+                    F.when(((c * 7 + p + w) % 4 == 0) & (c % 11 != 0), F.col("Y") + w).alias("Y"),
+                    F.when(c % 13 != 0, F.col("num_deliver_per_week")).alias("num_deliver_per_week"))
+
+
+@query("latest_attributes", GRID_ALL + GAPPY + """
+SELECT customer_id,
+       arg_max(customer_type, CASE WHEN customer_type IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS customer_type,
+       arg_max(Y, CASE WHEN Y IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS Y,
+       arg_max(num_deliver_per_week, CASE WHEN num_deliver_per_week IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END)
+         AS num_deliver_per_week
+FROM gappy GROUP BY customer_id""")
+def q_latest_attributes(spark, sf):
+    """A3 / W6 from the rows of a grid whose attributes have gaps: the last
+    non-null value per customer and column."""
+    return SC.latest_attributes(_gappy(spark, sf), "customer_id", ["customer_type", "Y", "num_deliver_per_week"], "product_id")
+
+
+@query("gap_fill", GRID_ALL + GAPPY + """, la AS (SELECT customer_id,
+       arg_max(customer_type, CASE WHEN customer_type IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS customer_type,
+       arg_max(Y, CASE WHEN Y IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS Y,
+       arg_max(num_deliver_per_week, CASE WHEN num_deliver_per_week IS NOT NULL THEN epoch_ms(week) * 1000 + product_id END) AS n
+FROM gappy GROUP BY customer_id)
+SELECT customer_id, coalesce(customer_type, 'Unknown') AS customer_type,
+       round(coalesce(Y, (SELECT quantile_cont(Y, 0.5) FROM la)), 6) AS Y,
+       round(coalesce(CAST(n AS DOUBLE), (SELECT quantile_cont(CAST(n AS DOUBLE), 0.5) FROM la)), 6) AS num_deliver_per_week
+FROM la""")
+def q_gap_fill(spark, sf):
+    """A15 + F12: gaps that no week fills get 'Unknown' or the median, also a
+    median between two integers."""
+    cols = ["customer_type", "Y", "num_deliver_per_week"]
+    la = reliable_checkpoint(SC.latest_attributes(_gappy(spark, sf), "customer_id", cols, "product_id"))
+    out = SC.fill_gaps(la, cols, 1)
+    return out.select("customer_id", "customer_type", r6(F.col("Y")).alias("Y"),
+                      r6(F.col("num_deliver_per_week").cast("double")).alias("num_deliver_per_week"))
+
+
+@query("null_profile", GRID_ALL + GAPPY + """
+SELECT 'customer_type' AS column_name, count(*) - count(customer_type) AS nulls FROM gappy UNION ALL
+SELECT 'Y', count(*) - count(Y) FROM gappy UNION ALL
+SELECT 'num_deliver_per_week', count(*) - count(num_deliver_per_week) FROM gappy""")
+def q_null_profile(spark, sf):
+    """A15 as a table."""
+    n = SC.null_counts(_gappy(spark, sf), ["customer_type", "Y", "num_deliver_per_week"])
+    return spark.createDataFrame(list(n.items()), "column_name string, nulls long")
+
+
+@query("scoring_file_weeks", with_(TX_PART) + """
+SELECT DISTINCT week_num, TIMESTAMP '2019-12-30' + INTERVAL 7 DAY * (week_num - 1) AS week, week_num AS week_of_year
+FROM (SELECT CAST(weekofyear(purchase_date) AS INTEGER) AS week_num FROM tx UNION ALL
+      SELECT CAST(1 + order_id % 53 AS INTEGER) FROM tx)""")
+def q_scoring_file_weeks(spark, sf):
+    """Every week number a scoring file may carry (1 to 53) becomes a
+    week whose ISO number is the same."""
+    from weeklens.plans.scoring import file_to_frame
+    tx = load_raw(spark, sf)[0]
+    n = (tx.select(F.weekofyear("purchase_date").alias("week_num"))
+         .unionByName(tx.select((F.col("order_id") % 53 + 1).cast("int").alias("week_num"))).distinct())
+    out = file_to_frame(n.withColumn("n", F.col("week_num")))
+    return out.select(F.col("n").alias("week_num"), "week", F.weekofyear("week").alias("week_of_year"))
+
+
 @query("prediction_summary", GRID_ALL + FRAME_SQL + """
 SELECT count(*) AS total_combinations,
        count(*) FILTER (WHERE probabilidad_compra > 0.5) AS positive_predictions,
@@ -550,7 +663,7 @@ SELECT comprado, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS sh
        round(sum(count(*)) OVER () / (2.0 * count(*)), 6) AS class_weight
 FROM grid GROUP BY comprado""")
 def q_class_balance(spark, sf):
-    cb = M.class_balance(G.build_grid(*load_raw(spark, sf, "brand")).df)
+    cb = M.class_balance(G.build_grid(*load_raw(spark, sf, "brand")).class_counts())
     return cb.select("comprado", "n", r6(F.col("share")).alias("share"),
                      r6(F.col("class_weight")).alias("class_weight"))
 
@@ -603,19 +716,24 @@ UNION ALL SELECT 'week', 'mean', mu, NULL FROM wk
 UNION ALL SELECT 'week', 'scale', CASE WHEN sd > 0 THEN sd ELSE 1 END, NULL FROM wk)""")
 
 
+def _train_parts(spark, sf):
+    """The grid and its training split as weighted spines."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    t_end, _ = S.split_bounds(g.weeks())
+    weeks = g.weeks().where(F.col("week") <= F.lit(t_end))
+    w_train = weeks.count()
+    return g, [(g.customers.withColumn("_w", F.lit(g.n_products * w_train)), "_w"),
+               (g.products.withColumn("_w", F.lit(g.n_customers * w_train)), "_w"),
+               (weeks.withColumn("_w", F.lit(g.n_customers * g.n_products)), "_w")]
+
+
 @query("feature_fit", FIT_SQL)
 def q_feature_fit(spark, sf):
     """F1, F2, F4, F5, F7, F9 fitted on the whole training split of the grid,
     by the grid identity: the customer spine weighs products x training
     weeks, each product customers x training weeks, each week customers x
     products. The oracle fits on the materialised split row by row."""
-    g = G.build_grid(*load_raw(spark, sf, "brand"))
-    t_end, _ = S.split_bounds(g.weeks())
-    weeks = g.weeks().where(F.col("week") <= F.lit(t_end))
-    w_train = weeks.count()
-    parts = [(g.customers.withColumn("_w", F.lit(g.n_products * w_train)), "_w"),
-             (g.products.withColumn("_w", F.lit(g.n_customers * w_train)), "_w"),
-             (weeks.withColumn("_w", F.lit(g.n_customers * g.n_products)), "_w")]
+    g, parts = _train_parts(spark, sf)
     ff = FE.fit_features_weighted(parts, FE.FeatureSpec.for_frame(g.df))
     rows = FE.fitted_table(ff)
     df = spark.createDataFrame(rows, "feature string, stat string, value double, text string")
@@ -635,35 +753,113 @@ UNION ALL SELECT '{c}', 'scale', CASE WHEN quantile_cont({c}, 0.75) - quantile_c
 def q_feature_fit_robust(spark, sf):
     """F6 (the production trainer's scaling): median impute, centre at the
     median, scale by the interquartile range, on the whole training split."""
-    g = G.build_grid(*load_raw(spark, sf, "brand"))
-    train = S.temporal_split(g.df, weeks=g.weeks())[0].select(*FIT_NUM)
-    spec = FE.FeatureSpec(FIT_NUM, [], [], False, scaler="robust")
-    ff = FE.fit_features(train, spec)
+    _, parts = _train_parts(spark, sf)
+    ff = FE.fit_features_weighted(parts, FE.FeatureSpec(FIT_NUM, [], [], False, scaler="robust"))
     df = spark.createDataFrame(FE.fitted_table(ff), "feature string, stat string, value double, text string")
     return df.select("feature", "stat", r6(F.col("value")).alias("value"), "text")
 
 
+@query("feature_transform", FIT_SQL.split("SELECT feature, stat, round(value, 6)")[0] + """
+SELECT c.customer_id,
+""" + ",\n".join(f"""round((least(greatest(coalesce(CAST(c.{x} AS DOUBLE), m_{x}.med), b_{x}.lo), b_{x}.hi) - s_{x}.mu)
+  / CASE WHEN s_{x}.sd > 0 THEN s_{x}.sd ELSE 1 END, 6) AS num_{x}""" for x in FIT_NUM) + """,
+CAST((SELECT count(*) FROM edges WHERE k > 0 AND k < (SELECT max(k) FROM edges) AND c.num_deliver_per_week >= e) AS DOUBLE)
+  AS disc_num_deliver_per_week,
+coalesce(c.customer_type, (SELECT value FROM modes WHERE column_name = 'customer_type')) AS cat_customer_type
+FROM (SELECT customer_id, customer_type, region_id, zone_id, X, num_deliver_per_week,
+             CASE WHEN customer_id % 5 = 0 THEN NULL ELSE Y END AS Y FROM cust
+      WHERE customer_id IN (SELECT customer_id FROM tx)) c, """
+       + ", ".join(f"m_{x}, b_{x}, s_{x}" for x in FIT_NUM))
+def q_feature_transform(spark, sf):
+    """F1-F8 applied: imputed, clipped and scaled numbers, bin numbers and filled
+    categories of every customer of the grid (a fifth without Y)."""
+    from pyspark.ml.feature import SQLTransformer
+    g, parts = _train_parts(spark, sf)
+    ff = FE.fit_features_weighted(parts, FE.FeatureSpec(FIT_NUM, FE.DISCRETIZE_FEATURES, ["customer_type"], False))
+    rows = g.customers.withColumn("Y", F.when(F.col("customer_id") % 5 != 0, F.col("Y")))
+    out = SQLTransformer(statement=ff.statement()).transform(rows)
+    return out.select("customer_id", *[r6(F.col(f"__num_{c}")).alias(f"num_{c}") for c in FIT_NUM],
+                      F.col("__disc_num_deliver_per_week").alias("disc_num_deliver_per_week"),
+                      F.col("__cat_customer_type").alias("cat_customer_type"))
+
+
+@query("winsor_refit", with_(CUST) + """, q AS (SELECT quantile_cont(Y, 0.03) AS lo, quantile_cont(Y, 0.97) AS hi FROM cust)
+SELECT customer_id, round(least(greatest(Y, lo), hi), 6) AS Y FROM cust, q""")
+def q_winsor_refit(spark, sf):
+    """F4 refitted on the batch it transforms."""
+    c = FE.winsorize(load_raw(spark, sf)[1], ["Y"], 3, 97, refit=True)
+    return c.select("customer_id", r6(F.col("Y")).alias("Y"))
+
+
 # ------------------------------------------------------------ model (M1-M10, IO8)
 
 _MODELS: dict = {}
 
 
 def trained(spark, sf, tune=False, n_trials=3):
-    """One fit per (session, data dir, search setting); later queries reuse it."""
-    key = (id(spark), sf, tune, n_trials)
+    """One fit per (application, data dir, search setting); later queries of the
+    same application reuse it. The fit is seeded, so it does not matter which
+    query asks first, and nothing stays persisted."""
+    key = (spark.sparkContext.applicationId, sf, tune, n_trials)
     if key not in _MODELS:
         g = G.build_grid(*load_raw(spark, sf, "brand"))
-        t_end, v_end = S.split_bounds(g.weeks())
+        t_end, _ = S.split_bounds(g.weeks())
         tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
-        pairs = g.n_customers * g.n_products
         w_train = int(round((t_end - g.first_week).days / 7)) + 1
-        w_val = int(round((v_end - t_end).days / 7)) if v_end else 0
         _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials,
-                                 train_rows=pairs * w_train, val_rows=pairs * w_val,
+                                 train_rows=g.n_customers * g.n_products * w_train,
                                  parallelism=n_trials), va)
     return _MODELS[key]
 
 
+MODEL_SQL = GRID_ALL + SPLIT_SQL + """, d AS (SELECT count(DISTINCT customer_id) * count(DISTINCT product_id) AS pairs FROM tx),
+n AS (SELECT count(*) FILTER (WHERE split = 'train') AS tw, count(*) FILTER (WHERE split = 'val') AS vw FROM lab)
+"""
+
+
+@query("model_checks", MODEL_SQL + """
+SELECT least(50000, pairs * tw) AS train_samples, pairs * vw AS val_samples, pairs AS scored_pairs,
+       true AS probabilities_in_range, true AS reload_equal, CAST(1.0 AS DOUBLE) AS importance_sum, true AS ranked
+FROM d, n""")
+def q_model_checks(spark, sf):
+    """What must hold of any trained forest: it was fitted on the capped rows and
+    judged on every validation cell, scores every pair of next week within
+    [0, 1], comes back the same from disk, and the ranked list is in order."""
+    res, va = trained(spark, sf)
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    path = IO.new_stage_path(spark, "model")
+    model = MD.save_model(res.model, path)
+    frame = SC.scoring_frame(g).df
+    cols = ["customer_id", "product_id", "probabilidad_compra"]
+    a = reliable_checkpoint(MD.score(res.model, frame).select(*cols))
+    b = MD.score(model, frame).select("customer_id", "product_id", F.col("probabilidad_compra").alias("again"))
+    both = a.join(b, ["customer_id", "product_id"]).agg(
+        F.count("*").alias("scored_pairs"),
+        F.min(F.col("probabilidad_compra").between(0, 1)).alias("probabilities_in_range"),
+        F.min(F.col("probabilidad_compra") == F.col("again")).alias("reload_equal")).first()
+    ranked = [r[0] for r in SC.positives_ranked(a.withColumn("week", F.lit(None).cast("timestamp")))
+              .select("probabilidad_compra").toLocalIterator()]
+    row = (res.train_rows, res.val_rows, both.scored_pairs, both.probabilities_in_range, both.reload_equal,
+           round(float(sum(res.model.stages[-1].featureImportances.toArray())), 6),
+           all(x >= y for x, y in zip(ranked, ranked[1:])) and all(x > 0.5 for x in ranked))
+    return spark.createDataFrame([row], "train_samples long, val_samples long, scored_pairs long, "
+                                 "probabilities_in_range boolean, reload_equal boolean, importance_sum double, ranked boolean")
+
+
+@query("train_model_full")
+def q_train_model_full(spark, sf):
+    """The full trainer variant: regions and zones as categories, its fixed
+    defaults; metrics on all validation cells."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
+    res = MD.train_full(tr, va)
+    keys = ["average_precision", "precision", "recall", "f1_score"]
+    row = (res.train_rows, res.val_rows, *[float(res.metrics[k] or 0) for k in keys],
+           ",".join(res.features.spec.numeric), ",".join(res.features.spec.categorical))
+    return spark.createDataFrame([row], "train_samples long, val_samples long, "
+                                 + ", ".join(f"{k} double" for k in keys) + ", numeric string, categorical string")
+
+
 @query("train_model")
 def q_train_model(spark, sf):
     """The forest with the default parameters, trained on
@@ -704,7 +900,8 @@ def q_train_model_production(spark, sf):
     m = res.metrics
     keys = ["train_average_precision", "train_precision", "train_recall", "train_f1_score",
             "val_average_precision", "val_precision", "val_recall", "val_f1_score",
-            "val_score_min", "val_score_max", "val_score_mean", "val_score_median", "threshold"]
+            "val_score_min", "val_score_max", "val_score_mean", "val_score_median",
+            "positive_rate_train", "positive_rate_val", "threshold"]
     row = (res.train_rows, res.val_rows, *[float(m[k] or 0) for k in keys])
     return spark.createDataFrame([row], "train_samples long, val_samples long, "
                                  + ", ".join(f"{k} double" for k in keys))
@@ -813,6 +1010,14 @@ def q_star_purchases(spark, sf):
     return _star(spark, sf)[0]
 
 
+@query("star_customers_from_rows", GRID_ALL + """
+SELECT DISTINCT customer_id, customer_type, region_id, zone_id, Y, X, num_deliver_per_week FROM grid""")
+def q_star_customers_from_rows(spark, sf):
+    """X1 from the rows of a grid frame, as for a stored or merged grid."""
+    df = G.build_grid(*load_raw(spark, sf, "brand")).df
+    return PR.grid_to_star(df, SC.customer_columns(df), SC.product_columns(df))[1]
+
+
 @query("star_customers", GRID_ALL + """
 SELECT DISTINCT customer_id, customer_type, region_id, zone_id, Y, X, num_deliver_per_week FROM grid""")
 def q_star_customers(spark, sf):
@@ -858,16 +1063,15 @@ def q_stream_weekly_intake(spark, sf):
     ``incremental_merge``)."""
     import os
     import uuid
-    from weeklens.streaming import latest_state, start_weekly_intake
+    from weeklens.streaming import run_weekly_intake
     hist_tx, new_tx, cust, prod = _windows(spark, sf)
     base = IO.new_stage_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
     drops, state = os.path.join(base, "drops"), os.path.join(base, "state")
     cols = ["order_id", "customer_id", "product_id",
             F.col("purchase_date").cast("timestamp").alias("purchase_date")]
+    out = None
     for week_drop in (hist_tx, new_tx):
-        # a drop lands, the job runs once over what is new (as each week)
-        week_drop.select(*cols).write.mode("append").parquet(drops)
-        start_weekly_intake(spark, drops, cust, prod, state, os.path.join(base, "ckpt"),
-                            files_per_batch=100_000, available_now=True).awaitTermination()
-    out = latest_state(spark, state)
+        # a drop lands in several files, and the job takes them one by one
+        week_drop.select(*cols).repartition(4).write.mode("append").parquet(drops)
+        out = run_weekly_intake(spark, drops, cust, prod, state, os.path.join(base, "ckpt"), files_per_batch=1)
     return out.withColumn("week", F.col("week").cast("timestamp"))

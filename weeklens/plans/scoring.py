@@ -11,9 +11,9 @@ from weeklens.operators import model as MD
 from weeklens.operators import scoring as SC
 from weeklens.sources import io as IO
 
-# The ISO week ``w`` of 2024 starts on 2024-01-01 + 7 (w - 1) days (2024-01-01
-# is a Monday in ISO week 1); any such Monday gives the same week-of-year feature.
-ISO_ANCHOR = "2024-01-01"
+# ISO week ``w`` of 2020, a year of 53 weeks, starts on 2019-12-30 + 7 (w - 1)
+# days; any Monday of an ISO week gives the same week-of-year feature.
+ISO_ANCHOR = "2019-12-30"
 
 
 def export_scoring_file(frame: DataFrame, path: str) -> str:
@@ -57,16 +57,21 @@ def score_file(spark: SparkSession, model: PipelineModel, path: str, features=No
     scored = MD.score(model, df)
     tiered = score_tiers(scored, threshold=threshold)
     return (tiered.where(F.col("prediccion_compra") == 1)
-            .orderBy(F.col("probabilidad_compra").desc(), "customer_type", "brand"))
+            .orderBy(F.col("probabilidad_compra").desc(),
+                     *[c for c in IO.SCORING_FILE_SCHEMA.fieldNames() if c in tiered.columns], "week"))
 
 
 def score_next_week(model: PipelineModel, grid: DataFrame, out_csv: str | None = None,
                     threshold: float = 0.5):
     """M6: returns (ranked positives, one-row summary); optionally writes the
-    ranked CSV (IO3). The scored frame feeds both, so it is persisted."""
+    ranked CSV (IO3). The scored pairs feed both: they are written once to the
+    shared folder, keys and probability only."""
     frame = SC.scoring_frame(grid).df
-    scored = MD.score(model, frame).persist()
-    ranked = SC.positives_ranked(scored, threshold=threshold)
+    path = IO.new_stage_path(grid.df.sparkSession if hasattr(grid, "df") else grid.sparkSession, "scored")
+    IO.write_stage(MD.score(model, frame).select("customer_id", "product_id", "week", "probabilidad_compra"), path)
+    scored = IO.read_stage(frame.sparkSession, path)
+    positives = scored.where(F.col("probabilidad_compra") > F.lit(threshold))
     if out_csv:
-        IO.write_ranked_csv(ranked, out_csv)
+        IO.write_ranked_csv(positives, out_csv)
+    ranked = positives.orderBy(F.col("probabilidad_compra").desc(), "customer_id", "product_id")
     return ranked, SC.prediction_summary(scored, threshold=threshold)

@@ -18,6 +18,7 @@ from weeklens.operators import explain as EX
 from weeklens.operators import grid as G
 from weeklens.operators import model as MD
 from weeklens.operators import split as S
+from weeklens.operators.features import FittedFeatures
 from weeklens.plans.scoring import score_next_week
 from weeklens.sources import io as IO
 from weeklens.sources import load_raw
@@ -30,16 +31,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_weekly(spark: SparkSession, sf_dir: str, workdir: str, grain: str = "brand",
-               tune: bool = True, n_trials: int = 30, train_cap: int | None = MD.TRAIN_CAP,
-               val_cap: int | None = MD.VAL_CAP, fail_open: bool = False,
-               threshold: float = 0.5) -> dict:
+               tune: bool = True, n_trials: int = 30, parallelism: int = 2,
+               train_cap: int | None = MD.TRAIN_CAP, fail_open: bool = False,
+               threshold: float = 0.5, stamp: str | None = None) -> dict:
     """run_weekly. Returns the small dict of what happened; reports are also
-    written as JSON next to the stage tables."""
+    written as JSON next to the stage tables.
+
+    The dense grid is written once, partitioned by week; train, val and test
+    are ranges of its weeks and read as such (the scan prunes the others). The
+    drift reference is the pair of weighted spines of the last training, which
+    says as much as the dense grid. ``stamp`` asks for a snapshot of the dataset of the
+    run before (IO7), taken before it is overwritten."""
     p = {k: os.path.join(workdir, k) for k in
-         ("dataset", "train", "val", "test", "dataset_hist", "model", "reports", "predictions",
+         ("dataset", "model", "features", "reports", "predictions",
           "spine_customers", "spine_products", "hist_customers", "hist_products")}
     out: dict = {}
 
+    if stamp is not None and _exists(spark, p["dataset"]):
+        IO.snapshot(IO.read_stage(spark, p["dataset"]), os.path.join(workdir, "snapshots"), stamp)
     g = G.build_grid(*load_raw(spark, sf_dir, grain))
     IO.write_stage(g.df, p["dataset"], ["week"])
     # the grid's dimension spines, each row weighted by the grid rows it stands for
@@ -49,52 +58,58 @@ def run_weekly(spark: SparkSession, sf_dir: str, workdir: str, grain: str = "bra
                    p["spine_products"])
     grid = IO.read_stage(spark, p["dataset"])
     weeks = g.weeks()
-    train, val, test = S.temporal_split(grid, weeks=weeks)
-    for name, df in (("train", train), ("val", val), ("test", test)):
-        IO.write_stage(df, p[name], ["week"])
-    train, val = IO.read_stage(spark, p["train"]), IO.read_stage(spark, p["val"])
-
-    report = None
-    if _exists(spark, p["hist_customers"]):
-        try:
-            # drift of the two grids by the spine identity (equal to testing the grids)
-            hist = IO.read_stage(spark, p["dataset_hist"])
-            num = D.by_type(hist, "numeric", D.NUMERIC_EXCLUDE)
-            cat = D.by_type(hist, "categorical", D.CATEGORICAL_EXCLUDE)
-            ref = (IO.read_stage(spark, p["hist_customers"]), IO.read_stage(spark, p["hist_products"]))
-            cur = (IO.read_stage(spark, p["spine_customers"]), IO.read_stage(spark, p["spine_products"]))
-            rows = D.grid_drift_tests(ref, cur, num, cat).collect()
-            report = D.finish_report(rows, num, cat)
-        except Exception:
-            if not fail_open:
-                raise
-            report = D.DriftReport(True, [], [], {}, {"error": True})
-        IO.write_json_report(spark, report.as_dict(), os.path.join(p["reports"], "drift"))
-    retrain = D.should_retrain(report) or not _exists(spark, p["model"])
-    out["drift_detected"] = None if report is None else report.drift_detected
+    train, val, _ = S.temporal_split(grid, weeks=weeks)
+    t_end, _ = S.split_bounds(weeks)
+    w_train = int(round((t_end - g.first_week).days / 7)) + 1 if t_end else 0
+
+    made: list = []
+
+    def drift_report():
+        if not _exists(spark, p["hist_customers"]):
+            return None
+        # drift of the two grids by the spine identity (equal to testing the grids)
+        ref = (IO.read_stage(spark, p["hist_customers"]), IO.read_stage(spark, p["hist_products"]))
+        cur = (IO.read_stage(spark, p["spine_customers"]), IO.read_stage(spark, p["spine_products"]))
+        skip = (*D.NUMERIC_EXCLUDE, "_rows")
+        num = [c for df in ref for c in D.by_type(df, "numeric", skip)]
+        cat = [c for df in ref for c in D.by_type(df, "categorical", D.CATEGORICAL_EXCLUDE)]
+        made.append(D.finish_report(D.grid_drift_tests(ref, cur, num, cat).collect(), num, cat))
+        IO.write_json_report(spark, made[0].as_dict(), os.path.join(p["reports"], "drift"))
+        return made[0]
+
+    retrain = D.should_retrain(drift_report, fail_open) or not _exists(spark, p["features"])
+    out["drift_detected"] = made[0].drift_detected if made else None
     out["retrained"] = retrain
 
     if retrain:
         res = MD.train(train, val, tune=tune, n_trials=n_trials,
-                       train_cap=train_cap, val_cap=val_cap)
+                       train_cap=train_cap, parallelism=parallelism,
+                       train_rows=g.n_customers * g.n_products * w_train)
         model = MD.save_model(res.model, p["model"], check=val)
         ff = res.features
         IO.write_json_report(spark, {"final_metrics": res.metrics, "best_params": res.params,
                                      "trials_history": res.trials,
                                      "train_samples": res.train_rows, "val_samples": res.val_rows},
                              os.path.join(p["reports"], "training"))
-        IO.promote_baseline(spark, p["dataset"], p["dataset_hist"])
         for a, b in (("spine_customers", "hist_customers"), ("spine_products", "hist_products")):
-            IO.write_stage(IO.read_stage(spark, p[a]), p[b])
+            IO.promote_baseline(spark, p[a], p[b])
         out["metrics"] = res.metrics
-        imp = EX.importance(spark, model, ff, 20)
-        IO.write_json_report(spark, {"top_features_by_importance":
-                                     [r.asDict() for r in imp.collect()]},
-                             os.path.join(p["reports"], "interpretability"))
+        out["train_samples"], out["val_samples"] = res.train_rows, res.val_rows
+        # written last: the run after this one finds model, baseline and features together or retrains
+        IO.write_json_report(spark, ff.as_dict(), p["features"])
     else:
         model = PipelineModel.load(p["model"])
+        ff = FittedFeatures.from_dict(IO.read_json_report(spark, p["features"]))
+
+    # explained whether trained or reused
+    explained = {"top_features_by_importance": EX.importance(spark, model, ff, 20),
+                 "permutation_importance": EX.permutation_importance(model, val),
+                 "partial_dependence": EX.partial_dependence(spark, model, ff, val)}
+    explained = {k: [r.asDict() for r in df.collect()] for k, df in explained.items()}
+    IO.write_json_report(spark, explained, os.path.join(p["reports"], "interpretability"))
+    out["explained"] = {k: len(v) for k, v in explained.items()}
 
-    ranked, summary = score_next_week(model, grid, p["predictions"], threshold)
+    _, summary = score_next_week(model, g, p["predictions"], threshold)
     out["prediction_summary"] = summary.first().asDict()
     IO.write_json_report(spark, out["prediction_summary"], os.path.join(p["reports"], "prediction"))
     return out

@@ -93,7 +93,14 @@ def products(spark: SparkSession, sf_dir: str, grain: str = "part") -> DataFrame
         F.col("p_size").cast("double").alias("size"))
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN is missing in the input tables: read it as null, once, here."""
+    null = F.lit(None).cast("double")
+    return df.select(*[F.nanvl(F.col(c), null.cast(t)).alias(c) if t in ("double", "float") else F.col(c)
+                       for c, t in df.dtypes])
+
+
 def load_raw(spark: SparkSession, sf_dir: str, grain: str = "part"):
     """IO1: the three named scans."""
-    return (transactions(spark, sf_dir, grain), customers(spark, sf_dir),
-            products(spark, sf_dir, grain))
+    return tuple(nan_to_null(df) for df in (transactions(spark, sf_dir, grain), customers(spark, sf_dir),
+                                            products(spark, sf_dir, grain)))
