@@ -139,8 +139,8 @@ def winsorize(df: DataFrame, cols, lower: float, upper: float, refit: bool = Fal
         bounds = {c: (lo, hi if hi > lo else lo + 1e-6) for c, (lo, hi) in q.items()}
     else:
         bounds = {c: (fitted.lower[c], fitted.upper[c]) for c in cols}
-    return df.withColumns({c: F.least(F.greatest(F.col(c).cast("double"), F.lit(lo)), F.lit(hi))
-                           for c, (lo, hi) in bounds.items()})
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.least(F.greatest(
+        F.col(c).cast("double"), F.lit(lo)), F.lit(hi))) for c, (lo, hi) in bounds.items()})
 
 
 def _s(x: str) -> str:
