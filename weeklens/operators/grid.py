@@ -11,9 +11,9 @@ Plan shape (the grid itself is never shuffled):
 
 Shuffles therefore scale with transactions and with customers x weeks, never
 with customers x products x weeks. The product list is collected only behind a
-size check (``max_listed_products``); above it the products are spread over
-hash buckets and each customer-week row is replicated once per bucket, an
-equi-join that spreads the product side over all tasks instead of one.
+size check (``max_listed_products``); above it customers and products are
+spread over hash buckets and joined on (product bucket, customer bucket), which
+deals the pairs evenly to all tasks.
 
 Constant columns (P4) are found on the dimension tables, not on the grid: every
 customer of the spine occurs in the grid with every product and week, so a
@@ -36,6 +36,7 @@ from weeklens.session import reliable_checkpoint
 
 KEYS = ["customer_id", "product_id", "week"]
 LABEL = "comprado"
+CUSTOMER_BUCKETS = 256
 
 
 def with_week(tx: DataFrame) -> DataFrame:
@@ -167,8 +168,10 @@ def attach_products(rows: DataFrame, products: DataFrame, max_listed: int = 10_0
     Up to ``max_listed`` products (a checked count) the ids are collected and
     exploded from a literal list, the attributes joined by broadcast: no
     shuffle. Above it the products are spread over hash buckets of about
-    ``rows_per_bucket`` and each row is replicated once per bucket, an
-    equi-join on the bucket that spreads the product side over all tasks."""
+    ``rows_per_bucket``, the customers over ``CUSTOMER_BUCKETS``, and the two are
+    joined on both bucket numbers (each row is replicated once per product
+    bucket, each product once per customer bucket): the pairs are dealt to
+    (product buckets x customer buckets) keys of about equal size."""
     listed = [r.product_id for r in products.select("product_id").limit(max_listed + 1).collect()]
     if len(listed) <= max_listed:
         listed.sort()
@@ -178,9 +181,13 @@ def attach_products(rows: DataFrame, products: DataFrame, max_listed: int = 10_0
     n = products.count()
     buckets = max(1, math.ceil(n / rows_per_bucket))
     bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets))
-    out = (rows.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                      F.lit(buckets - 1).cast("long"))))
-           .join(products.withColumn("_b", bucket), "_b").drop("_b"))
+    def numbers(k):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+
+    spread = F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_BUCKETS))
+    out = (rows.withColumn("_s", spread).withColumn("_b", numbers(buckets))
+           .join(products.withColumn("_b", bucket).withColumn("_s", numbers(CUSTOMER_BUCKETS)), ["_b", "_s"])
+           .drop("_b", "_s"))
     return out, n
 
 
