@@ -51,8 +51,8 @@ def _unpivot(df: DataFrame, cols: Sequence[str], as_type: str, weight: str | Non
 
 def _two_sided(ref, new, cols, as_type, w_ref, w_new) -> DataFrame:
     """Histogram of both sides: one row per (column, value). It is read by
-    several aggregates, so it is checkpointed to the shared folder: the
-    inputs are scanned once."""
+    several aggregates, so it is checkpointed to the shared folder: each call
+    scans either input once."""
     a = _unpivot(ref, cols, as_type, w_ref).select(
         "column_name", "value", F.col("_w").alias("n1"), F.lit(0).cast("long").alias("n2"))
     b = _unpivot(new, cols, as_type, w_new).select(
@@ -64,14 +64,14 @@ def _two_sided(ref, new, cols, as_type, w_ref, w_new) -> DataFrame:
 
 def ks_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],
              weight_ref: str | None = None, weight_new: str | None = None,
-             buckets: int = 64) -> DataFrame:
+             buckets: int | None = None) -> DataFrame:
     """A4: statistic = max |F_ref - F_new| over the distinct values, with both
     ECDFs cumulated on the same sorted value set (ties handled)."""
     if not cols:
         return ref.sparkSession.createDataFrame([], TEST_SCHEMA)
     h = _two_sided(ref, new, cols, "double", weight_ref, weight_new)
     tot = h.groupBy("column_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    c = running_sums(h, ["column_name"], "value", ["n1", "n2"], buckets)
+    c = running_sums(h, ["column_name"], "value", ["n1", "n2"], buckets, checkpointed=True)
     c = c.join(F.broadcast(tot), "column_name")
     # a side with no values has total 0: the gap is null and the gate skips it
     gap = F.abs(F.try_divide(F.col("cum_n1"), F.col("tot1"))

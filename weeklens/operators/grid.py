@@ -238,8 +238,9 @@ def grid_spines(tx: DataFrame, customers: DataFrame, products: DataFrame):
     """The two dimension tables that stand for a grid, each with the number of
     grid rows every one of its rows becomes (column ``_rows``):
     customers x (products x weeks) and products x (customers x weeks).
-    One small action for the three counts; nothing of grid size is built."""
-    txw = with_week(tx)
+    The transactions are folded into checkpointed purchase cells once; one small
+    action finds the counts; nothing of grid size is built."""
+    txw = reliable_checkpoint(weekly_purchases(tx))
     b = txw.agg(F.min("week").alias("lo"), F.max("week").alias("hi"),
                 F.count_distinct("customer_id").alias("nc"),
                 F.count_distinct("product_id").alias("np")).first()

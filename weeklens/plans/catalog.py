@@ -352,7 +352,7 @@ after AS (SELECT * FROM pa WHERE purchase_date >= TIMESTAMP '1998-01-01')
 def q_drift_time(spark, sf):
     """Purchases before 1998 against purchases from 1998: did the customer and
     product mix of what is bought move?"""
-    pa = _purchase_attrs(spark, sf)
+    pa = reliable_checkpoint(_purchase_attrs(spark, sf))
     cut = F.lit("1998-01-01").cast("timestamp")
     ts = F.col("purchase_date").cast("timestamp")
     return _tests_out(D.drift_tests(pa.where(ts < cut), pa.where(ts >= cut)))
@@ -361,7 +361,7 @@ def q_drift_time(spark, sf):
 @query("drift_report_time")
 def q_drift_report_time(spark, sf):
     """Full report with p-values and flags (driver-side p-values: no SQL)."""
-    pa = _purchase_attrs(spark, sf)
+    pa = reliable_checkpoint(_purchase_attrs(spark, sf))
     cut = F.lit("1998-01-01").cast("timestamp")
     ts = F.col("purchase_date").cast("timestamp")
     rep = D.detect_drift(pa.where(ts < cut), pa.where(ts >= cut))
