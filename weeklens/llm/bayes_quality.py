@@ -119,7 +119,8 @@ def posteriors(odds: DataFrame, threshold: float = 0.5) -> DataFrame:
     sites = paths.join(hosts, "host")
     rate = (F.col("hs") + host_strength * mean) / (F.col("hn") + host_strength)
     path_strength = _strength(sites.withColumn("parent", rate), mean)
-    rows = odds.withColumn("p", p).join(sites, ["host", "path"])
+    # written, so that the join knows the size of the sites or else can split the documents of a large one
+    rows = odds.withColumn("p", p).join(stage(sites, "sites"), ["host", "path"])
     host = (F.col("hs") - F.col("p") + host_strength * mean) / (F.col("hn") - 1 + host_strength)
     path = (F.col("s") - F.col("p") + path_strength * F.col("host_posterior")) / (F.col("n") - 1 + path_strength)
     rows = rows.withColumn("host_posterior", host).withColumn("path_posterior", path)
