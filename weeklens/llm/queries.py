@@ -86,6 +86,13 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_warc_transactions": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+        r AS (SELECT *, n >= 1000 AND row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST) > 1 AS again,
+                     max(page_id) OVER (PARTITION BY body) AS first FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to FROM r""",
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
