@@ -2,9 +2,9 @@
 
 Links are groups (a document names its group, here the digest of its text; all
 documents of a group are linked with each other). Documents are first
-dealt out in the order of a hash, which fills every shard to its quota. In each round a document wants to go to the shard that
-holds most of its neighbours and has room for them; the moves granted between
-shards obey the row quotas, so that all shards end with row counts that differ
+dealt out in the order of a hash, which fills every shard to its quota. In each
+round a document wants to go to the shard that holds most of its neighbours and
+could take them; the moves granted between shards (swaps among them) obey the row quotas, so that all shards end with row counts that differ
 by one at most. Documents without links have no neighbours: they make room and
 fill what the linked ones leave.
 
@@ -59,8 +59,18 @@ def granted_moves(wishes: np.ndarray, room: np.ndarray) -> np.ndarray:
                     break
 
 
+def _staying(state: DataFrame, largest: int) -> dict:
+    """Documents per shard that have no better place: a group's largest part, or as many of its parts as it
+    needs shards."""
+    group = Window.partitionBy("g")
+    s = (state.withColumn("parts", F.ceil(F.sum("n").over(group) / max(1, largest)))
+         .withColumn("rank", F.row_number().over(group.orderBy(F.desc("n"), F.xxhash64("g", "shard")))))
+    return {r.shard: r.n for r in s.filter("rank <= parts").groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+
+
 def _wishes(state: DataFrame, room) -> DataFrame:
-    """(g, i, j, x, gain): x documents of group g want to go from shard i to j."""
+    """(g, i, j, x, gain): x documents of group g want to go from shard i to j, where shard j could take
+    ``room[j]`` more besides those that stay there."""
     group = Window.partitionBy("g")
     free = F.greatest(_pick(room, F.col("shard")), F.lit(0))
     s = (state.withColumn("total", F.sum("n").over(group))
@@ -93,7 +103,10 @@ def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> tuple
         for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
             load[r.shard] = r.n
         room = np.array(quota, dtype=np.int64) - load
-        asked = stage(_wishes(state, room.tolist()), "wishes")
+        # wishes count on the documents that would leave as well; the grants see to it that they do
+        stay = _staying(state, max(quota))
+        hoped = [q - stay.get(i, 0) for i, q in enumerate(quota)]
+        asked = stage(_wishes(state, hoped), "wishes")
         wishes = np.zeros((shards, shards), dtype=np.int64)
         for r in asked.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
             wishes[r.i, r.j] = r.x
