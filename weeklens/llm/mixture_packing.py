@@ -218,7 +218,9 @@ def pack(docs: DataFrame, ranks_path: str, targets: dict[str | None, float] | No
     by_part = tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("tokens"))
     # a row per task that tokenized, whatever share of the rows the queue holds
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_part.select("queue", "part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("queue_before"))
+    # a short table, written so that the engine knows its size and need not deal the ids out again
+    offsets = stage(by_part.select("queue", "part",
+                                   F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("queue_before")), "offsets")
     sums = by_part.groupBy("queue").agg(F.sum("tokens").alias("tokens")).limit(max_queues + 1).collect()
     if len(sums) > max_queues:
         raise ValueError(f"more than {max_queues} sources; map them to fewer classes first (column {source!r})")
