@@ -12,7 +12,8 @@ def brute(data, sentences=ss.SENTENCES, words=ss.WORDS):
     first, hits = {}, {}
     order = sorted(range(len(data)), key=lambda i: (data[i][0] is None, data[i][0] or 0, i))
     for i in order:
-        for pos, n, h in ss.spans(data[i][1] or "", sentences, words):
+        for pos, n, *h in zip(*(x.tolist() for x in ss.Pieces(data[i][1] or "", ss._Words()).spans(sentences, words))):
+            h = tuple(h)
             if h in first:
                 hits.setdefault(i, set()).update(range(pos, pos + n))
             else:
@@ -20,11 +21,11 @@ def brute(data, sentences=ss.SENTENCES, words=ss.WORDS):
     out = []
     for i, (d, t) in enumerate(data):
         t, at, kept = t or "", 0, []
-        for k, (end, _) in enumerate(ss.sentence_bounds(t)):
+        for k, end in enumerate(ss.Pieces(t, ss._Words()).chars.tolist()):
             if k not in hits.get(i, ()):
                 kept.append(t[at:end])
             at = end
-        out.append((d, "".join(kept)))
+        out.append((d, "".join(kept) if t.strip() else t))
     return sorted(out, key=str)
 
 
@@ -60,12 +61,27 @@ def test_shared_passages(plain, seed):
     assert dict(got)[len(texts) - 1] == "Short. Text."  # below a span's size
 
 
-def test_pieces_make_up_the_text():
+def test_pieces_make_up_the_text(monkeypatch):
     r = random.Random(4)
-    for t in [prose(r, 100), "no end in sight " * 200, "", "\n\n", "a.b.c", "...", "x\n\n\ny", rows()[10][1], "Ü. É! 東"]:
-        bounds = ss.sentence_bounds(t)
-        assert (bounds[-1][0] if bounds else 0) == len(t)
-        assert all(a[0] < b[0] for a, b in zip(bounds, bounds[1:]))
+    for t in [prose(r, 100), "no end in sight " * 200, "", "\n\n", "a.b.c", " ...", "x\n\n\ny", rows()[10][1][:5000], "Ü. É! 東"]:
+        p = ss.Pieces(t, ss._Words())
+        ends, words = p.chars.tolist(), p.words.tolist()
+        assert ends == sorted(set(ends)) and (ends[-1] == len(t) if t.strip() else not ends)
+        assert all(b - a <= ss.LONG for a, b in zip([0, *words], words)) and (words or [0])[-1] == len(t.split())
+        monkeypatch.setattr(ss, "_BLOCK", 11)
+        again = ss.Pieces(t, ss._Words())
+        assert again.chars.tolist() == ends and again.words.tolist() == words
+        monkeypatch.undo()
+
+
+def test_span_hashes_depend_on_the_words_alone():
+    r = random.Random(5)
+    p = prose(r, 60)
+    known = ss._Words()
+    alone = ss.Pieces(p, known).spans(2, 20)
+    inside = ss.Pieces("Something else. " + prose(r, 50) + "\n" + p.replace(" ", "  "), known).spans(2, 20)
+    assert set(alone[2].tolist()) <= set(inside[2].tolist()) and set(alone[3].tolist()) <= set(inside[3].tolist())
+    assert len(set(inside[2].tolist())) == len(inside[2])
 
 
 def test_removed_pieces_and_sources_are_told(plain):

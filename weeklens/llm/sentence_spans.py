@@ -1,8 +1,9 @@
 """Substring deduplication over sliding sentence spans.
 
-A text is cut into sentences; a sentence without an end in sight is cut after
-words chosen by their hash, so that the cuts depend on the words alone. From
-every sentence on, the shortest run of at least ``sentences`` sentences and
+A text is cut into sentences, and these once more after words chosen by their
+hash (one in sixteen): such cuts depend on the words alone, so a passage that
+starts or ends inside a sentence is cut like its other copies. From every piece
+("sentence" from here) on, the shortest run of at least ``sentences`` sentences and
 ``words`` words is a span. All spans of all documents are hashed and joined;
 the first occurrence of a span (by doc_id, then place) stays, and sentences
 that any other occurrence covers are removed.
@@ -18,7 +19,6 @@ documents is one row per task in the minimum and is split by the join.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,84 +30,97 @@ from weeklens.llm.common import column, stage, with_row_id
 
 SENTENCES = 2
 WORDS = 20
-LONG = 30
+LONG = 40
 MAP_BITS = 28
 
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?:\s+|$)|[.!?]+|\n\s*|$)")
-_WORD = re.compile(r"\S+\s*")
-
-
-def sentence_bounds(text: str) -> list[tuple[int, int]]:
-    """(end, words) of consecutive pieces that make up the whole text."""
-    out = []
-    for m in _SENTENCE.finditer(text):
-        at, end = m.span()
-        if at == end:
-            continue
-        n = len(text[at:end].split())
-        if n > LONG:
-            run = 0
-            for w in _WORD.finditer(text, at, end):
-                run += 1
-                if zlib.crc32(w[0].strip().lower().encode("utf-8", "replace")) & 7 == 0 and w.end() < end:
-                    out.append((w.end(), run))
-                    run = 0
-            out.append((end, run))
-        else:
-            out.append((end, n))
-    return out
-
-
-def spans(text: str, sentences: int, words: int) -> list[tuple[int, int, bytes]]:
-    """(first sentence, sentences, 128 bit hash) of every span of the text."""
-    bounds = sentence_bounds(text)
-    hashes, at = [], 0
-    for end, _ in bounds:
-        hashes.append(xxhash.xxh3_128_digest(" ".join(text[at:end].lower().split()).encode("utf-8", "replace")))
-        at = end
-    counts = [n for _, n in bounds]
-    out, j, have = [], 0, 0
-    for i in range(len(bounds)):
-        if j < i:
-            j, have = i, 0
-        while j < len(bounds) and (j - i < sentences or have < words):
-            have += counts[j]
-            j += 1
-        if j - i < sentences or have < words:
-            break
-        out.append((i, j - i, xxhash.xxh3_128_digest(b"".join(hashes[i:j]))))
-        have -= counts[i]
-    return out
+_TOKEN = re.compile(r"\S+\s*")
+_SPACES = re.compile(r"\s+")
+_BLOCK = 1 << 20
+_KNOWN = 500_000
+_M1, _M2 = 0x5851F42D4C957F2D, 0xD1342543DE82EF95
+
+
+class _Words(dict):
+    """Per token (a word and the space behind it): its hash, and in the lowest bit whether a piece ends here:
+    at the end of a sentence or line, or behind one word in sixteen by its hash."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > _KNOWN:
+            self.clear()
+        word = token.rstrip()
+        h = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "replace"))
+        ends = word[-1:] in ".!?" or "\n" in token[len(word):] or h >> 60 == 0
+        self[token] = out = h & ~1 | ends
+        return out
+
+
+def _powers(m: int, n: int) -> np.ndarray:
+    out = np.full(n, m, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)  # modulo 2^64
+
+
+class Pieces:
+    """The pieces of a text as arrays: ``chars`` and ``words`` hold where each ends; ``hashes`` the words'.
+    The text is taken a mebibyte at a time; what stays of a word is 12 bytes."""
+
+    def __init__(self, text: str, known: _Words):
+        coded, sizes, at = [], [], 0
+        lead = _SPACES.match(text)
+        start = at = lead.end() if lead else 0
+        while at < len(text):
+            hit = _SPACES.search(text, at + _BLOCK) if at + _BLOCK < len(text) else None
+            end = hit.end() if hit else len(text)
+            tokens = _TOKEN.findall(text, at, end)
+            coded.append(np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens)))
+            sizes.append(np.fromiter(map(len, tokens), dtype=np.int32, count=len(tokens)))
+            at = end
+        self.hashes = np.concatenate(coded) if coded else np.zeros(0, np.uint64)
+        n = len(self.hashes)
+        ends = (self.hashes & np.uint64(1)).astype(bool)
+        if n:
+            ends[-1] = True
+        at_word = np.flatnonzero(ends) + 1
+        first = np.concatenate([[0], at_word[:-1]])
+        for i in np.flatnonzero(at_word - first > LONG).tolist():  # no end in sight: cut every LONG words
+            ends[first[i] + LONG - 1:at_word[i]:LONG] = True
+        self.words = np.flatnonzero(ends) + 1
+        chars = np.cumsum(np.concatenate(sizes), dtype=np.int64) if sizes else np.zeros(0, np.int64)
+        self.chars = chars[self.words - 1] + start if n else chars
+
+    def spans(self, sentences: int, words: int):
+        """(first piece, pieces, hash, second hash) of every span, as arrays."""
+        k = len(self.words)
+        first = np.concatenate([[0], self.words[:-1]]) if k else np.zeros(0, np.int64)
+        last = np.maximum(np.searchsorted(self.words, first + words) + 1, np.arange(k) + sentences)
+        whole = np.flatnonzero(last <= k)
+        a, b = first[whole], self.words[last[whole] - 1]
+        out = []
+        for m in (_M1, _M2):
+            # prefix sums of h_i m^i; a run's share, shifted back to its start, depends on its words alone
+            back = _powers(pow(m, -1, 1 << 64), len(self.hashes) + 1)
+            run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+                (self.hashes | np.uint64(1)) * _powers(m, len(self.hashes)), dtype=np.uint64)])
+            h = (run[b] - run[a]) * back[a] + (b - a).astype(np.uint64)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+            out.append(h ^ (h >> np.uint64(29)))
+        return whole, last[whole] - whole, out[0], out[1]
 
 
 def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _first_halves(digests: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(digests), dtype="<u8")[::2] if digests else np.zeros(0, np.uint64)
-
-
 def _hash_task(sentences: int, words: int):
     def run(batches):
+        known = _Words()
         for batch in batches:
-            for text in batch.column("text"):
-                h = _first_halves([s[2] for s in spans(text.as_py(), sentences, words)])
-                if len(h):
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), pa.int64())], names=["h"])
-
-    def merged(batches):
-        held, n = [], 0
-        for b in run(batches):
-            held.append(b)
-            n += b.num_rows
-            if n > 100_000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, n = [], 0
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = [Pieces(t.as_py(), known).spans(sentences, words)[2] for t in batch.column("text")]
+            h = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            for i in range(0, len(h), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(h[i:i + 200_000].view(np.int64), pa.int64())], names=["h"])
 
-    return merged
+    return run
 
 
 def _bitmap_task(bits: int):
@@ -129,24 +142,21 @@ def _span_task(sentences: int, words: int, bitmap, bits: int):
     names = ["_rid", "doc_id", "pos", "n", "h1", "h2"]
 
     def run(batches):
-        known = np.frombuffer(bitmap.value, dtype=np.uint8)
+        repeated, known = np.frombuffer(bitmap.value, dtype=np.uint8), _Words()
         for batch in batches:
-            cols = [[], [], [], [], [], []]
-            for rid, doc, text in zip(batch.column("_rid").to_pylist(), batch.column("doc_id").to_pylist(),
-                                      batch.column("text")):
-                found = spans(text.as_py(), sentences, words)
-                if not found:
-                    continue
-                h = np.frombuffer(b"".join(s[2] for s in found), dtype="<i8").reshape(-1, 2)
-                p = _places(h[:, 0].view(np.uint64) if h[:, 0].flags.c_contiguous else
-                            np.ascontiguousarray(h[:, 0]).view(np.uint64), bits)
-                for k in np.flatnonzero((known[p >> 3] >> (p & 7).astype(np.uint8)) & 1).tolist():
-                    for col, v in zip(cols, (rid, doc, found[k][0], found[k][1], int(h[k, 0]), int(h[k, 1]))):
-                        col.append(v)
-            if cols[0]:
+            held = []
+            for row, text in enumerate(batch.column("text")):
+                pos, n, h1, h2 = Pieces(text.as_py(), known).spans(sentences, words)
+                p = _places(h1, bits)
+                hit = np.flatnonzero((repeated[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
+                if len(hit):
+                    held.append((np.full(len(hit), row), pos[hit], n[hit], h1[hit], h2[hit]))
+            if held:
+                row, pos, n, h1, h2 = (np.concatenate(c) for c in zip(*held))
+                row = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(),
-                                                           pa.int64()))], names=names)
+                    [batch.column("_rid").take(row), batch.column("doc_id").take(row), pa.array(pos, pa.int32()),
+                     pa.array(n, pa.int32()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=names)
 
     return run
 
@@ -169,8 +179,9 @@ def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
     found = stage(rows.mapInArrow(_span_task(sentences, words, bitmap, bits),
                                   "_rid long, doc_id long, pos int, n int, h1 long, h2 long"), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "pos")
-    first = (found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"))
-             .filter("rows > 1").drop("rows"))
+    # written, so that the join deals out both sides anew and can split a span that very many documents hold
+    first = stage(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"))
+                  .filter("rows > 1").drop("rows"), "first-spans")
     return (found.join(first, ["h1", "h2"])
             .filter((F.col("first._rid") != F.col("_rid")) | (F.col("first.pos") != F.col("pos")))
             .select("_rid", "doc_id", "pos", "n", F.col("first.doc_id").alias("first_doc")))
@@ -186,6 +197,7 @@ def _in_parts(cells: DataFrame, size: int, step: int = 1 << 20):
 
 def _clean_task():
     def run(batches):
+        known = _Words()
         for batch in batches:
             out = {"text": [], "n_sentences": [], "n_removed": [], "removed": []}
             for text, marks in zip(batch.column("text"), batch.column("marks")):
@@ -195,14 +207,14 @@ def _clean_task():
                         out[c].append(v)
                     continue
                 text = text.as_py()
-                bounds = sentence_bounds(text)
-                drop = np.zeros(len(bounds) + 1, dtype=np.int64)
+                ends = Pieces(text, known).chars
+                drop = np.zeros(len(ends) + 1, dtype=np.int64)
                 for m in marks:
                     drop[m["pos"]] += 1
                     drop[m["pos"] + m["n"]] -= 1
-                gone = np.cumsum(drop)[:len(bounds)] > 0
+                gone = np.cumsum(drop)[:len(ends)] > 0
                 kept, removed, at = [], [], 0
-                for (end, _), dead in zip(bounds, gone.tolist()):
+                for end, dead in zip(ends.tolist(), gone.tolist()):
                     if not dead:
                         kept.append(text[at:end])
                     elif removed and removed[-1]["end"] == at:
@@ -210,7 +222,7 @@ def _clean_task():
                     else:
                         removed.append({"start": at, "end": end})
                     at = end
-                for c, v in zip(out, ("".join(kept), len(bounds), int(gone.sum()), removed)):
+                for c, v in zip(out, ("".join(kept), len(ends), int(gone.sum()), removed)):
                     out[c].append(v)
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
