@@ -291,7 +291,8 @@ def _classes(docs: DataFrame, words: int, max_bits: int) -> tuple[DataFrame, Dat
     rooted = (distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     best = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
-    return rows, rooted.select("fp", "root").join(best, "root").drop("root")
+    # written, so that the join with the rows can split a fingerprint that very many rows share
+    return rows, stage(rooted.select("fp", "root").join(best, "root").drop("root"), "simhash-classes")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
