@@ -240,7 +240,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     empty = "_rid long, doc_id long, item_id long, matched long, windows int, coverage double, verbatim boolean"
     if not stats:
         return spark.createDataFrame([], empty)
-    bits = min(MAP_BITS, max(16, (sum(r.n for r in stats) * 64).bit_length()))
+    bits = min(MAP_BITS, max(24, (sum(r.n for r in stats) * 64).bit_length()))
     cells = items.select("h1").mapInArrow(_bitmap(bits), "at long, byte int").groupBy("at").agg(F.bit_or("byte").cast("int").alias("byte"))
     known = np.zeros(1 << (bits - 3), dtype=np.uint8)  # 16 MB at most
     cells = cells.toArrow()
