@@ -114,3 +114,15 @@ def test_schedule_gives_every_token_once():
             assert place == at
             at += length
         assert at == sum(totals)
+
+
+def test_added_tokens_inside_texts(spark):
+    own = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y \n<|endoftext|>", "<|endoftext |> <|endoftext", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = mp.pack(docs, RANKS, seq_len=4096, with_ids=True).collect()
+    got = {p.doc_id: b"" for p in pieces}
+    for p in sorted(pieces, key=lambda p: p.start):
+        got[p.doc_id] += p.ids
+    assert {d: np.frombuffer(i, dtype="<u4").tolist() for d, i in got.items()} == {d: ids_of(own, t) for d, t in enumerate(texts)}
+    assert got[0] == np.array([64, 220, 50256, 275, 1], dtype="<u4").tobytes()

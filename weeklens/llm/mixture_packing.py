@@ -37,6 +37,8 @@ from weeklens.llm.common import column, stage
 SHIFT = 16
 END_ID = 1
 CACHE_WORDS = 400_000
+# The added tokens of the vocabulary file: found inside texts too, as the tokenizer does.
+ADDED = {"<|endoftext|>": 50256}
 
 # White space as the vocabulary's own split pattern has it
 # (Unicode White_Space), and that pattern.
@@ -49,17 +51,26 @@ class ByteBpe:
 
     The split pattern never joins text across the start of a run " word", so a
     text is cut there first and the ids of each run are remembered (a bounded
-    table); only new runs go to the tokenizer.
+    table); only new runs go to the tokenizer. ``added`` tokens are cut out first.
     """
 
-    def __init__(self, ranks_file: bytes):
+    def __init__(self, ranks_file: bytes, added: dict[str, int] | None = None):
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
         self.encoder = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.cut = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         self.known: dict[str, bytes] = {}
+        self.added = {t: array("H", [i]).tobytes() for t, i in (added or {}).items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.parts = re.compile(f"({'|'.join(map(re.escape, longest))})").split
 
     def __call__(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            # every second part is an added token
+            return b"".join([self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(self.parts(text))])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         runs = self.cut(text)
         known = self.known
         try:
@@ -78,9 +89,9 @@ class ByteBpe:
         return b"".join([known[r] for r in runs])
 
 
-def _tokenize(ranks, end_id: int):
+def _tokenize(ranks, end_id: int, added: dict[str, int]):
     def run(batches):
-        bpe = ByteBpe(ranks.value)
+        bpe = ByteBpe(ranks.value, added)
         end = array("H", [end_id]).tobytes()
         part = TaskContext.get().partitionId()
         given: dict[str, int] = {}
@@ -193,7 +204,7 @@ def _place(plan, seq_len: int, with_ids: bool):
 
 def pack(docs: DataFrame, ranks_path: str, targets: dict[str | None, float] | None = None, seq_len: int = 2048,
          window_tokens: int = 1 << 17, source: str = "source", end_id: int = END_ID, max_queues: int = 65_536,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece of a document: doc_id, source, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, window_id (and ids as little-endian uint32, if asked for).
 
@@ -203,7 +214,8 @@ def pack(docs: DataFrame, ranks_path: str, targets: dict[str | None, float] | No
     missing source column is one null source. Null text counts as empty (just the end
     id). Null or repeated doc_ids are packed row by row. ``ranks_path`` is a
     vocabulary file with one base64 token and rank per line and at most 65,536 ranks;
-    it is read on the driver. An empty table gives no piece.
+    it is read on the driver. ``added`` are the vocabulary's added tokens (``ADDED`` unless given), which get
+    their own ids wherever a text holds them. An empty table gives no piece.
     """
     spark = docs.sparkSession
     with open(ranks_path, "rb") as f:
@@ -213,7 +225,7 @@ def pack(docs: DataFrame, ranks_path: str, targets: dict[str | None, float] | No
                          F.when(name.isNull(), "-").otherwise(F.concat(F.lit("+"), name)).alias("queue"),
                          F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
     tokens = stage(queued.mapInArrow(
-        _tokenize(ranks, end_id), "doc_id long, queue string, part int, part_start long, doc_tokens long, ids binary"),
+        _tokenize(ranks, end_id, ADDED if added is None else added), "doc_id long, queue string, part int, part_start long, doc_tokens long, ids binary"),
         "token-ids")
     by_part = tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("tokens"))
     # a row per task that tokenized, whatever share of the rows the queue holds
