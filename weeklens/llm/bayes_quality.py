@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id, without_rows
+from weeklens.llm.common import column, settled, stage, with_row_id, without_rows
 
 TRAIN_ROWS = 20_000
 VOCABULARY = 1 << 15
@@ -145,5 +145,6 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rejected rows; columns as given."""
+    docs = settled(docs)
     gone = classify(docs, labels, **settings).filter(~F.col("kept")).select("_rid")
     return without_rows(docs, gone)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,22 +37,52 @@ def column(df: DataFrame, name: str, cast: str, default: Column | None = None) -
     return (F.lit(None) if default is None else default).cast(cast)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a Parquet scan with rows left out or columns worked on at most."""
+    nodes = [df._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() not in ("Project", "Filter", "SubqueryAlias", "LogicalRelation"):
+            return False
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"]).schema
+    except AnalysisException:  # no file source, or one without row places
+        return False
+    return True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` if its rows can be numbered by file and place, else written once and read back."""
+    return df if _is_scan(df) else stage(df, "rows")
+
+
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """Number the rows of a scan.
+    """Number the rows of a Parquet scan by file (in the order of paths) and place in the file.
 
-    The id is the row's place in its scan partition. It is the same each time
-    the same files (or the same local relation) are scanned, which is what the
-    operators rely on when they come back to the texts of chosen rows; tell
-    apart rows that agree in every column. Frames that come out of a shuffle
-    should be written first.
+    The number does not depend on how the scan is split, so it is the same when a later job comes back to
+    the texts of chosen rows, on whatever executors and cores are left then; it tells apart rows that agree
+    in every column. Where two jobs number the same rows, frames of other kinds must pass ``settled``
+    before the first: here they get the place in their partition.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if not _is_scan(df):
+        return df.withColumn(name, F.monotonically_increasing_id())
+    place = df.metadataColumn("_metadata")
+    paths = sorted(r[0] for r in df.select(place["file_path"]).distinct().collect())  # one per file
+    if len(paths) < 2:
+        return df.withColumn(name, place["row_index"])
+    path, at, key, no = (f"_{c}{uuid.uuid4().hex}" for c in ("path", "at", "key", "no"))
+    files = df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), f"{key} string, {no} long")
+    return (df.select("*", place["file_path"].alias(path), place["row_index"].alias(at))
+            .join(F.broadcast(files), F.col(path) == F.col(key))
+            .withColumn(name, F.shiftleft(no, 40).bitwiseOR(F.col(at))).drop(path, at, key, no))
 
 
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``with_row_id`` number is in column _rid of ``gone``.
 
-    Columns stay as given, whatever their names. Only the numbers of the dropped rows are joined.
+    ``docs`` must have passed ``settled`` before it was numbered first. Columns stay as given, whatever their names. Only the numbers of the dropped rows are joined.
     """
     name = "_rid"
     while name.lower() in {c.lower() for c in docs.columns}:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id, without_rows
+from weeklens.llm.common import column, settled, stage, with_row_id, without_rows
 
 # Two primes below 2^31 and a base for each.
 PRIMES = (2147483647, 2147483629)
@@ -134,6 +134,7 @@ def exact_duplicates(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, text: str
     (repeated rows), the one that comes last in the scan. Null doc_ids rank
     lowest. Null text equals empty text. An empty table gives an empty result.
     """
+    docs = settled(docs)
     fp = stage(fingerprints(docs, chunk_bytes, text), "fingerprints")
     key = ["n_bytes", "h1", "h2"]
 
@@ -158,5 +159,6 @@ def exact_duplicates(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, text: str
 
 def drop_exact_duplicates(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` does not keep; columns as given."""
+    docs = settled(docs)
     gone = exact_duplicates(docs, chunk_bytes).filter(~F.col("kept")).select("_rid")
     return without_rows(docs, gone)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id
+from weeklens.llm.common import column, settled, stage, with_row_id
 
 SENTENCES = 2
 WORDS = 20
@@ -241,6 +241,7 @@ def remove_repeats(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
     keeps its text; null doc_ids come after all others. Texts shorter than a span are never touched. An
     empty table gives an empty result.
     """
+    docs = settled(docs)
     marks = (repeated_spans(docs, sentences, words).groupBy("_rid")  # one document's spans
              .agg(F.collect_list(F.struct("pos", "n")).alias("marks"),
                   F.sort_array(F.collect_set("first_doc")).alias("first_docs")))

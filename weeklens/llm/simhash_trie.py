@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id, without_rows
+from weeklens.llm.common import column, settled, stage, with_row_id, without_rows
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -311,5 +311,6 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component; columns as given."""
+    docs = settled(docs)
     gone = near_duplicates(docs, words, max_bits).filter(~F.col("kept")).select("_rid")
     return without_rows(docs, gone)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, with_row_id, without_rows
+from weeklens.llm.common import column, settled, stage, with_row_id, without_rows
 
 WINDOW = 8
 MIN_WORDS = 5
@@ -271,5 +271,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rows into which an item leaks; columns as given."""
+    docs = settled(docs)
     gone = leaks(docs, benchmark, **settings).select("_rid").distinct()
     return without_rows(docs, gone)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, stage, stage_path, with_row_id
+from weeklens.llm.common import column, settled, stage, stage_path, with_row_id
 
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 32 << 20
@@ -59,7 +59,7 @@ def _record(headers: list[tuple[str, Column | str | None]], block: Column) -> Co
 def payload_groups(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> tuple[DataFrame, DataFrame]:
     """The pages with row id, payload and digest, and the shared payloads with the record that keeps each."""
     body = F.coalesce(column(pages, "html", "string"), F.lit(""))
-    rows = with_row_id(pages).select(
+    rows = with_row_id(settled(pages)).select(
         "_rid", column(pages, "page_id", "long").alias("page_id"), column(pages, "url", "string").alias("url"),
         body.alias("payload"), F.octet_length(body).cast("long").alias("bytes"), F.sha1(body).alias("digest"))
     shared = (rows.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes")
