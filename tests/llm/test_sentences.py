@@ -91,3 +91,52 @@ def test_removed_pieces_and_sources_are_told(plain):
     assert got[0].removed == [] and got[2].n_removed == 0 and got[1].first_docs == [0]
     span = got[1].removed[0]
     assert ("Own start here. " + p)[span.start:span.end].strip() in p
+
+
+def loose(r, words, ends):
+    """Words in which a sentence ends here and there, or nowhere."""
+    return [f"w{r.randrange(50_000)}" + (r.choice([".", "!", "\n"]) if r.random() < ends else "") for _ in range(words)]
+
+
+def left_windows(texts, size):
+    """Runs of ``size`` words that stand in more than one place."""
+    seen, again = set(), 0
+    for t in texts:
+        w = t.lower().split()
+        for i in range(len(w) - size + 1):
+            run = tuple(w[i:i + size])
+            again += run in seen
+            seen.add(run)
+    return again
+
+
+@pytest.mark.parametrize("ends,size", [(0.1, 51), (0, 51), (0, 80), (0.02, 120)])
+def test_passages_inside_sentences_go_to_the_word(plain, ends, size):
+    r = random.Random(size)
+    texts, rest = [], []
+    for _ in range(60):
+        passage = loose(r, size, ends)
+        for copy in range(2):
+            before, behind = loose(r, r.randrange(5, 90), ends), loose(r, r.randrange(5, 90), ends)
+            before[-1], behind[0] = f"before{len(texts)}", f"behind{len(texts)}"
+            texts.append(" ".join(before + passage + behind))
+            rest.append(before + behind if copy else before + passage + behind)
+    got = {x.doc_id: x for x in ss.remove_passages(plain(texts)).collect()}
+    assert left_windows(texts, 50) == 60 * (size - 49) and left_windows([x.text for x in got.values()], 50) == 0
+    assert [got[i].text.split() for i in range(len(texts))] == [" ".join(w).split() for w in rest]
+    assert all(got[i].first_docs == [i - 1] for i in range(1, len(texts), 2))
+
+
+def test_passages_of_odd_rows(odd, empty):
+    got = sorted(((x.doc_id, x.text) for x in ss.remove_passages(odd).collect()), key=str)
+    expected = sorted(((d, "" if d == 9 else t or "") for d, t, *_ in rows()), key=str)
+    texts = {d: t for d, t in got}
+    assert [g for g in got if g[0] not in (8, 9)] == [e for e in expected if e[0] not in (8, 9)]
+    assert texts[9] == "" and left_windows([texts[8]], 50) == 0
+    assert ss.remove_passages(empty).collect() == []
+
+
+def test_repeated_runs_of_one_text_leave_its_first(plain):
+    got = {x.doc_id: x.text for x in ss.remove_passages(plain(["no end in sight " * 200, "own " + "no end in sight " * 30])).collect()}
+    assert got[0].split() == "no end in sight".split() * (len(got[0].split()) // 4) and 20 <= len(got[0].split()) <= 30
+    assert got[1].split() == ["own"]

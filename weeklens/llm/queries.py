@@ -42,7 +42,7 @@ def op3_mixture_packing(spark, sf_dir):
 
 
 def op4_sentence_spans(spark, sf_dir):
-    found = sentence_spans.remove_repeats(_table(spark, sf_dir, "documents"))
+    found = sentence_spans.remove_passages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_removed", "removed", "first_docs")
 
 

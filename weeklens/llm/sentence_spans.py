@@ -6,7 +6,16 @@ starts or ends inside a sentence is cut like its other copies. From every piece
 ("sentence" from here) on, the shortest run of at least ``sentences`` sentences and
 ``words`` words is a span. All spans of all documents are hashed and joined;
 the first occurrence of a span (by doc_id, then place) stays, and sentences
-that any other occurrence covers are removed.
+that any other occurrence covers are removed (``remove_repeats``).
+
+Cuts of two copies need not align near the ends of a passage that starts and
+ends anywhere. ``remove_passages`` therefore hashes runs of ``words`` words
+chosen by window minimum as well: of all runs that start within a window of
+``passage - words + 1`` words, the one with the least hash. Any two copies of
+``passage`` words share a whole window and thus a chosen run. Every match is
+extended word by word to both sides, as far as its neighbours, of which each
+row holds the hashes of ``passage - words`` words a side, agree with the first
+occurrence's; beyond those, the next chosen run takes over.
 
 Two passes keep the shuffles small. The first counts 64 bit span hashes only
 and leaves a bit map of the repeated ones (its size is a bounded parameter; a
@@ -30,6 +39,7 @@ from weeklens.llm.common import column, settled, stage, with_row_id
 
 SENTENCES = 2
 WORDS = 20
+PASSAGE = 50
 LONG = 40
 MAP_BITS = 28
 
@@ -37,6 +47,7 @@ _TOKEN = re.compile(r"\S+\s*")
 _SPACES = re.compile(r"\s+")
 _BLOCK = 1 << 20
 _KNOWN = 500_000
+_ROWS = 20_000
 _M1, _M2 = 0x5851F42D4C957F2D, 0xD1342543DE82EF95
 
 
@@ -60,9 +71,19 @@ def _powers(m: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)  # modulo 2^64
 
 
+def _slide(pick, x: np.ndarray, size: int) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) of every ``size`` following items."""
+    width = 1
+    while width * 2 <= size:
+        x = pick(x[:-width], x[width:])
+        width *= 2
+    return pick(x[:len(x) - (size - width)], x[size - width:]) if width < size else x
+
+
 class Pieces:
-    """The pieces of a text as arrays: ``chars`` and ``words`` hold where each ends; ``hashes`` the words'.
-    The text is taken a mebibyte at a time; what stays of a word is 12 bytes."""
+    """The pieces of a text as arrays: ``chars`` and ``words`` hold where each ends; ``hashes`` the words',
+    ``word_chars`` where each word (with the space behind it) ends.
+    The text is taken a mebibyte at a time; what stays of a word is 20 bytes."""
 
     def __init__(self, text: str, known: _Words):
         coded, sizes, at = [], [], 0
@@ -86,36 +107,74 @@ class Pieces:
             ends[first[i] + LONG - 1:at_word[i]:LONG] = True
         self.words = np.flatnonzero(ends) + 1
         chars = np.cumsum(np.concatenate(sizes), dtype=np.int64) if sizes else np.zeros(0, np.int64)
-        self.chars = chars[self.words - 1] + start if n else chars
+        self.word_chars = chars + start
+        self.chars = self.word_chars[self.words - 1] if n else chars
 
-    def spans(self, sentences: int, words: int):
-        """(first piece, pieces, hash, second hash) of every span, as arrays."""
+    def _run_hashes(self, m: int):
+        """Function from starts and ends (words) of runs to their hashes."""
+        # prefix sums of h_i m^i; a run's share, shifted back to its start, depends on its words alone
+        back = _powers(pow(m, -1, 1 << 64), len(self.hashes) + 1)
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+            (self.hashes | np.uint64(1)) * _powers(m, len(self.hashes)), dtype=np.uint64)])
+
+        def of(a, b):
+            h = (run[b] - run[a]) * back[a] + (b - a).astype(np.uint64)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+            return h ^ (h >> np.uint64(29))
+
+        return of
+
+    def _span_ends(self, sentences: int, words: int):
         k = len(self.words)
         first = np.concatenate([[0], self.words[:-1]]) if k else np.zeros(0, np.int64)
         last = np.maximum(np.searchsorted(self.words, first + words) + 1, np.arange(k) + sentences)
         whole = np.flatnonzero(last <= k)
-        a, b = first[whole], self.words[last[whole] - 1]
-        out = []
-        for m in (_M1, _M2):
-            # prefix sums of h_i m^i; a run's share, shifted back to its start, depends on its words alone
-            back = _powers(pow(m, -1, 1 << 64), len(self.hashes) + 1)
-            run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
-                (self.hashes | np.uint64(1)) * _powers(m, len(self.hashes)), dtype=np.uint64)])
-            h = (run[b] - run[a]) * back[a] + (b - a).astype(np.uint64)
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-            out.append(h ^ (h >> np.uint64(29)))
-        return whole, last[whole] - whole, out[0], out[1]
+        return whole, last[whole], first[whole], self.words[last[whole] - 1]
+
+    def runs(self, sentences: int, words: int, passage: int):
+        """(start, end, hash) of the spans and of the runs chosen by window minimum, by start."""
+        _, _, a, b = self._span_ends(sentences, words)
+        of, n, window = self._run_hashes(_M1), len(self.hashes), passage - words + 1
+        h = of(a, b)
+        if n >= passage:
+            at = np.arange(n - words + 1)
+            each = of(at, at + words)
+            least, edge = _slide(np.minimum, each, window), np.zeros(window - 1, np.uint64)
+            chosen = np.flatnonzero(_slide(np.maximum, np.concatenate([edge, least, edge]), window) == each)
+            chosen = chosen[~np.isin(chosen, a[b - a == words])]  # not those that are spans anyway
+            a, b, h = (np.concatenate(c) for c in ((a, chosen), (b, chosen + words), (h, each[chosen])))
+            order = np.argsort(a, kind="stable")
+            a, b, h = a[order], b[order], h[order]
+        return a, b, h
+
+    def second(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self._run_hashes(_M2)(a, b)
+
+    def around(self, a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
+        """Per run, 32 bits of the hashes of ``reach`` words before and behind it (zero beyond the text)."""
+        edge = np.zeros(reach, np.uint32)
+        held = np.concatenate([edge, (self.hashes >> np.uint64(32)).astype(np.uint32), edge])
+        step = np.arange(reach)
+        return np.concatenate([held[a[:, None] + step], held[b[:, None] + reach + step]], axis=1)
+
+    def spans(self, sentences: int, words: int):
+        """(first piece, pieces, hash, second hash) of every span, as arrays."""
+        whole, last, a, b = self._span_ends(sentences, words)
+        return whole, last - whole, self._run_hashes(_M1)(a, b), self._run_hashes(_M2)(a, b)
 
 
 def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _hash_task(sentences: int, words: int):
+def _hash_task(sentences: int, words: int, passage: int | None = None):
+    def hashes(p: Pieces):
+        return p.spans(sentences, words)[2] if passage is None else p.runs(sentences, words, passage)[2]
+
     def run(batches):
         known = _Words()
         for batch in batches:
-            held = [Pieces(t.as_py(), known).spans(sentences, words)[2] for t in batch.column("text")]
+            held = [hashes(Pieces(t.as_py(), known)) for t in batch.column("text")]
             h = np.concatenate(held) if held else np.zeros(0, np.uint64)
             for i in range(0, len(h), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(h[i:i + 200_000].view(np.int64), pa.int64())], names=["h"])
@@ -161,12 +220,84 @@ def _span_task(sentences: int, words: int, bitmap, bits: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, map_bits: int = MAP_BITS) -> DataFrame:
-    """(_rid, doc_id, pos, n, first_doc): occurrences of spans that are not their first one."""
-    spark = docs.sparkSession
-    rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
-                                    F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
-    again = stage(rows.select("text").mapInArrow(_hash_task(sentences, words), "h long")
+def _run_task(sentences: int, words: int, passage: int, bitmap, bits: int):
+    names, reach = ["_rid", "doc_id", "a", "b", "h1", "h2", "around"], passage - words
+
+    def batch_of(batch, held):
+        row, a, b, h1, h2, told, around = (np.concatenate(c) for c in zip(*held))
+        row = pa.array(row, pa.int64())
+        ends = np.concatenate([[0], np.cumsum(told * (8 * reach))]).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(around))])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_rid").take(row), batch.column("doc_id").take(row), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
+             pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), binary], names=names)
+
+    def run(batches):
+        repeated, known = np.frombuffer(bitmap.value, dtype=np.uint8), _Words()
+        for batch in batches:
+            held, size = [], 0
+            for row, text in enumerate(batch.column("text")):
+                pieces = Pieces(text.as_py(), known)
+                a, b, h1 = pieces.runs(sentences, words, passage)
+                p = _places(h1, bits)
+                hit = np.flatnonzero((repeated[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
+                if not len(hit):
+                    continue
+                a, b, h1 = a[hit], b[hit], h1[hit]
+                h2 = pieces.second(a, b)
+                # longer runs that meet a short one leave the extension to it
+                short = b - a == words
+                told, starts = short.copy(), a[short]
+                if len(starts):
+                    told |= starts[np.maximum(np.searchsorted(starts, b) - 1, 0)] <= a - words
+                    told |= starts[0] >= b
+                else:
+                    told[:] = True
+                for i in range(0, len(hit), _ROWS):
+                    c = slice(i, i + _ROWS)
+                    t = told[c]
+                    held.append((np.full(len(t), row), a[c], b[c], h1[c], h2[c], t, pieces.around(a[c][t], b[c][t], reach)))
+                    size += len(t)
+                    if size >= _ROWS:
+                        yield batch_of(batch, held)
+                        held, size = [], 0
+            if held:
+                yield batch_of(batch, held)
+
+    return run
+
+
+def _extend_task(reach: int):
+    """Starts and ends of matches, extended to both sides while the words agree with the first occurrence's."""
+
+    size = 8 * reach
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = [(i, x, y) for i, (x, y) in enumerate(zip(batch.column("around").to_pylist(), batch.column("first_around").to_pylist()))
+                    if len(x) == size == len(y)]
+            row = np.array([i for i, _, _ in held], dtype=np.int64)
+            one, other = (np.frombuffer(b"".join(h[k] for h in held), dtype=np.uint32).reshape(-1, 2 * reach) for k in (1, 2))
+            same = one == other
+            before, behind = (np.zeros(batch.num_rows, np.int64) for _ in range(2))
+            before[row] = np.logical_and.accumulate(same[:, reach - 1::-1], axis=1).sum(axis=1)
+            behind[row] = np.logical_and.accumulate(same[:, reach:], axis=1).sum(axis=1)
+            a, b = (np.asarray(batch.column(c)).astype(np.int64) for c in ("a", "b"))
+            # a match that overlaps its first occurrence starts behind it, so that this one stays whole
+            start = np.maximum(np.maximum(a - before, 0), np.asarray(batch.column("own_end")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_rid"), pa.array(start, pa.int64()), pa.array(np.maximum(b + behind, start), pa.int64()),
+                 batch.column("first_doc")], names=["_rid", "a", "b", "first_doc"])
+
+    return run
+
+
+def _repeated_bitmap(rows: DataFrame, task, map_bits: int):
+    """Broadcast bit map of the hashes that occur more than once, and its bits."""
+    spark = rows.sparkSession
+    again = stage(rows.select("text").mapInArrow(task, "h long")
                   .groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated-hashes")
     bits = min(map_bits, max(16, (again.count() * 16).bit_length()))
     cells = (again.mapInArrow(_bitmap_task(bits), "at long, byte int").groupBy("at")
@@ -174,8 +305,35 @@ def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
     known = np.zeros(1 << (bits - 3), dtype=np.uint8)  # 2^(map_bits - 3) bytes at most, whatever the corpus
     for r in _in_parts(cells, 1 << (bits - 3)):
         known[r[0]] = r[1]
-    bitmap = spark.sparkContext.broadcast(known.tobytes())
+    return spark.sparkContext.broadcast(known.tobytes()), bits
+
+
+def repeated_runs(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, passage: int = PASSAGE,
+                  map_bits: int = MAP_BITS) -> DataFrame:
+    """(_rid, a, b, first_doc): words a to b (exclusive; b may lie beyond the text's end) of occurrences that
+    are not their first one, extended to both sides."""
+    rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
+                                    F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
+    bitmap, bits = _repeated_bitmap(rows, _hash_task(sentences, words, passage), map_bits)
+    found = stage(rows.mapInArrow(_run_task(sentences, words, passage, bitmap, bits),
+                                  "_rid long, doc_id long, a int, b int, h1 long, h2 long, around binary"), "runs")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "a", "around")
+    first = stage(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"))
+                  .filter("rows > 1").drop("rows"), "first-runs")
+    return (found.join(first, ["h1", "h2"])
+            .filter((F.col("first._rid") != F.col("_rid")) | (F.col("first.a") != F.col("a")))
+            .select("_rid", "a", "b", "around", F.col("first.doc_id").alias("first_doc"),
+                    F.col("first.around").alias("first_around"),
+                    F.when(F.col("first._rid") == F.col("_rid"), F.col("first.a") + F.col("b") - F.col("a"))
+                    .otherwise(F.lit(0)).alias("own_end"))
+            .mapInArrow(_extend_task(passage - words), "_rid long, a long, b long, first_doc long"))
 
+
+def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, map_bits: int = MAP_BITS) -> DataFrame:
+    """(_rid, doc_id, pos, n, first_doc): occurrences of spans that are not their first one."""
+    rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
+                                    F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
+    bitmap, bits = _repeated_bitmap(rows, _hash_task(sentences, words), map_bits)
     found = stage(rows.mapInArrow(_span_task(sentences, words, bitmap, bits),
                                   "_rid long, doc_id long, pos int, n int, h1 long, h2 long"), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "pos")
@@ -195,7 +353,7 @@ def _in_parts(cells: DataFrame, size: int, step: int = 1 << 20):
         yield np.asarray(t.column("at").combine_chunks()), np.asarray(t.column("byte").combine_chunks()).astype(np.uint8)
 
 
-def _clean_task():
+def _clean_task(by_words: bool = False):
     def run(batches):
         known = _Words()
         for batch in batches:
@@ -207,12 +365,16 @@ def _clean_task():
                         out[c].append(v)
                     continue
                 text = text.as_py()
-                ends = Pieces(text, known).chars
+                pieces = Pieces(text, known)
+                ends = pieces.word_chars if by_words else pieces.chars
                 drop = np.zeros(len(ends) + 1, dtype=np.int64)
                 for m in marks:
-                    drop[m["pos"]] += 1
-                    drop[m["pos"] + m["n"]] -= 1
+                    drop[min(m["pos"], len(ends))] += 1
+                    drop[min(m["pos"] + m["n"], len(ends))] -= 1
                 gone = np.cumsum(drop)[:len(ends)] > 0
+                touched = gone
+                if by_words:
+                    touched = np.add.reduceat(gone, np.concatenate([[0], pieces.words[:-1]])) > 0
                 kept, removed, at = [], [], 0
                 for end, dead in zip(ends.tolist(), gone.tolist()):
                     if not dead:
@@ -222,7 +384,7 @@ def _clean_task():
                     else:
                         removed.append({"start": at, "end": end})
                     at = end
-                for c, v in zip(out, ("".join(kept), len(ends), int(gone.sum()), removed)):
+                for c, v in zip(out, ("".join(kept), len(touched), int(touched.sum()), removed)):
                     out[c].append(v)
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -251,3 +413,22 @@ def remove_repeats(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
     return joined.mapInArrow(
         _clean_task(), "_rid long, doc_id long, text string, n_removed long, "
         "removed array<struct<start:long,end:long>>, first_docs array<long>")
+
+
+def remove_passages(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, passage: int = PASSAGE) -> DataFrame:
+    """As ``remove_repeats``, to the word: besides repeated spans, every later copy of a passage of ``passage``
+    words goes wherever it starts and ends, and all matches go with the words around them that repeat too.
+
+    n_removed counts the sentences that lose words, removed holds the ranges of the removed words. Of a run
+    that an earlier document holds in other company, only what agrees with its first occurrence goes.
+    """
+    docs = settled(docs)
+    marks = (repeated_runs(docs, sentences, words, passage).groupBy("_rid")  # one document's runs
+             .agg(F.collect_list(F.struct(F.col("a").alias("pos"), (F.col("b") - F.col("a")).alias("n"))).alias("marks"),
+                  F.sort_array(F.collect_set("first_doc")).alias("first_docs")))
+    rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
+                                    F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
+    joined = rows.join(marks.hint("shuffle_hash"), "_rid", "left")
+    return joined.mapInArrow(
+        _clean_task(by_words=True), "_rid long, doc_id long, text string, n_removed long, "
+        "removed array<struct<start:long,end:long>>, first_docs array<long>")
