@@ -85,3 +85,24 @@ def test_hashes_are_of_the_whole_window():
     a, b = td.window_hashes(h, 8)
     assert len(set(a.tolist())) == len(set(b.tolist())) == 13
     assert td.window_hashes(h[5:13], 8)[0][0] == a[5] and len(td.window_hashes(h[:3], 8)[0]) == 0
+
+
+@pytest.mark.parametrize("before", ["Quiz question: ", "Q1 ", "He asked ", '"', "7 ", "so "])
+def test_short_items_inside_a_line(spark, plain, before):
+    item = "What is the boiling point of water?"
+    assert found(plain([before + item, before + item.replace("boiling", "freezing")]), bench(spark, [item])) == [(0, 0, True)]
+
+
+def test_names_that_start_sentences(spark, plain):
+    item = "Tom has 5 apples. Tom eats 2 apples. How many apples does Tom have left?"
+    changed = item.replace("Tom", "Tim").replace("5", "9").replace("2", "4")
+    other = "Tom has 5 apples. Ann eats 2 pears. How many plums does Bob still want?"
+    assert found(plain([item, "Task 3: " + changed, other]), bench(spark, [item])) == [(0, 0, True), (1, 0, False)]
+
+
+def test_items_of_numbers_and_halves(spark, plain):
+    numbers, names = "1 2 3 5 8 13 21 34 55 89", "Alice Bob Carol Dave Erin Frank Grace Heidi"
+    half = "Tom has 5 apples. Tom eats 2 apples. How many apples does Tom have left?"
+    texts = [f"The list {numbers} goes on", "9 8 7 6 5 4 3 2 1 0", f"invited: {names} and more", "so Tom has 5 apples. Tom eats 2 apples. How many apples"]
+    assert found(plain(texts), bench(spark, [numbers, names, half])) == [(0, 0, True), (2, 1, True), (3, 2, True)]
+    assert found(plain(["so Tom has 5 apples. Tom eats 2 apples. How"]), bench(spark, [half])) == []
