@@ -54,3 +54,33 @@ def test_articles_of_the_test_pages(spark):
         inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         inner = re.sub(r"</?(?:h1|p|br)>", " ", inner)
         assert texts[r.page_id] == " ".join(html.unescape(re.sub(r"</?b>", "", inner)).split())
+
+
+BODY = "".join(f"<p>{PARA} {i}</p>" for i in range(4))
+TEXT = " ".join(f"{PARA} {i}" for i in range(4))
+
+
+@pytest.mark.parametrize("noise", [
+    f'<p class="ad">{PARA}</p>', f"<p hidden>{PARA}", f'<p class="cookie-notice">{PARA}<p class=x></p>',
+    f'<ol class="commentlist"><li class="comment">{PARA}<li class="comment"><p>{PARA}</p></ol>',
+    f'<div><span style="display:none">{PARA} <span>{PARA}</span> x</span></div>', f'<span class="ad">{PARA}</span>',
+    f'<div class="comment-list"><p>{PARA}</p>{BODY}</div>', f'<div class="left-sidebar"><p>{PARA}</p></div>',
+])
+def test_noise_without_an_article(noise):
+    assert lb.main_text(BODY + noise) == TEXT
+    assert lb.main_text(noise + BODY) == TEXT
+    assert lb.main_text(f"<article>{BODY}{noise}</article>") == TEXT
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="layout with-sidebar">{}</div>', '<div id="page" class="header-fixed">{}</div>',
+    "<form method=post action=x.aspx>{}</form>", '<div class="has-comments"><ul><li>{}</ul></div>',
+])
+def test_wrappers_of_the_page_stay(wrapper):
+    for body in (BODY, f"<article>{BODY}</article>"):
+        assert lb.main_text(f"<nav>{PARA}</nav>" + wrapper.format(body + f'<p class="ad">{PARA}</p>')) == TEXT
+
+
+def test_every_marked_article_stays():
+    page = f"<article>{BODY}</article><article><p>short news</article><aside><article>{PARA}</article></aside>"
+    assert lb.main_text(page + "<article><a href=/>More of this</a></article>") == TEXT + " short news"

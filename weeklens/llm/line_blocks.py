@@ -5,9 +5,14 @@ page headers and footers, sidebars, notices, adverts, forms and reader comments
 go with it. Over the rest, the text lengths of ``window`` following lines are
 summed. Text surges where the sum exceeds ``surge`` and dives where it falls to
 ``dive`` or below; the lines between a surge and the next dive are main text.
-Lines that consist of links count as empty. Where a page marks its article, the
-distribution decides which marked elements hold main text, and those are kept
-from their first line to their last, so that short closing lines stay.
+Lines that consist of links count as empty. Elements a page marks as articles
+are kept from their first line to their last, so that short lines stay, unless
+they stand in a menu or sidebar or consist of links.
+
+A class or id that is a notice word, or made of such words alone, marks notices.
+One that merely holds such a word ("with-sidebar", "header-fixed") may be the
+wrapper of the page, and so may a form: these go unless they hold most of the
+page's text.
 """
 
 from __future__ import annotations
@@ -37,6 +42,9 @@ NOISE = frozenset(("ad ads adv advert adverts advertisement advertising sponsor
                    "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe "
                    "subscription signup login share sharing social related recommended comment comments disqus "
                    "respond replies pagination pager").split())
+READERS = frozenset("comment comments disqus respond replies".split())  # their text may outgrow the page's own
+MODIFIERS = frozenset("has have with without no".split())
+INLINE_NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo share sharing".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -44,37 +52,73 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _is_noise(attributes: str) -> bool:
+KEPT, PERHAPS, NOISY = 0, 1, 2
+
+
+def _is_hidden(attributes: str) -> bool:
     for name, a, b, c, hidden in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if hidden or (name == "aria-hidden" and value == "true"):
+        if hidden or name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
-            return True
-        if name in ("class", "id") and any(p.lower() in NOISE for p in _NAME_PART.findall(value)):
-            return True
     return False
 
 
+def _names(attributes: str):
+    """Class and id names, each as its parts."""
+    for name, a, b, c, _ in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in (a or b or c).split():
+                yield token, [p.lower() for p in _NAME_PART.findall(token)]
+
+
+def _noise(attributes: str) -> int:
+    if _is_hidden(attributes):
+        return NOISY
+    for name, a, b, c, _ in _ATTRIBUTE.findall(attributes):
+        if name.lower() == "role" and (a or b or c) in (
+                "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
+            return NOISY
+    found = KEPT
+    for token, parts in _names(attributes):
+        held = [p in NOISE for p in parts]
+        if any(held):
+            if token.lower() in NOISE or all(held) or (READERS & set(parts) and parts[0] not in MODIFIERS):
+                return NOISY
+            found = PERHAPS
+    return found
+
+
+def _is_inline_noise(attributes: str) -> bool:
+    # an inline element's class says little, but for adverts and buttons
+    return _is_hidden(attributes) or any(token.lower() in INLINE_NOISE for token, _ in _names(attributes))
+
+
 def page_lines(html: str) -> list[tuple[str, int, int]]:
     """(text, length outside links, number of the marked article element or 0) per line of the page."""
-    lines: list[tuple[str, int, int]] = []
+    lines: list[tuple[str, int, int, tuple]] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # element, drops its text, article number
-    skip, article, articles, links = False, 0, 0, 0
+    # element, drops its text, article number, and the nearest wrapper and form that go unless they hold most of the page
+    stack: list[tuple[str, bool, int, tuple]] = []
+    around: list[int] = [0]  # per wrapper or form (0: none) the next one of its kind around it
+    skip, article, doubts, articles, links = False, 0, (0, 0), 0, 0
 
     def close_line():
         if text:
             whole = " ".join(htmllib.unescape("".join(text)).split())
             if whole:
                 in_links = len(" ".join(htmllib.unescape("".join(linked)).split()))
-                lines.append((whole, len(whole) - in_links, article))
+                lines.append((whole, len(whole) - in_links, article, doubts))
             text.clear()
             linked.clear()
 
+    def cut(i):
+        nonlocal skip, article, doubts
+        del stack[i:]
+        skip, article, doubts = stack[-1][1:] if stack else (False, 0, (0, 0))
+
     at, n = 0, len(html)
     while at < n:
         open_ = html.find("<", at)
@@ -105,30 +149,63 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
         if name in INLINE:
-            if not closing and m[3] and name not in VOID and _is_noise(m[3]):
-                pass  # an inline element's class says little
+            within = stack and stack[-1][0] in INLINE  # only those that drop their text, and what they hold, are listed
+            if closing and within:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] not in INLINE:
+                        break
+                    if stack[i][0] == name:
+                        cut(i)
+                        break
+            elif not closing and name not in VOID and (within or (m[3] and not skip and _is_inline_noise(m[3]))):
+                skip = True
+                stack.append((name, skip, article, doubts))
             continue
         close_line()
         links = 0
-        if name in VOID or name in ("p", "li", "html", "body"):
+        if name in VOID or name in ("html", "body"):
             continue
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
-                    skip, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                    cut(i)
                     break
+                if name in ("p", "li") and stack[i][0] not in INLINE and stack[i][0] != "p":
+                    break  # its end was implied before
             continue
+        # a block ends an open paragraph, an item the one before it
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == "p" or (name == "li" and stack[i][0] == "li"):
+                cut(i)
+                break
+            if stack[i][0] not in INLINE and not (name == "li" and stack[i][0] not in ("ul", "ol", "menu", *MARKED)):
+                break
+        noise = _noise(m[3]) if m[3] else KEPT
+        perhaps = noise == PERHAPS or name == "form"
         if name in MARKED:
             # what a page marks as its article is one, unless it stands in a menu, footer or sidebar
-            hidden = any(s[0] in OUT for s in stack) or (m[3] and _is_noise(m[3]))
+            hidden = any(s[0] in OUT and s[0] != "form" for s in stack) or noise != KEPT
             articles += 1
             skip, article = bool(hidden), (0 if hidden else (article or articles))
-        elif name in OUT or (name == "header" and not article) or (m[3] and _is_noise(m[3])):
+            doubts = (0, doubts[1])
+        elif (name in OUT and name != "form") or (name == "header" and not article) or noise == NOISY:
             skip = True
-        stack.append((name, skip, article))
+        elif perhaps and not skip:
+            around.append(doubts[name == "form"])
+            doubts = (doubts[0], len(around) - 1) if name == "form" else (len(around) - 1, doubts[1])
+        stack.append((name, skip, article, doubts))
     close_line()
-    return lines
+    sizes = [0] * len(around)
+    for _, own, _, held in lines:
+        for d in held:
+            sizes[d] += own
+    for d in range(len(around) - 1, 0, -1):
+        sizes[around[d]] += sizes[d]
+    whole = sum(own for _, own, _, _ in lines)
+    gone = [False] * len(around)
+    for d in range(1, len(around)):
+        gone[d] = gone[around[d]] or sizes[d] * 2 <= whole
+    return [(t, own, number) for t, own, number, held in lines if not (gone[held[0]] or gone[held[1]])]
 
 
 def main_text(html: str, window: int = WINDOW, surge: int = SURGE, dive: int = DIVE) -> str:
@@ -148,9 +225,11 @@ def main_text(html: str, window: int = WINDOW, surge: int = SURGE, dive: int = D
             inside = False
         keep[i] = inside and sizes[i] > 0
     if any(a for _, _, a in lines):
-        surged = {a for (_, _, a), k in zip(lines, keep) if k and a}
-        # no surge in any marked element: the page is short, and all it marks is its text
-        keep = [a in surged if surged else a > 0 for _, _, a in lines]
+        own, size = {}, {}
+        for text, n_own, a in lines:
+            own[a], size[a] = own.get(a, 0) + n_own, size.get(a, 0) + len(text)
+        texts = {a for a in own if a and own[a] * 2 >= size[a]}
+        keep = [a in texts if texts else a > 0 for _, _, a in lines]
     return " ".join(text for (text, _, _), k in zip(lines, keep) if k)
 
 
