@@ -69,10 +69,27 @@ def test_rounds_cut_edges(spark, plain):
 
 def test_granted_moves_fit(seed=0):
     r = np.random.default_rng(seed)
-    for _ in range(200):
+    for _ in range(400):
         n = int(r.integers(1, 9))
-        wishes, room = r.integers(0, 50, (n, n)), r.integers(0, 30, n)
+        wishes, room = r.integers(0, 50, (n, n)), r.integers(-20, 30, n)
         np.fill_diagonal(wishes, 0)
         moves = sp.granted_moves(wishes, room)
         assert (moves >= 0).all() and (moves <= wishes).all()
-        assert (moves.sum(axis=0) - moves.sum(axis=1) <= room).all()
+        over = moves.sum(axis=0) - moves.sum(axis=1) > room
+        assert not (over & (room >= 0)).any()
+        assert (moves[:, over] == 0).all()  # what cannot be emptied gets nothing more
+
+
+@pytest.mark.parametrize("room", [[-16, 0, 0, 0, 0], [-16, -15, 27, 27, 27], [-5, -5, -5, -5, -5]])
+def test_granted_moves_end_for_overfull_shards(room):
+    wishes = np.zeros((5, 5), int)
+    wishes[1, 0], wishes[0, 2], wishes[2, 3] = 1, 9, 30
+    moves = sp.granted_moves(wishes, np.array(room))
+    assert (moves <= wishes).all() and (moves[1, 0] == 0 or room[0] >= 0 or moves[0].sum() >= 1 - room[0])
+
+
+def test_departures_of_an_overfull_shard_go_first():
+    wishes = np.zeros((3, 3), int)
+    wishes[0, 2], wishes[1, 2] = 10, 40
+    moves = sp.granted_moves(wishes, np.array([-10, 5, 12]))
+    assert moves[0, 2] == 10 and moves[1, 2] == 2

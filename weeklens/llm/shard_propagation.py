@@ -37,26 +37,42 @@ def _pick(values, index: Column) -> Column:
 def granted_moves(wishes: np.ndarray, room: np.ndarray) -> np.ndarray:
     """Largest moves (elementwise at most ``wishes``) after which no shard exceeds its room.
 
-    Arrivals into overfull shards are cut, larger cells first; a cut arrival stays where it was, which
-    may overfill that shard, so this goes on until all fit. It ends as every step grants less.
+    Arrivals into overfull shards are cut: first those from shards that can keep them, then larger cells first,
+    and last those that come from a shard which is over its quota already (negative room), so that it can
+    empty. A cut arrival stays where it was, which may overfill that shard, so this goes on until all fit or
+    nothing is left to cut: a shard with negative room that its departures do not empty gets no arrivals. It
+    ends as every step but the last grants less.
     """
     moves = wishes.copy()
+    crowded = np.asarray(room) < 0
+
+    def take(j, i, amount):
+        amount = min(amount, int(moves[i, j]))
+        moves[i, j] -= amount
+        over[i] += amount
+        over[j] -= amount
+
     while True:
+        granted = int(moves.sum())
         over = moves.sum(axis=0) - moves.sum(axis=1) - room
-        full = np.flatnonzero(over > 0)
-        if not len(full):
+        for j in np.flatnonzero(over > 0):
+            for i in np.argsort(over, kind="stable"):
+                if over[i] < 0 < over[j]:
+                    take(j, i, min(int(over[j]), -int(over[i])))
+            for origins in (np.flatnonzero(~crowded), np.flatnonzero(crowded)):
+                cells = moves[origins, j]
+                part = min(max(0, int(over[j])), int(cells.sum()))
+                if not part:
+                    continue
+                for i, share in zip(origins, cells * part // int(cells.sum())):
+                    take(j, i, int(share))
+                    part -= int(share)
+                for i in origins[np.argsort(-moves[origins, j], kind="stable")]:
+                    share = min(part, int(moves[i, j]))
+                    take(j, i, share)
+                    part -= share
+        if int(moves.sum()) == granted:
             return moves
-        for j in full:
-            cut = int(over[j])
-            share = moves[:, j] * cut // max(1, int(moves[:, j].sum()))
-            moves[:, j] -= share
-            cut -= int(share.sum())
-            for i in np.argsort(-moves[:, j], kind="stable"):
-                take = min(cut, int(moves[i, j]))
-                moves[i, j] -= take
-                cut -= take
-                if not cut:
-                    break
 
 
 def _staying(state: DataFrame, largest: int) -> dict:
@@ -95,14 +111,45 @@ def _wishes(state: DataFrame, room) -> DataFrame:
             .select("g", "i", "j", "x", (F.col("nj") + 1 - F.col("ni")).alias("gain")))
 
 
+def evened(state: DataFrame, room: np.ndarray) -> DataFrame:
+    """``state`` with what overfull shards (negative room) hold beyond their quota dealt out to shards with
+    room, the least linked parts first. Without room for all, the last ones stay."""
+    excess, free = np.maximum(-room, 0), np.maximum(room, 0)
+    start, ends = np.cumsum(excess) - excess, np.cumsum(free)
+    # the parts that leave and the free places lie on one line; where they meet, a part finds its new shard
+    places = F.array(*[F.struct(F.lit(i).alias("j"), F.lit(int(e - f)).alias("a"), F.lit(int(e)).alias("b"))
+                       for i, (e, f) in enumerate(zip(ends, free))])
+    line = Window.partitionBy("shard").orderBy("n", F.xxhash64("g"), "g").rowsBetween(Window.unboundedPreceding, -1)
+    over = state.filter(_pick(excess, F.col("shard")) > 0)
+    away = (over.withColumn("a", F.coalesce(F.sum("n").over(line), F.lit(0)))
+            .withColumn("b", F.least(F.col("a") + F.col("n"), _pick(excess, F.col("shard")))).filter("b > a")
+            .withColumn("s", _pick(start, F.col("shard")))
+            .select("g", "shard", (F.col("s") + F.col("a")).alias("a"), (F.col("s") + F.col("b")).alias("b"),
+                    F.explode(places).alias("to"))
+            .withColumn("y", F.least("b", "to.b") - F.greatest("a", "to.a")).filter("y > 0"))
+    away = stage(away.select("g", "shard", F.col("to.j").alias("j"), "y"), "evened")
+    return stage(state.select("g", "shard", "n")
+                 .unionByName(away.select("g", "shard", (-F.col("y")).alias("n")))
+                 .unionByName(away.select("g", F.col("j").alias("shard"), F.col("y").alias("n")))
+                 .groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "labels")
+
+
+def _load(state: DataFrame, shards: int) -> np.ndarray:
+    load = np.zeros(shards, dtype=np.int64)
+    for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        load[r.shard] = r.n
+    return load
+
+
 def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[dict]]:
-    """Final (g, shard, n) of the linked groups, and per round the wishes, the grants and the cut pairs."""
+    """Final (g, shard, n) of the linked groups, and per round the wishes and the grants. Shards that are
+    over their quota at the start are evened out first."""
     shards, log = len(quota), []
+    room = np.array(quota, dtype=np.int64) - _load(state, shards)
+    if (room < 0).any():
+        state = evened(state, room)
     for _ in range(rounds):
-        load = np.zeros(shards, dtype=np.int64)
-        for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-            load[r.shard] = r.n
-        room = np.array(quota, dtype=np.int64) - load
+        room = np.array(quota, dtype=np.int64) - _load(state, shards)
         # wishes count on the documents that would leave as well; the grants see to it that they do
         stay = _staying(state, max(quota))
         hoped = [q - stay.get(i, 0) for i, q in enumerate(quota)]
@@ -149,9 +196,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     state = stage(counts.withColumn("t", whole).filter("t > 1").drop("t"), "labels")
     state, _ = propagate(state, quota, rounds)
 
-    load = [0] * shards
-    for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-        load[r.shard] = r.n
+    load = _load(state, shards).tolist()
     ends = np.cumsum([q - n for q, n in zip(quota, load)]).tolist()
     # a group's documents take its shards in order of their number in the group
     upto = F.sum("n").over(Window.partitionBy("g").orderBy("shard"))
