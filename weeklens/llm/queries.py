@@ -6,13 +6,17 @@ for digest columns, they are derived here from the operator's own result.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weeklens.llm import (
     bayes_quality,
     credential_links,
     line_blocks,
     mixture_packing,
+    periodic_runs,
     poly_fingerprints,
     sentence_spans,
     shard_propagation,
@@ -72,6 +76,39 @@ def op7_exact_dedup(spark, sf_dir):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def planted_words(doc_id: int | None, words: list) -> list:
+    """The words op12 works on: of one document in ten (by its id's CRC-32) the words from a place on are
+    replaced by repeats of the first of them. A document without an id is left as it is."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (-(-(n - a) // p)))[:n - a]
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """Per document the count of its runs, the one with the greatest exponent (exactly: by cross
+    multiplication; of equal ones the first) and digests of all runs and of the collapsed text."""
+    larger = lambda a, r: a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.reduce("runs", none, lambda a, r: F.when(larger(a, r), r).otherwise(a))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return run_digests(periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), prepare=planted_words))
+
+
 QUERIES = {
     "op1_label_propagation": op1_label_propagation,
     "op2_warc_transactions": op2_warc_transactions,
@@ -83,6 +120,7 @@ QUERIES = {
     "op8_credential_links": op8_credential_links,
     "op9_bayes_quality": op9_bayes_quality,
     "op10_simhash_trie": op10_simhash_trie,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE = {
