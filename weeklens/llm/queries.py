@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import zlib
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weeklens.llm import (
     bayes_quality,
     credential_links,
+    ecoc_language,
     line_blocks,
     mixture_packing,
     periodic_runs,
@@ -22,12 +24,10 @@ from weeklens.llm import (
     shard_propagation,
     simhash_trie,
     template_decontam,
+    token_alignment,
     warc_assembly,
 )
 
-# Vocabulary files of the public tokenizers (never copied into the repository).
-TOKENIZERS = "/opt/tokenizers"
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,7 +42,7 @@ def op2_warc_transactions(spark, sf_dir):
 
 
 def op3_mixture_packing(spark, sf_dir):
-    return mixture_packing.pack(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return mixture_packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op4_sentence_spans(spark, sf_dir):
@@ -109,6 +109,14 @@ def op12_periodic_runs(spark, sf_dir):
     return run_digests(periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), prepare=planted_words))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.link_statistics(_table(spark, sf_dir, "documents"))
+
+
+def op13_ecoc_language(spark, sf_dir):
+    return ecoc_language.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_label_propagation": op1_label_propagation,
     "op2_warc_transactions": op2_warc_transactions,
@@ -120,7 +128,9 @@ QUERIES = {
     "op8_credential_links": op8_credential_links,
     "op9_bayes_quality": op9_bayes_quality,
     "op10_simhash_trie": op10_simhash_trie,
+    "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ecoc_language": op13_ecoc_language,
 }
 
 ORACLE = {
