@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -106,3 +107,90 @@ def test_items_of_numbers_and_halves(spark, plain):
     texts = [f"The list {numbers} goes on", "9 8 7 6 5 4 3 2 1 0", f"invited: {names} and more", "so Tom has 5 apples. Tom eats 2 apples. How many apples"]
     assert found(plain(texts), bench(spark, [numbers, names, half])) == [(0, 0, True), (2, 1, True), (3, 2, True)]
     assert found(plain(["so Tom has 5 apples. Tom eats 2 apples. How"]), bench(spark, [half])) == []
+
+
+def canonical(text):
+    """Per view the canonical tokens and slot flags of a text, and its words, in plain Python."""
+    tokens = re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]", text or "")
+    views, words = [([], []) for _ in range(3)], []
+    for k, t in enumerate(tokens):
+        if t in ".!?\n":
+            continue
+        words.append(t)
+        low, prior = t.lower(), tokens[k - 1] if k else "."
+        number = lambda x: x[0].isdigit() or x.lower() in td.NUMBER_WORDS
+        title = not number(t) and low not in td.UNITS and t[0].isupper() and t[1:].islower()
+        for view in range(3):
+            kind = low
+            if view < 2:
+                if number(t):
+                    kind = "#n"
+                elif title and (view == 1 or prior not in ".!?\n"):
+                    kind = "#t"
+                elif low in td.UNITS and number(prior):
+                    kind = "#u"
+            views[view][0].append(kind)
+            views[view][1].append(kind[0] == "#")
+    return views, words
+
+
+def brute(docs, items, window=8):
+    out = []
+    for item, text in items:
+        views, words = canonical(text)
+        if len(words) < td.MIN_WORDS:
+            for d, t in docs:
+                if words and any(canonical(line)[0][2][0] == views[2][0] for line in (t or "").split("\n")):
+                    out.append((d, item, 1, 1, True))
+            continue
+        size = min(window, len(words))
+        for d, t in docs:
+            doc_views, doc_words = canonical(t)
+            best, plain_ = None, False
+            for view in range(3):
+                (kinds, slot), (dk, ds) = views[view], doc_views[view]
+                telling = [i for i in range(len(words) - size + 1) if sum(slot[i:i + size]) * 2 <= size]
+                lines = {}
+                for i in telling:
+                    for j in range(len(dk) - size + 1):
+                        if dk[j:j + size] == kinds[i:i + size]:
+                            lines.setdefault(j - i, []).append((i, j))
+                matched, verbatim = set(), True
+                for hits in lines.values():
+                    values = {}
+                    for i, j in hits:
+                        for k in range(size):
+                            if slot[i + k]:
+                                values.setdefault(words[i + k], set()).add(doc_words[j + k])
+                    if not values or np.mean([len(v) == 1 for v in values.values()]) >= td.CONSISTENCY:
+                        matched |= {i for i, _ in hits}
+                        verbatim &= all(v == {a} for a, v in values.items())
+                if telling and len(matched) / len(telling) >= td.COVERAGE:
+                    plain_ |= verbatim
+                    best = max(best or (0, 0, 0), (len(matched) / len(telling), len(matched), len(telling)))
+            if best:
+                out.append((d, item, best[1], best[2], plain_))
+    return sorted(out)
+
+
+def test_leaks_equal_brute_force(spark, plain):
+    r = random.Random(7)
+    names, things = ["Anna", "Bert", "Carla", "Tom"], ["apples", "km", "pears", "of", "the", "rope", "box", "sells"]
+    word = lambda: r.choice([r.choice(names), r.choice(things), str(r.randrange(3)), r.choice(["two", "is.", "a", "by"])])
+    items = [" ".join(word() for _ in range(r.choice([2, 3, 5, 6, 8, 9, 14]))) for _ in range(25)]
+    docs = []
+    for _ in range(150):
+        item = r.choice(items).split()
+        for i in range(len(item)):
+            if r.random() < 0.15:
+                item[i] = word()
+        lead = [" ".join(word() for _ in range(r.randrange(12)))]
+        docs.append(r.choice([" ", "\n", ". "]).join([*lead, " ".join(item), "tail end"]))
+    got = sorted((x.doc_id, x.item_id, x.matched, x.windows, x.verbatim) for x in td.leaks(plain(docs), bench(spark, items)).collect())
+    want = brute(list(enumerate(docs)), list(enumerate(items)))
+    assert got == want and len(want) > 40 and any(len(items[w[1]].split()) < 5 for w in want)
+
+
+def test_short_items_leak_as_whole_lines(spark, plain):
+    texts = ["Intro.\n Two Words! \nmore", "here are two words inside", "two words", "two\nwords", None, "three two words"]
+    assert found(plain(texts), bench(spark, ["two words"])) == [(0, 0, True), (2, 0, True)]

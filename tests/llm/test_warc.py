@@ -1,5 +1,6 @@
 import hashlib
 
+from weeklens.llm import queries
 from weeklens.llm import warc_assembly as wa
 from weeklens.llm.common import stage_path
 
@@ -36,6 +37,25 @@ def test_roundtrip(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(PAGES)
 
 
+def test_the_query_reads_and_joins_all_three_kinds(spark):
+    path = stage_path(spark, "warc-test")
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    wa.write_archive(pages, path)
+    captures = wa.read_captures(spark, path, False).select("record_id", "request.record_id", "metadata.record_id")
+    plan = captures._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 3 and plan.count("Join") == 2
+    got = queries.op2_warc_transactions(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == pages.count()
+    ids = {k: [getattr(r, k) for r in got] for k in ("request_id", "metadata_id")}
+    assert all(len(set(v)) == len(got) and None not in v for v in ids.values()) and not set(ids["request_id"]) & set(ids["metadata_id"])
+    kept = {kind: {h["warc-record-id"]: h["warc-concurrent-to"] for f in spark.read.format("binaryFile").load(f"{path}/{kind}").collect()
+                   for h, _ in wa._records(memoryview(bytes(f.content)))} for kind in ("request", "metadata")}
+    assert set(kept["request"]) == set(ids["request_id"]) and set(kept["metadata"]) == set(ids["metadata_id"])
+    assert all(kept["request"][r.request_id] == kept["metadata"][r.metadata_id] for r in got)
+    urls = {r.page_id: r.url for r in pages.collect()}
+    assert all(r.request_uri == urls[r.page_id] for r in got)
+
+
 def test_empty_table(spark):
     assert wa.archive_roundtrip(table(spark, [])).collect() == []
 

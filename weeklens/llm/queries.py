@@ -135,12 +135,19 @@ QUERIES = {
 
 ORACLE = {
     "op2_warc_transactions": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n,
+                          trim(regexp_replace(url, '[\\r\\n]+', ' ', 'g')) AS request_uri,
+                          row_number() OVER () - 1 AS rid FROM pages),
+        u AS (SELECT *, '|' || rid || '|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || sha1(body) AS own FROM p),
+        i AS (SELECT *, md5('request' || own) AS q, md5('metadata' || own) AS m FROM u),
         r AS (SELECT *, n >= 1000 AND row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST) > 1 AS again,
-                     max(page_id) OVER (PARTITION BY body) AS first FROM p)
+                     max(page_id) OVER (PARTITION BY body) AS first FROM i)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
                CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN again THEN first END AS refers_to FROM r""",
+               CASE WHEN again THEN first END AS refers_to, request_uri,
+               '<urn:uuid:' || q[1:8] || '-' || q[9:12] || '-' || q[13:16] || '-' || q[17:20] || '-' || q[21:32] || '>' AS request_id,
+               '<urn:uuid:' || m[1:8] || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32] || '>' AS metadata_id
+        FROM r""",
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,

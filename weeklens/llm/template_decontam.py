@@ -150,6 +150,15 @@ def _first_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return a ^ (a >> np.uint64(31))
 
 
+def _first_hashes_at(h: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """``_first_hashes`` of the windows that start at ``at``."""
+    a = np.full(len(at), size, np.uint64)
+    for i in range(size):
+        a *= _M1
+        a += h[at + i]
+    return a ^ (a >> np.uint64(31))
+
+
 def _second_hashes(h: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
     b = np.full(len(at), size, np.uint64)
     for i in range(size):
@@ -188,6 +197,10 @@ def _item_windows(window: int, min_words: int):
                 parts = list(canon.views(text, 0))
                 words = [w for p in parts for w in p[2]]
                 if len(words) < min_words:
+                    if words:  # looked for as a whole line: its size is told by a negative number
+                        h = np.concatenate([p[0][_LITERAL] for p in parts])
+                        a, b = window_hashes(h, len(words))
+                        rows.append((key, ident, _LITERAL, 0, -len(words), 1, _signed(a[0]), _signed(b[0]), []))
                     continue
                 size = min(window, len(words))
                 for view in range(VIEWS):
@@ -210,8 +223,49 @@ def _places(h1: np.ndarray, bits: int) -> np.ndarray:
     return ((h1 * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _view_hits(hashes, slots, size: int, known: np.ndarray, bits: int):
+    """(first hashes, starts the bit map knows) of the windows of one size, per view.
+
+    A window without slots is the same in all views, and one whose slots are those of the view before is the same
+    as there: each is hashed and looked up once."""
+
+    def look(a):
+        p = _places(a, bits)
+        return (known[p >> 3] >> (p & 7).astype(np.uint8)) & 1
+
+    def held(slot):
+        total = np.concatenate([[0], np.cumsum(slot, dtype=np.int32)])
+        return total[size:] - total[:-size]
+
+    literal = _first_hashes(hashes[_LITERAL], size)
+    base, found, before = literal, look(literal).astype(bool), 0
+    out = {_LITERAL: (literal, np.flatnonzero(found))}
+    for view in range(VIEWS):
+        if view == _LITERAL:
+            continue
+        n_slots = held(slots[view])
+        at = np.flatnonzero(n_slots != before)
+        if len(at):
+            own = (_first_hashes_at(hashes[view], size, at) if 4 * len(at) < len(literal)
+                   else _first_hashes(hashes[view], size)[at])
+            base, found = base.copy(), found.copy()
+            base[at], found[at] = own, look(own)
+        before = n_slots
+        out[view] = base, np.flatnonzero(found)
+    return sorted(out.items())
+
+
+def _short_lines(text: str, canon: Canon, sizes: set[int]):
+    """(line number, hashes of its words) of the lines that have as many words as a short item."""
+    for no, line in enumerate(text.split("\n")):
+        n = len([t for t in _TOKEN.findall(line) if t not in ".!?"])
+        if n in sizes:
+            yield no, np.concatenate([h[_LITERAL] for h, *_ in canon.views(line, 0)])
+
+
 def _doc_windows(sizes: list[int], bitmap, bits: int):
-    """Windows of documents whose hash the bit map knows."""
+    """Windows of documents whose hash the bit map knows, and whole lines (negative sizes) likewise."""
+    lines, sizes = {-s for s in sizes if s < 0}, [s for s in sizes if s > 0]
 
     def run(batches):
         canon, known = Canon(), np.frombuffer(bitmap.value, dtype=np.uint8)
@@ -219,17 +273,24 @@ def _doc_windows(sizes: list[int], bitmap, bits: int):
             rows = []
             keys, ids, texts = batch.column("key").to_pylist(), batch.column("id").to_pylist(), batch.column("text")
             for r, key in enumerate(keys):
-                for hashes, slots, words, place in canon.views(texts[r].as_py(), max(sizes) - 1):
-                    for view, (h, slot) in enumerate(zip(hashes, slots)):
-                        for size in sizes:
-                            a = _first_hashes(h, size)
-                            p = _places(a, bits)
-                            hits = np.flatnonzero((known[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
+                text = texts[r].as_py()
+                if lines:
+                    for no, h in _short_lines(text, canon, lines):
+                        a, b = window_hashes(h, len(h))
+                        p = _places(a, bits)
+                        if known[p[0] >> 3] >> (p[0] & 7) & 1:
+                            rows.append((key, ids[r], _LITERAL, no, -len(h), 0, _signed(a[0]), _signed(b[0]), []))
+                for hashes, slots, words, place in canon.views(text, max(sizes, default=1) - 1):
+                    for size in sizes:
+                        if len(words) < size:
+                            continue
+                        for view, (a, hits) in _view_hits(hashes, slots, size, known, bits):
                             if place > 0:  # shorter windows inside the shared tokens were seen with the block before
                                 hits = hits[hits >= max(sizes) - size]
                             if not len(hits):
                                 continue
-                            for i, b in zip(hits.tolist(), _second_hashes(h, size, hits)):
+                            slot = slots[view]
+                            for i, b in zip(hits.tolist(), _second_hashes(hashes[view], size, hits)):
                                 values = [words[j] for j in range(i, i + size) if slot[j]]
                                 rows.append((key, ids[r], view, place + i, size, 0, _signed(a[i]), _signed(b), values))
                     if len(rows) > 20_000:
@@ -258,8 +319,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     """One row per (document row, benchmark row) that leaks: _rid, doc_id, item_id, matched, windows,
     coverage, verbatim (false: other values in the slots).
 
-    Null texts count as empty and never match. Items of fewer than ``min_words`` words are not looked for (a
-    common phrase is no evidence). Null or repeated ids are told apart by their rows; rows repeated in a
+    Null texts count as empty and never match. An item of fewer than ``min_words`` words (a common phrase inside
+    a text is no evidence) leaks where it is a whole line, as written but for case and punctuation. Null or repeated ids are told apart by their rows; rows repeated in a
     table give repeated results. Empty tables give an empty result.
     """
     spark = docs.sparkSession

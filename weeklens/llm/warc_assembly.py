@@ -218,24 +218,28 @@ def read_captures(spark: SparkSession, path: str, blocks: bool = True) -> DataFr
 
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """Per capture: page_id, payload_bytes, payload_digest, record_type, refers_to (page_id of the response a
-    revisit names). Size and digest of a revisit are those of the payload it refers to, as read."""
+    revisit names), request_uri, request_id and metadata_id (of the records joined to it; null if the archive has
+    none). Size and digest of a revisit are those of the payload it refers to, as read."""
+    joined = ["request_uri", "request_id", "metadata_id"]
     rows = stage(captures.select(
         "record_id", "page_id", F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("to"),
-        F.col("response.payload_bytes").alias("bytes"), F.col("response.payload_sha1").alias("sha1")), "captures")
+        F.col("response.payload_bytes").alias("bytes"), F.col("response.payload_sha1").alias("sha1"),
+        F.col("request.target_uri").alias("request_uri"), F.col("request.record_id").alias("request_id"),
+        F.col("metadata.record_id").alias("metadata_id")), "captures")
     origin = rows.filter("record_type = 'response'").select(
         F.col("record_id").alias("to"), F.col("page_id").alias("refers_to"), F.col("bytes").alias("payload_bytes"),
         F.col("sha1").alias("payload_digest"))
     stored = rows.filter("record_type = 'response'").select(
         "page_id", F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type",
-        F.lit(None).cast("long").alias("refers_to"))
+        F.lit(None).cast("long").alias("refers_to"), *joined)
     again = rows.filter("record_type = 'revisit'").join(origin, "to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *joined)
     return stored.unionByName(again)
 
 
 def archive_roundtrip(pages: DataFrame, blocks: bool = False) -> DataFrame:
-    """Write the pages' archive to the shared folder, read it back and resolve it (see the functions above).
-    An empty table gives an empty result."""
+    """Write the pages' archive to the shared folder, read its three kinds of records back, join them and resolve
+    the revisits (see the functions above). An empty table gives an empty result."""
     path = stage_path(pages.sparkSession, "warc")
     write_archive(pages, path)
     return resolve_revisits(read_captures(pages.sparkSession, path, blocks))
