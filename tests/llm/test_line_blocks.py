@@ -1,3 +1,7 @@
+import random
+import re
+
+import pyarrow.parquet as pq
 import pytest
 
 from weeklens.llm import line_blocks as lb
@@ -84,3 +88,46 @@ def test_wrappers_of_the_page_stay(wrapper):
 def test_every_marked_article_stays():
     page = f"<article>{BODY}</article><article><p>short news</article><aside><article>{PARA}</article></aside>"
     assert lb.main_text(page + "<article><a href=/>More of this</a></article>") == TEXT + " short news"
+
+
+def brute(sizes, window, surge, dive, bounded):
+    """The kept lines, every block summed anew and every stretch from its surge to its dive."""
+    block = lambda i: sum(sizes[i:i + window])
+    kept, i, free = set(), 0, 0
+    while i < len(sizes):
+        if not (sizes[i] > 0 and block(i) > surge and block(i) > dive):
+            i += 1
+            continue
+        end = next((j for j in range(i, len(sizes)) if block(j) <= dive), len(sizes))
+        run_up = i
+        while run_up > max(free, i - window + 1) and (bounded or sizes[run_up - 1]):
+            run_up -= 1
+        kept |= {j for j in range(run_up, end) if bounded or sizes[j] or j < run_up}
+        i = free = end
+    return [j in kept for j in range(len(sizes))]
+
+
+def test_surges_and_dives_equal_brute_force():
+    r = random.Random(4)
+    for _ in range(3000):
+        sizes = [r.choice([0, 0, 5, 20, 60, 90, 300]) for _ in range(r.randrange(25))]
+        window, surge, bounded = r.randrange(1, 5), r.choice([0, 40, 80]), r.random() < 0.5
+        assert lb.text_lines(sizes, window, surge, 0, bounded) == brute(sizes, window, surge, 0, bounded)
+
+
+def test_article_tags_change_nothing_on_the_test_pages():
+    for row in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist():
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", row["html"])
+        assert plain != row["html"] and lb.main_text(plain) == lb.main_text(row["html"])
+
+
+def test_links_inside_an_article():
+    links = "".join(f"<p><a href=/{i}>Other page number {i}</a></p>" for i in range(4))
+    title = "<h1><a href=/>A linked title</a></h1>"
+    middle = f"<article>{title}{BODY}<p><a href=/x>A source</a></p><p>{PARA}</p>{links}</article>"
+    assert lb.main_text(middle) == f"A linked title {TEXT} A source {PARA}"
+
+
+def test_title_and_date_before_a_surge():
+    page = f"<div><a href=/>Home</a></div><h1>Title</h1><p>1 May</p><p>By B.</p>{BODY}"
+    assert lb.main_text(page) == f"Title 1 May By B. {TEXT}"

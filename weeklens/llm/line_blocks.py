@@ -5,9 +5,11 @@ page headers and footers, sidebars, notices, adverts, forms and reader comments
 go with it. Over the rest, the text lengths of ``window`` following lines are
 summed. Text surges where the sum exceeds ``surge`` and dives where it falls to
 ``dive`` or below; the lines between a surge and the next dive are main text.
-Lines that consist of links count as empty. Elements a page marks as articles
-are kept from their first line to their last, so that short lines stay, unless
-they stand in a menu or sidebar or consist of links.
+Lines that consist of links count as empty. The few short lines that lead up to
+a surge belong to it. Elements a page marks as articles bound the search: where
+there are any, text is looked for inside them only, one by one, and surges there
+at its first character, so that short lines stay; those in menus or sidebars do
+not count.
 
 A class or id that is a notice word, or made of such words alone, marks notices.
 One that merely holds such a word ("with-sidebar", "header-fixed") may be the
@@ -208,10 +210,14 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
     return [(t, own, number) for t, own, number, held in lines if not (gone[held[0]] or gone[held[1]])]
 
 
-def main_text(html: str, window: int = WINDOW, surge: int = SURGE, dive: int = DIVE) -> str:
-    """Kept lines joined by one space."""
-    lines = page_lines(html)
-    sizes = [own if own * 2 >= len(text) else 0 for text, own, _ in lines]
+def text_lines(sizes: list[int], window: int = WINDOW, surge: int = SURGE, dive: int = DIVE, bounded: bool = False) -> list[bool]:
+    """Which lines are text, by their sizes (0: a line of links).
+
+    A block is the sum over a line and the ``window`` - 1 after it. Text surges at a line of text whose block
+    exceeds ``surge`` and dives at the first one after it whose block is ``dive`` or less. Up to ``window`` - 1
+    lines before a surge are its run-up (a title and its kin are too short to surge by themselves): as far as
+    they are text. In a ``bounded`` search, inside an element that holds text only, lines of links between text
+    stay and so do those in a run-up."""
     n = len(sizes)
     total = [0]
     for s in sizes:
@@ -221,15 +227,34 @@ def main_text(html: str, window: int = WINDOW, surge: int = SURGE, dive: int = D
     for i in range(n):
         if not inside and sizes[i] and block[i] > surge:
             inside = True
+            for j in range(i - 1, max(-1, i - window), -1):
+                if keep[j] or not (sizes[j] or bounded):
+                    break
+                keep[j] = True
         if inside and block[i] <= dive:
             inside = False
-        keep[i] = inside and sizes[i] > 0
-    if any(a for _, _, a in lines):
-        own, size = {}, {}
-        for text, n_own, a in lines:
-            own[a], size[a] = own.get(a, 0) + n_own, size.get(a, 0) + len(text)
-        texts = {a for a in own if a and own[a] * 2 >= size[a]}
-        keep = [a in texts if texts else a > 0 for _, _, a in lines]
+        keep[i] = inside and (bounded or sizes[i] > 0)
+    return keep
+
+
+def main_text(html: str, window: int = WINDOW, surge: int = SURGE, dive: int = DIVE) -> str:
+    """Kept lines joined by one space."""
+    lines = page_lines(html)
+    sizes = [own if own * 2 >= len(text) else 0 for text, own, _ in lines]
+    if not any(a for _, _, a in lines):
+        keep = text_lines(sizes, window, surge, dive)
+    else:
+        # marked elements bound the search, each by itself; text there surges at its first character
+        keep, at = [False] * len(lines), {}
+        for i, (_, _, a) in enumerate(lines):
+            if a:
+                at.setdefault(a, []).append(i)
+        for held in at.values():
+            whole = sum(len(lines[i][0]) for i in held)
+            # one that consists of links holds no text
+            some = [sizes[i] if 2 * sum(lines[k][1] for k in held) >= whole else 0 for i in held]
+            for i, k in zip(held, text_lines(some, window, 0, dive, bounded=True)):
+                keep[i] = k
     return " ".join(text for (text, _, _), k in zip(lines, keep) if k)
 
 
