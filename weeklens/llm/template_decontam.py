@@ -27,6 +27,7 @@ some chance hits, not the corpus.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -55,29 +56,20 @@ UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g k
 VIEWS, _LITERAL = 3, 2
 _WORD, _TITLE, _NUMBER, _UNIT, _END = 0, 1, 2, 3, 4
 _PLACEHOLDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?\n]")
 _SPACE = re.compile(r"\s")
 _BLOCK = 1 << 20
 _KNOWN = 1_000_000
 _M1, _M2 = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
 
 
-class Canon:
-    """Canonical tokens of a text: hash, slot flag and the word itself."""
+class _Index(dict):
+    """Number of each token, and by that number its hash and kind; a new token is learnt as it is looked up."""
 
     def __init__(self):
-        self.forget()
-
-    def forget(self):
-        self.index: dict[str, int] = {}
-        self.hash = np.zeros(1024, dtype=np.uint64)
-        self.kind = np.zeros(1024, dtype=np.int8)
-
-    def _learn(self, token: str) -> None:
-        i = len(self.index)
-        if i == len(self.hash):
-            self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
-            self.kind = np.concatenate([self.kind, np.zeros_like(self.kind)])
+        self.hashes, self.kinds = array("Q"), array("b")
+
+    def __missing__(self, token: str) -> int:
         low = token.lower()
         if token in ".!?\n":
             kind = _END
@@ -87,9 +79,32 @@ class Canon:
             kind = _UNIT
         else:
             kind = _TITLE if token[0].isupper() and token[1:].islower() else _WORD
-        self.hash[i] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
-        self.kind[i] = kind
-        self.index[token] = i
+        self.hashes.append(xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")))
+        self.kinds.append(kind)
+        self[token] = out = len(self.kinds) - 1
+        return out
+
+
+class _Told:
+    """The words of a block: some of the block before, then those of its tokens that are words; looked up when
+    they are asked for, which is at matches only."""
+
+    def __init__(self, before: list[str], tokens: list[str], at: np.ndarray):
+        self.before, self.tokens, self.at = before, tokens, at
+
+    def __len__(self) -> int:
+        return len(self.before) + len(self.at)
+
+    def __getitem__(self, i: int) -> str:
+        n = len(self.before)
+        return self.before[i] if i < n else self.tokens[self.at[i - n]]
+
+
+class Canon:
+    """Canonical tokens of a text: hash, slot flag and the word itself."""
+
+    def __init__(self):
+        self.index = _Index()
 
     def blocks(self, text: str, overlap: int):
         """(hash, is_slot, words, place of the first token) per mebibyte of text; blocks share ``overlap`` tokens."""
@@ -108,20 +123,17 @@ class Canon:
             if not tokens:
                 continue
             if len(self.index) > _KNOWN:
-                self.forget()
+                self.index = _Index()
             known = self.index
-            for t in tokens:
-                if t not in known:
-                    self._learn(t)
             ix = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-            kind = self.kind[ix]
+            kind, plain = (np.frombuffer(x, t)[ix] for x, t in ((known.kinds, np.int8), (known.hashes, np.uint64)))
             prior = np.concatenate([[before], kind[:-1]])
             before = kind[-1]
             title = kind == _TITLE
             unit = (kind == _UNIT) & (prior == _NUMBER)
             number = kind == _NUMBER
             word = kind != _END
-            plain, hashes, slots = self.hash[ix], [], []
+            hashes, slots = [], []
             for name in (title & (prior != _END), title):
                 h = plain.copy()
                 h[number], h[name], h[unit] = _PLACEHOLDER
@@ -129,13 +141,14 @@ class Canon:
                 slots.append((number | name | unit)[word])
             hashes.append(plain[word])
             slots.append(np.zeros(len(hashes[0]), bool))
-            words = tail[2] + [t for t, k in zip(tokens, word.tolist()) if k]
+            words = _Told(tail[2], tokens, np.flatnonzero(word))
             hashes = [np.concatenate([t, h]) for t, h in zip(tail[0], hashes)]
             slots = [np.concatenate([t, x]) for t, x in zip(tail[1], slots)]
             yield hashes, slots, words, place
             keep = min(overlap, len(words))
             place += len(words) - keep
-            tail = [h[len(h) - keep:] for h in hashes], [x[len(x) - keep:] for x in slots], words[len(words) - keep:]
+            tail = ([h[len(h) - keep:] for h in hashes], [x[len(x) - keep:] for x in slots],
+                    [words[i] for i in range(len(words) - keep, len(words))])
 
 
 _NUMBER_SET, _UNIT_SET = frozenset(NUMBER_WORDS), frozenset(UNITS)
@@ -150,15 +163,6 @@ def _first_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return a ^ (a >> np.uint64(31))
 
 
-def _first_hashes_at(h: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
-    """``_first_hashes`` of the windows that start at ``at``."""
-    a = np.full(len(at), size, np.uint64)
-    for i in range(size):
-        a *= _M1
-        a += h[at + i]
-    return a ^ (a >> np.uint64(31))
-
-
 def _second_hashes(h: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
     b = np.full(len(at), size, np.uint64)
     for i in range(size):
@@ -195,7 +199,7 @@ def _item_windows(window: int, min_words: int):
             rows = []
             for key, ident, text in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "text"))):
                 parts = list(canon.views(text, 0))
-                words = [w for p in parts for w in p[2]]
+                words = [p[2][i] for p in parts for i in range(len(p[2]))]
                 if len(words) < min_words:
                     if words:  # looked for as a whole line: its size is told by a negative number
                         h = np.concatenate([p[0][_LITERAL] for p in parts])
@@ -223,36 +227,13 @@ def _places(h1: np.ndarray, bits: int) -> np.ndarray:
     return ((h1 * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _view_hits(hashes, slots, size: int, known: np.ndarray, bits: int):
-    """(first hashes, starts the bit map knows) of the windows of one size, per view.
-
-    A window without slots is the same in all views, and one whose slots are those of the view before is the same
-    as there: each is hashed and looked up once."""
-
-    def look(a):
+def _view_hits(hashes, size: int, known: np.ndarray, bits: int):
+    """(view, first hashes, starts the bit map knows) of the windows of one size. All windows of all views are
+    hashed: that is cheaper than telling those apart that look alike in several views."""
+    for view, h in enumerate(hashes):
+        a = _first_hashes(h, size)
         p = _places(a, bits)
-        return (known[p >> 3] >> (p & 7).astype(np.uint8)) & 1
-
-    def held(slot):
-        total = np.concatenate([[0], np.cumsum(slot, dtype=np.int32)])
-        return total[size:] - total[:-size]
-
-    literal = _first_hashes(hashes[_LITERAL], size)
-    base, found, before = literal, look(literal).astype(bool), 0
-    out = {_LITERAL: (literal, np.flatnonzero(found))}
-    for view in range(VIEWS):
-        if view == _LITERAL:
-            continue
-        n_slots = held(slots[view])
-        at = np.flatnonzero(n_slots != before)
-        if len(at):
-            own = (_first_hashes_at(hashes[view], size, at) if 4 * len(at) < len(literal)
-                   else _first_hashes(hashes[view], size)[at])
-            base, found = base.copy(), found.copy()
-            base[at], found[at] = own, look(own)
-        before = n_slots
-        out[view] = base, np.flatnonzero(found)
-    return sorted(out.items())
+        yield view, a, np.flatnonzero((known[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
 
 
 def _short_lines(text: str, canon: Canon, sizes: set[int]):
@@ -284,7 +265,7 @@ def _doc_windows(sizes: list[int], bitmap, bits: int):
                     for size in sizes:
                         if len(words) < size:
                             continue
-                        for view, (a, hits) in _view_hits(hashes, slots, size, known, bits):
+                        for view, a, hits in _view_hits(hashes, size, known, bits):
                             if place > 0:  # shorter windows inside the shared tokens were seen with the block before
                                 hits = hits[hits >= max(sizes) - size]
                             if not len(hits):
