@@ -53,3 +53,31 @@ def test_other_frames_are_written_before_they_are_numbered(files, split):
     whole = numbers(rows)
     split(20_000)
     assert len(whole) == 12_000 and numbers(rows) == whole
+
+
+@pytest.mark.parametrize("vectors", [0, 1, 1000])
+def test_rows_are_dropped_by_vectors_or_by_a_join(spark, files, vectors):
+    numbered = common.with_row_id(files).select("_rid", "doc_id")
+    gone = common.stage(numbered.filter("doc_id % 3 = 0 OR doc_id < 100").select("_rid"), "test-gone")
+    twice = gone.unionByName(gone)
+    left = common.without_rows(files, twice, vectors)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    few = vectors >= 3  # three files
+    assert ("Exchange hashpartitioning" not in plan) == few and ("LeftAnti" in plan) != few
+    assert left.columns == files.columns
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == [i for i in range(100, 6000) if i % 3]
+    held = common.only_rows(numbered, "_rid", twice, vectors)
+    assert held.columns == numbered.columns
+    kept = sorted(r.doc_id for r in held.collect())
+    assert kept == ([i for i in range(6000) if i % 3 == 0 or i < 100] if few else list(range(6000)))
+
+
+def test_vectors_reach_over_their_borders(spark, tmp_path):
+    path = str(tmp_path / "many")
+    n = 2 * common.VECTOR_ROWS + 11
+    spark.range(n).coalesce(1).select(F.col("id").alias("doc_id")).write.parquet(path)
+    docs = spark.read.parquet(path)
+    edge = [0, 7, 8, common.VECTOR_ROWS - 1, common.VECTOR_ROWS, 2 * common.VECTOR_ROWS - 1, 2 * common.VECTOR_ROWS, n - 1]
+    gone = common.stage(common.with_row_id(docs).filter(F.col("doc_id").isin(edge)).select("_rid"), "test-gone")
+    left = common.without_rows(docs, gone)
+    assert left.count() == n - len(edge) and left.filter(F.col("doc_id").isin(edge)).count() == 0

@@ -65,6 +65,18 @@ def test_rounds_cut_edges(spark, plain):
     assert max(r.n for r in held) <= 70 and sum(r.n for r in held) == 300
     inside = lambda df: df.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0]
     assert inside(final) > 2 * inside(state) and log[0]["granted"] > 0
+    assert all(b["inside"] > a["inside"] for a, b in zip(log, log[1:])) and log[0]["inside"] <= inside(final)
+
+
+def test_rounds_end_when_groups_only_change_places(plain):
+    # one group of five shards' size beside small ones: its parts have nowhere better to go
+    texts = ["hot"] * 250 + [f"g{i // 3}" for i in range(300)] + [f"single {i}" for i in range(50)]
+    base = plain(texts).select(F.col("text").alias("g"), (F.col("doc_id") * 7 % 12).cast("int").alias("shard"))
+    state = base.groupBy("g", "shard").agg(F.count(F.lit(1)).alias("n"))
+    final, log = sp.propagate(state, [50] * 12, 40)
+    assert len(log) < 12 and all(b["inside"] > a["inside"] for a, b in zip(log, log[1:]))
+    held = {r[0]: r[1] for r in final.groupBy("shard").agg(F.sum("n")).collect()}
+    assert max(held.values()) <= 50 and sum(held.values()) == 600
 
 
 def test_granted_moves_fit(seed=0):

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from weeklens.session import checkpoint_dir
 
 
+VECTOR_ROWS = 1 << 15  # rows of a file that one bit map (4 KB) covers
+VECTORS = 1 << 14  # bit maps sent to all tasks at most: 64 MB
+
+
 def stage_path(spark, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
@@ -79,17 +83,50 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
             .withColumn(name, F.shiftleft(no, 40).bitwiseOR(F.col(at))).drop(path, at, key, no))
 
 
-def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _vectors(chosen: DataFrame) -> DataFrame:
+    """Rows (_vector, _bits): bit maps of the numbers in column _rid, each over ``VECTOR_ROWS`` rows of a file."""
+    rid = F.col("_rid")
+    return stage(chosen.select(rid).groupBy(F.shiftright(rid, 15).alias("_vector"))
+                 .agg(F.bitmap_construct_agg(rid.bitwiseAND(F.lit(VECTOR_ROWS - 1))).alias("_bits")), "row-vectors")
+
+
+def _in_vectors(numbered: DataFrame, name: str, cells: DataFrame, flag: str) -> DataFrame:
+    """``numbered`` with ``flag``: whether the number in column ``name`` is in the bit maps, sent to all tasks."""
+    vector, bits = (f"_{c}{uuid.uuid4().hex}" for c in ("vector", "bits"))
+    cells = cells.select(F.col("_vector").alias(vector), F.col("_bits").alias(bits))
+    place = F.col(name).bitwiseAND(F.lit(VECTOR_ROWS - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.pmod(place, F.lit(8))).bitwiseAND(F.lit(1))
+    joined = numbered.join(F.broadcast(cells), F.shiftright(F.col(name), 15) == F.col(vector), "left")
+    return joined.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop(vector, bits)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, vectors: int = VECTORS) -> DataFrame:
     """``docs`` without the rows whose ``with_row_id`` number is in column _rid of ``gone``.
 
-    ``docs`` must have passed ``settled`` before it was numbered first. Columns stay as given, whatever their names. Only the numbers of the dropped rows are joined.
+    ``docs`` must have passed ``settled`` before it was numbered first. Columns stay as given, whatever their names.
+    The dropped rows become deletion vectors, bit maps over the rows of a file. Where these are few (counted first)
+    they go to all tasks and no document leaves its scan; beyond ``vectors`` the numbers are joined by a shuffle.
     """
     name = "_rid"
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
-    numbered = with_row_id(docs, name)
-    other = gone.select(F.col("_rid").alias("_gone"))
-    return numbered.join(other.hint("shuffle_hash"), numbered[name] == other["_gone"], "left_anti").drop(name)
+    cells, numbered = _vectors(gone), with_row_id(docs, name)
+    if cells.count() > vectors:
+        other = gone.select(F.col("_rid").alias("_gone"))
+        return numbered.join(other.hint("shuffle_hash"), numbered[name] == other["_gone"], "left_anti").drop(name)
+    flag = f"_gone{uuid.uuid4().hex}"
+    return _in_vectors(numbered, name, cells, flag).filter(~F.col(flag)).drop(name, flag)
+
+
+def only_rows(numbered: DataFrame, name: str, chosen: DataFrame, vectors: int = VECTORS) -> DataFrame:
+    """``numbered`` without rows whose number (column ``name``) is not in column _rid of ``chosen``, where these
+    take few bit maps; else ``numbered`` as it is. For use before a join with ``chosen``."""
+    cells = _vectors(chosen)
+    if cells.count() > vectors:
+        return numbered
+    flag = f"_held{uuid.uuid4().hex}"
+    return _in_vectors(numbered, name, cells, flag).filter(F.col(flag)).drop(flag)
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, settled, stage, with_row_id, without_rows
+from weeklens.llm.common import column, only_rows, settled, stage, with_row_id, without_rows
 
 # Two primes below 2^31 and a base for each.
 PRIMES = (2147483647, 2147483629)
@@ -121,6 +121,9 @@ def _confirm(docs: DataFrame, fp: DataFrame, classes: DataFrame, chunk_bytes: in
     members = fp.select("_rid", *key).join(classes.filter("rows > 1").select(*key), key)
     texts = with_row_id(docs).select(F.col("_rid").alias("_tid"),
                                      F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8").alias("data"))
+    # only the candidates' texts leave their scan
+    members = stage(members, "candidates")
+    texts = only_rows(texts, "_tid", members)
     pairs = texts.join(members.hint("shuffle_hash"), F.col("_tid") == F.col("_rid"))
     return (_chunks(pairs, "data", chunk_bytes).groupBy(*key, "idx")
             .agg(F.min("data").alias("lo"), F.max("data").alias("hi"))

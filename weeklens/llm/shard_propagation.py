@@ -134,31 +134,39 @@ def evened(state: DataFrame, room: np.ndarray) -> DataFrame:
                  .groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "labels")
 
 
-def _load(state: DataFrame, shards: int) -> np.ndarray:
-    load = np.zeros(shards, dtype=np.int64)
-    for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+def _load(state: DataFrame, shards: int) -> tuple[np.ndarray, float]:
+    """Documents per shard, and pairs of linked documents that share one."""
+    load, inside = np.zeros(shards, dtype=np.int64), 0.0
+    n = F.col("n").cast("double")
+    for r in state.groupBy("shard").agg(F.sum("n").alias("n"), F.sum(n * (n - 1) / 2).alias("pairs")).collect():
         load[r.shard] = r.n
-    return load
+        inside += r.pairs
+    return load, inside
 
 
 def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[dict]]:
-    """Final (g, shard, n) of the linked groups, and per round the wishes and the grants. Shards that are
-    over their quota at the start are evened out first."""
-    shards, log = len(quota), []
-    room = np.array(quota, dtype=np.int64) - _load(state, shards)
-    if (room < 0).any():
-        state = evened(state, room)
+    """Final (g, shard, n) of the linked groups, and per round the wishes, the grants and the linked pairs that
+    share a shard before it. Shards that are over their quota at the start are evened out first. A round that
+    leaves no more pairs together than the one before (groups that change places) is undone and the last."""
+    shards, log, before = len(quota), [], None
+    quota = np.array(quota, dtype=np.int64)
+    load, inside = _load(state, shards)
+    if (quota < load).any():
+        state = evened(state, quota - load)
+        load, inside = _load(state, shards)
     for _ in range(rounds):
-        room = np.array(quota, dtype=np.int64) - _load(state, shards)
+        if before is not None and inside <= before[1]:
+            return before[0], log
+        before, room = (state, inside), quota - load
         # wishes count on the documents that would leave as well; the grants see to it that they do
-        stay = _staying(state, max(quota))
-        hoped = [q - stay.get(i, 0) for i, q in enumerate(quota)]
+        stay = _staying(state, int(quota.max()))
+        hoped = [int(q) - stay.get(i, 0) for i, q in enumerate(quota)]
         asked = stage(_wishes(state, hoped), "wishes")
         wishes = np.zeros((shards, shards), dtype=np.int64)
         for r in asked.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
             wishes[r.i, r.j] = r.x
         moves = granted_moves(wishes, room)
-        log.append({"wished": int(wishes.sum()), "granted": int(moves.sum())})
+        log.append({"wished": int(wishes.sum()), "granted": int(moves.sum()), "inside": inside})
         if not moves.sum():
             break
         if (moves == wishes).all():
@@ -172,7 +180,8 @@ def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> tuple
         state = stage(state.unionByName(moved.select("g", F.col("i").alias("shard"), (-F.col("y")).alias("n")))
                       .unionByName(moved.select("g", F.col("j").alias("shard"), F.col("y").alias("n")))
                       .groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "labels")
-    return state, log
+        load, inside = _load(state, shards)
+    return (state if before is None or inside > before[1] else before[0]), log
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -196,7 +205,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     state = stage(counts.withColumn("t", whole).filter("t > 1").drop("t"), "labels")
     state, _ = propagate(state, quota, rounds)
 
-    load = _load(state, shards).tolist()
+    load = _load(state, shards)[0].tolist()
     ends = np.cumsum([q - n for q, n in zip(quota, load)]).tolist()
     # a group's documents take its shards in order of their number in the group
     upto = F.sum("n").over(Window.partitionBy("g").orderBy("shard"))
