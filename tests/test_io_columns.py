@@ -57,3 +57,19 @@ def test_robust_scaler(spark):
     from pyspark.ml import Pipeline
     out = Pipeline(stages=ff.stages()).fit(df).transform(df).select("__num_Y").collect()
     assert [r[0] for r in out] == [-1.0, -0.5, 0.0, 0.5, 48.5]
+
+
+def test_bad_rows_of_a_scoring_file_are_told(spark, tmp_path):
+    path = str(tmp_path / "file.csv")
+    names = IO.SCORING_FILE_SCHEMA.fieldNames()
+    lines = [",".join([*names, "extra"]), "a,1.5,2,3,b,s,g,p,1.0,7,x", "a,one,2,3.5,b,s,g,p,1.0,7,x", "a,1.5,2,3,b", ",,,,,,,,,,",
+             "a,1.5,2,3,b,s,g,p,1.0,7,x,y", 'a,"1,5",2,3,b,s,g,p,1.0,7,x']
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    good, bad = IO.read_scoring_parts(spark, path)
+    assert good.schema == IO.SCORING_FILE_SCHEMA
+    assert [r.Y for r in good.collect()] == [1.5, None]
+    told = {r.line: r.reasons for r in bad.collect()}
+    assert told == {"a,one,2,3.5,b,s,g,p,1.0,7,x": ["Y: one", "num_deliver_per_week: 3.5"], "a,1.5,2,3,b": ["number of cells"],
+                    "a,1.5,2,3,b,s,g,p,1.0,7,x,y": ["number of cells"], "a,1,5,2,3,b,s,g,p,1.0,7,x": ["Y: 1,5"]}
+    assert IO.read_scoring_csv(spark, path).count() == 2

@@ -4,6 +4,7 @@ from conftest import SF_SMALL
 from weeklens.plans.weekly import run_weekly
 from weeklens.session import scratch_path
 from weeklens.sources import io as IO
+from weeklens.sources.versions import Versions
 
 
 def test_weekly_run_trains_then_reuses(spark):
@@ -16,7 +17,8 @@ def test_weekly_run_trains_then_reuses(spark):
     assert min(first["explained"].values()) > 0 and first["val_samples"] > 2000
     second = run_weekly(spark, SF_SMALL, work, stamp="w2", **kw)
     assert second["explained"] == first["explained"]
-    assert spark.read.parquet(f"{work}/snapshots/snapshot=w2").count() == spark.read.parquet(f"{work}/dataset").count()
+    store = Versions(spark, work)
+    assert store.read("dataset", tag="w2").count() == store.read("dataset").count()
     assert second["drift_detected"] is False and not second["retrained"]
     drift = IO.read_json_report(spark, f"{work}/reports/drift")
     assert drift["summary"]["columns_with_drift"] == 0

@@ -89,27 +89,44 @@ class FittedFeatures:
         return cls(**{**d, "spec": FeatureSpec(**d["spec"])})
 
     # ---------------------------------------------------------------- transform
-    def statement(self) -> str:
-        parts = ["*"]
+    def expressions(self) -> dict:
+        """SQL of every prepared column by its name."""
+        out = {}
         for c in self.spec.numeric:
             x = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_d(self.median[c])})"
             if self.spec.scaler == "standard":
                 x = f"least(greatest({x}, {_d(self.lower[c])}), {_d(self.upper[c])})"
-            parts.append(f"({x} - {_d(self.mean[c])}) / {_d(self.scale[c])} AS `__num_{c}`")
+            out[f"__num_{c}"] = f"({x} - {_d(self.mean[c])}) / {_d(self.scale[c])}"
         for c in self.spec.discretize:
             inner = self.edges[c][1:-1]
             x = f"CAST(`{c}` AS DOUBLE)"
             terms = " + ".join(f"CASE WHEN {x} >= {_d(e)} THEN 1 ELSE 0 END" for e in inner) or "0"
-            parts.append(f"CAST(coalesce({terms}, 0) AS DOUBLE) AS `__disc_{c}`")
+            out[f"__disc_{c}"] = f"CAST(coalesce({terms}, 0) AS DOUBLE)"
         for c in self.spec.categorical:
             m = self.mode.get(c)
             fill = "NULL" if m is None else _s(m)
-            parts.append(f"coalesce(CAST(`{c}` AS STRING), {fill}) AS `__cat_{c}`")
+            out[f"__cat_{c}"] = f"coalesce(CAST(`{c}` AS STRING), {fill})"
         if self.spec.week:
             w = "coalesce(CAST(weekofyear(`week`) AS DOUBLE), 0.0)"
-            parts.append(f"({w} - {_d(self.week_mean)}) / {_d(self.week_scale)} AS `__week`")
+            out["__week"] = f"({w} - {_d(self.week_mean)}) / {_d(self.week_scale)}"
+        return out
+
+    def statement(self) -> str:
+        parts = ["*", *[f"{x} AS `{name}`" for name, x in self.expressions().items()]]
         return "SELECT " + ", ".join(parts) + " FROM __THIS__"
 
+    def vector(self, labels: dict):
+        """The assembled vector as one native array: what the stages give, without a function call per stage.
+        ``labels`` maps each categorical to its indexed labels; an unknown or missing one is all zeros."""
+        x = self.expressions()
+        parts = [F.expr(x[f"__num_{c}"]) for c in self.spec.numeric] + [F.expr(x[f"__disc_{c}"]) for c in self.spec.discretize]
+        for c in self.spec.categorical:
+            held = F.expr(x[f"__cat_{c}"])
+            parts += [F.when(held == F.lit(v), 1.0).otherwise(0.0) for v in labels.get(c, [])]
+        if self.spec.week:
+            parts.append(F.expr(x["__week"]))
+        return F.array(*parts)
+
     def stages(self, features_col: str = "features"):
         cats = self.spec.categorical
         stages = [SQLTransformer(statement=self.statement())]

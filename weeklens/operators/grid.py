@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from weeklens.functions.time import week_start, week_spine
 from weeklens.operators.columns import constant_columns
 from weeklens.operators.dedup import dedup_keep_first, dedup_rows
+from weeklens.operators.ordered import running_sums
+from weeklens.operators.sampling import sample_numbers
 from weeklens.session import reliable_checkpoint
 
 KEYS = ["customer_id", "product_id", "week"]
@@ -89,6 +91,56 @@ class Grid:
     def n_cells(self) -> int:
         return self.n_customers * self.n_products * self.n_weeks
 
+    def sample(self, n: int, seed: int = 42, first_week=None, last_week=None,
+               max_listed: int = 1_000_000) -> DataFrame:
+        """min(n, cells) distinct grid rows of the given weeks (M2), drawn by their cell numbers: no other
+        grid row is made. Customers and products get their ordinals in the order of their ids. Up to
+        ``max_listed`` sampled keys go to all tasks, more of them are joined by shuffles."""
+        first, last = first_week or self.first_week, last_week or self.last_week
+        weeks = int(round((last - first).days / 7)) + 1
+        spark = self.df.sparkSession
+        total = self.n_customers * self.n_products * weeks
+        cells = sample_numbers(spark, total, n, seed)
+        per = F.lit(self.n_products * weeks).cast("long")
+        rest = F.pmod("cell", per)
+        keys = cells.select(F.expr(f"cell div {self.n_products * weeks}").alias("_c"),
+                            F.call_function("div", rest, F.lit(weeks).cast("long")).alias("_p"),
+                            (F.lit(first).cast("timestamp") + F.make_dt_interval(days=(F.pmod(rest, F.lit(weeks)) * 7).cast("int")))
+                            .alias("week"))
+        some = F.broadcast if min(n, total) <= max_listed else (lambda df: df)
+        keys = reliable_checkpoint(keys)
+        # the sampled keys are the small side; each dimension is read once and only its sampled rows stay
+        cust = ordinals(self.customers, "customer_id", "_c").join(some(keys), "_c").drop("_c")
+        rows = ordinals(self.products, "product_id", "_p").join(some(reliable_checkpoint(cust)), "_p").drop("_p")
+        rows = reliable_checkpoint(rows)
+        bought = (self.cells.where(F.col(LABEL) == 1).select(*KEYS, LABEL)
+                  .join(some(rows.select(*KEYS)), KEYS, "left_semi"))
+        label = F.coalesce(F.col(LABEL), F.lit(0)).alias(LABEL)
+        out = rows.join(some(bought), KEYS, "left")
+        return out.select(*[label if c == LABEL else F.col(c) for c in self.df.columns])
+
+    def judged_rows(self, first_week=None, last_week=None) -> DataFrame:
+        """Rows that stand for all cells of the given weeks when cells are scored by attributes and week of
+        year (A8 to A10): customer and product with their attributes, ``week``, ``_n`` cells and ``_tp``
+        purchases among them.
+
+        Cells of one customer and product whose weeks share a week of year score alike: one row, the latest of
+        the weeks, stands for them all, with no purchase. The purchases come as rows of their own that stand for no cell, from the
+        purchase cells, so the grid is not joined with them. Grouped by score, the two add up to the cells."""
+        first, last = first_week or self.first_week, last_week or self.last_week
+        weeks = (self.df.sparkSession.range(1).select(F.explode(week_spine(first, last)).alias("week"))
+                 .groupBy(F.weekofyear("week").alias("woy")).agg(F.max("week").alias("week"), F.count("*").alias("_n"))
+                 .select(F.sort_array(F.collect_list(F.struct("week", "_n"))).alias("w")).first().w)  # at most 53
+        listed = F.array(*[F.struct(F.lit(r["week"]).alias("week"), F.lit(r["_n"]).cast("long").alias("_n")) for r in weeks])
+        rows = self.customers.withColumn("_w", F.explode(listed)).select("*", "_w.*").drop("_w")
+        every, _ = attach_products(rows, self.products)
+        bought = (self.cells.where((F.col(LABEL) == 1) & F.col("week").between(F.lit(first), F.lit(last)))
+                  .groupBy("customer_id", "product_id", F.weekofyear("week").alias("_woy"))
+                  .agg(F.max("week").alias("week"), F.count("*").alias("_tp")).drop("_woy"))
+        bought = bought.join(self.customers, "customer_id").join(self.products, "product_id")
+        return (every.withColumn("_tp", F.lit(0).cast("long"))
+                .unionByName(bought.withColumn("_n", F.lit(0).cast("long"))))
+
     def class_counts(self) -> DataFrame:
         """Grid rows per label (A13) by identity: the purchase cells hold the
         positives, all other rows are negatives. Two rows, no grid row made."""
@@ -98,6 +150,12 @@ class Grid:
         return pos.select(F.explode(both).alias("r")).select("r.*").where("n > 0")
 
 
+def ordinals(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """``dim`` (one row per ``key``) with ``name`` = 0, 1, 2, ... in the order of the keys."""
+    d = running_sums(dim.withColumn("_one", F.lit(1).cast("long")), [], key, ["_one"])
+    return d.withColumn(name, F.col("cum__one") - 1).drop("_one", "cum__one")
+
+
 def clean_dimension(dim: DataFrame, key: str) -> DataFrame:
     """P1 then P2: a dimension listed twice with different attributes would
     multiply grid rows in the attribute join."""

@@ -79,6 +79,29 @@ def prepare_incremental(history: DataFrame | Grid | None, new: DataFrame | Grid,
     return Incremental(combined, lo)
 
 
+def merge_weeks(store, name: str, new: Grid, weeks_to_include: int = 4, tag: str | None = None) -> int:
+    """U2 into table ``name`` of a versioned store: the same rows as ``prepare_incremental`` of the table and
+    ``new``, written as the weeks of ``new`` only. Weeks before the recent history leave the new version, other
+    weeks stay in the folders they lie in. Returns the version."""
+    history = store.read(name)
+    if history is None:
+        return store.commit({name: store.write(name, new.df, "week")}, tag, part_columns={name: "week"})
+    held = store.entries()[name]
+    recent = sorted(held)[-weeks_to_include:] if weeks_to_include > 0 else []
+    first, last = (str(w.date()) for w in (new.first_week, new.last_week))
+    history = history.where(F.col("week").between(F.lit(new.first_week), F.lit(new.last_week)))
+    if recent:
+        history = history.where(F.col("week") >= F.lit(recent[0]).cast("timestamp"))
+    c = new.customers.select(F.col("customer_id").alias("_c"))
+    p = new.products.select(F.col("product_id").alias("_p"))
+    # every (customer, product, week) of the new spines is a row of the new grid and replaces the old one
+    kept = (history.join(c, F.col("customer_id") == F.col("_c"), "left").join(p, F.col("product_id") == F.col("_p"), "left")
+            .where(F.col("_c").isNull() | F.col("_p").isNull()).drop("_c", "_p"))
+    written = store.write(name, kept.unionByName(new.df, allowMissingColumns=True), "week")
+    gone = {w: None for w in held if w not in recent or first <= w <= last}
+    return store.commit({name: {**gone, **written}}, tag, whole=False, part_columns={name: "week"})
+
+
 STATS_SCHEMA = ("historical_samples long, new_samples long, combined_samples long, "
                 "historical_weeks long, new_weeks long, combined_weeks long, "
                 "weeks_included_from_historical int, min_week timestamp, max_week timestamp")

@@ -649,13 +649,10 @@ FROM m, ap""")
 def q_eval_metrics(spark, sf):
     """A8-A10 of the loyalty baseline on the validation weeks; the oracle
     scores the materialised validation grid row by row."""
-    g = _val_pairs(spark, sf)
-    ap = M.average_precision(g).first()[0]
-    tm = M.threshold_metrics(g)
-    return tm.select("n_rows", "positives", r6(F.lit(ap)).alias("average_precision"),
-                     *[r6(F.col(c)).alias(c) for c in
-                       ("precision", "recall", "f1_score", "accuracy", "score_min", "score_max",
-                        "score_mean", "score_median")])
+    return M.all_metrics(_val_pairs(spark, sf)).select(
+        "n_rows", "positives", *[r6(F.col(c)).alias(c) for c in
+                                 ("average_precision", "precision", "recall", "f1_score", "accuracy", "score_min",
+                                  "score_max", "score_mean", "score_median")])
 
 
 @query("class_balance", GRID_ALL + """
@@ -803,12 +800,10 @@ def trained(spark, sf, tune=False, n_trials=3):
     key = (spark.sparkContext.applicationId, sf, tune, n_trials)
     if key not in _MODELS:
         g = G.build_grid(*load_raw(spark, sf, "brand"))
-        t_end, _ = S.split_bounds(g.weeks())
-        tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
-        w_train = int(round((t_end - g.first_week).days / 7)) + 1
-        _MODELS[key] = (MD.train(tr, va, tune=tune, n_trials=n_trials,
-                                 train_rows=g.n_customers * g.n_products * w_train,
-                                 parallelism=min(n_trials, 3)), va)
+        _, va, _ = S.temporal_split(g.df, weeks=g.weeks())
+        sample, judged = MD.training_frames(g)
+        _MODELS[key] = (MD.train(sample, judged, tune=tune, n_trials=n_trials, train_cap=None,
+                                 parallelism=4), va)
     return _MODELS[key]
 
 
@@ -846,13 +841,38 @@ def q_model_checks(spark, sf):
                                  "probabilities_in_range boolean, reload_equal boolean, importance_sum double, ranked boolean")
 
 
+@query("grid_sample", MODEL_SQL + """
+SELECT least(50000, pairs * tw) AS n_rows, least(50000, pairs * tw) AS n_cells, true AS rows_of_the_grid,
+       true AS positives_as_expected FROM d, n""")
+def q_grid_sample(spark, sf):
+    """M2: the sample the forest is fitted on, drawn by cell numbers: its size,
+    its distinct cells, whether every cell is one of the training weeks' with the
+    label of the purchases, and whether its positives are as many as a uniform
+    draw gives (within five deviations)."""
+    g = G.build_grid(*load_raw(spark, sf, "brand"))
+    t_end, _ = S.split_bounds(g.weeks())
+    rows = reliable_checkpoint(g.sample(MD.TRAIN_CAP, last_week=t_end).select(*G.KEYS, G.LABEL))
+    bought = g.cells.where((F.col(G.LABEL) == 1) & (F.col("week") <= F.lit(t_end))).select(*G.KEYS, F.lit(1).alias("_bought"))
+    right = (F.col(G.LABEL) == F.coalesce("_bought", F.lit(0))) & F.col("week").between(F.lit(g.first_week), F.lit(t_end))
+    found = (rows.join(bought, G.KEYS, "left")
+             .join(g.customers.select("customer_id", F.lit(True).alias("_c")), "customer_id", "left")
+             .join(g.products.select("product_id", F.lit(True).alias("_p")), "product_id", "left")
+             .agg(F.count("*").alias("n_rows"), F.count_distinct(*G.KEYS).alias("n_cells"),
+                  F.min(right & F.col("_c").isNotNull() & F.col("_p").isNotNull()).alias("rows_of_the_grid"),
+                  F.sum(G.LABEL).alias("_hit")))
+    weeks = int(round((t_end - g.first_week).days / 7)) + 1
+    share = bought.count() / (g.n_customers * g.n_products * weeks)
+    n = F.col("n_rows")
+    near = F.abs(F.col("_hit") - n * share) <= 5 * F.sqrt(n * share) + 1
+    return found.select("n_rows", "n_cells", "rows_of_the_grid", near.alias("positives_as_expected"))
+
+
 @query("train_model_full")
 def q_train_model_full(spark, sf):
     """The full trainer variant: regions and zones as categories, its fixed
     defaults; metrics on all validation cells."""
     g = G.build_grid(*load_raw(spark, sf, "brand"))
-    tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
-    res = MD.train_full(tr, va)
+    res = MD.train_full(*MD.training_frames(g), train_cap=None)
     keys = ["average_precision", "precision", "recall", "f1_score"]
     row = (res.train_rows, res.val_rows, *[float(res.metrics[k] or 0) for k in keys],
            ",".join(res.features.spec.numeric), ",".join(res.features.spec.categorical))
@@ -895,8 +915,9 @@ def q_train_model_production(spark, sf):
     category, fixed parameters, threshold 0.2), metrics on train and
     validation and the validation score stats."""
     g = G.build_grid(*load_raw(spark, sf, "brand"))
-    tr, va, _ = S.temporal_split(g.df, weeks=g.weeks())
-    res = MD.train_production(tr, va)
+    sample, judged = MD.training_frames(g)
+    t_end, _ = S.split_bounds(g.weeks())
+    res = MD.train_production(sample, judged, train_cap=None, train_all=g.judged_rows(last_week=t_end))
     m = res.metrics
     keys = ["train_average_precision", "train_precision", "train_recall", "train_f1_score",
             "val_average_precision", "val_precision", "val_recall", "val_f1_score",
@@ -916,7 +937,7 @@ def q_model_importance(spark, sf):
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
     res, va = trained(spark, sf)
-    return EX.permutation_importance(res.model, va)
+    return EX.permutation_importance(res.model, res.features, va)
 
 
 @query("partial_dependence")
@@ -1026,6 +1047,26 @@ def q_star_customers(spark, sf):
 
 # ------------------------------------------------------------ sinks and file scoring (IO2-IO4, M7, P12)
 
+@query("incremental_merge_by_week", INCR_SQL + "SELECT * FROM combined")
+def q_incremental_merge_by_week(spark, sf):
+    """U2, IO6, IO7 in a versioned store: the history is committed and kept
+    under a name, the new grid is merged by writing its own weeks only, and the
+    earlier version is still there; the result is that of ``incremental_merge``."""
+    from weeklens.operators.incremental import merge_weeks
+    from weeklens.sources.versions import Versions
+    hist_tx, new_tx, cust, prod = _windows(spark, sf)
+    store = Versions(spark, IO.new_stage_path(spark, "versions"))
+    history = G.build_grid(hist_tx, cust, prod)
+    merge_weeks(store, "state", history)
+    store.snapshot("history")
+    before = store.folders("state")
+    new = G.build_grid(new_tx, cust, prod)
+    merge_weeks(store, "state", new)
+    if len(store.folders("state") - before) != new.n_weeks or store.read("state", tag="history").count() != history.n_cells:
+        raise RuntimeError("the merge wrote other weeks than its own, or changed the snapshot")
+    return store.read("state")
+
+
 @query("stage_roundtrip", with_(TX_PART) + """
 SELECT customer_id, product_id, week,
        max(CASE WHEN order_id IS NOT NULL THEN 1 ELSE 0 END) AS comprado
@@ -1052,6 +1093,54 @@ def q_score_file(spark, sf):
     return score_file(spark, res.model, path, res.features)
 
 
+LINE_SQL = with_(CUST) + """, f AS (SELECT customer_id AS c, customer_type,
+  CASE WHEN customer_id % 11 = 0 THEN 'n/a' ELSE CAST(region_id AS VARCHAR) END AS y,
+  CASE WHEN customer_id % 13 = 0 THEN 'w' || customer_id ELSE CAST(1 + customer_id % 52 AS VARCHAR) END AS w FROM cust),
+l AS (SELECT *, CASE WHEN c % 17 = 0 THEN coalesce(customer_type, '') || ',' || y
+  ELSE coalesce(customer_type, '') || ',' || y || ',1.5,2,b,,,,3.0,' || w END AS line FROM f)
+"""
+
+
+@query("scoring_file_parts", LINE_SQL + """
+SELECT 'scored' AS part, '' AS line, '' AS reason, count(*) AS n FROM l WHERE c % 11 > 0 AND c % 13 > 0 AND c % 17 > 0
+UNION ALL
+SELECT 'rejected', line, CASE WHEN c % 17 = 0 THEN 'number of cells' WHEN c % 11 = 0 AND c % 13 = 0 THEN 'Y: n/a; week_num: ' || w
+  WHEN c % 11 = 0 THEN 'Y: n/a' ELSE 'week_num: ' || w END, count(*)
+FROM l WHERE c % 11 = 0 OR c % 13 = 0 OR c % 17 = 0 GROUP BY 1, 2, 3""")
+def q_scoring_file_parts(spark, sf):
+    """IO4: a scoring file made of all customers, some lines with a cell that is
+    no number or with cells missing: how many rows are good, and every rejected
+    line with its reasons."""
+    c = F.col("customer_id")
+    kind = F.coalesce(F.col("customer_type"), F.lit(""))
+    y = F.when(c % 11 == 0, "n/a").otherwise(F.col("region_id").cast("string"))
+    w = F.when(c % 13 == 0, F.concat(F.lit("w"), c.cast("string"))).otherwise((1 + c % 52).cast("string"))
+    line = F.when(c % 17 == 0, F.concat(kind, F.lit(","), y)).otherwise(
+        F.concat(kind, F.lit(","), y, F.lit(",1.5,2,b,,,,3.0,"), w))
+    path = IO.new_stage_path(spark, "scoring-lines")
+    # whole lines as one column whose name is the header, so that every part file starts with it
+    (load_raw(spark, sf)[1].select(line.alias(",".join(IO.SCORING_FILE_SCHEMA.fieldNames())))
+     .write.option("header", True).option("sep", "\x01").csv(path))
+    good, bad = IO.read_scoring_parts(spark, path)
+    scored = good.agg(F.lit("scored").alias("part"), F.lit("").alias("line"), F.lit("").alias("reason"), F.count("*").alias("n"))
+    return scored.unionAll(bad.groupBy(F.lit("rejected").alias("part"), "line", F.array_join("reasons", "; ").alias("reason"))
+                           .agg(F.count("*").alias("n")))
+
+
+@query("score_file_totals", MODEL_SQL + """
+SELECT pairs AS rows, pairs AS scored, CAST(0 AS BIGINT) AS rejected, true AS positives_as_ranked, true AS scores_in_range FROM d""")
+def q_score_file_totals(spark, sf):
+    """M7: the totals of a scored file over all its rows, checked against the
+    ranked list."""
+    from weeklens.plans.scoring import export_scoring_file, score_file_parts
+    res, _ = trained(spark, sf)
+    path = IO.new_stage_path(spark, "scoring_file")
+    export_scoring_file(SC.scoring_frame(G.build_grid(*load_raw(spark, sf, "brand"))).df, path)
+    ranked, _, totals = score_file_parts(spark, res.model, path, res.features)
+    return totals.select("rows", "scored", "rejected", (F.col("positives") == ranked.count()).alias("positives_as_ranked"),
+                         ((F.col("mean_score") <= F.col("max_score")) & (F.col("max_score") <= 1)).alias("scores_in_range"))
+
+
 # ------------------------------------------------------------ streaming intake (U2 as a stream)
 
 @query("stream_weekly_intake", INCR_SQL + "SELECT * FROM combined")

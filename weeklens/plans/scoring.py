@@ -61,6 +61,25 @@ def score_file(spark: SparkSession, model: PipelineModel, path: str, features=No
                      *[c for c in IO.SCORING_FILE_SCHEMA.fieldNames() if c in tiered.columns], "week"))
 
 
+def score_file_parts(spark: SparkSession, model: PipelineModel, path: str, features=None,
+                     threshold: float = 0.5):
+    """M7 with its bad rows: (ranked positives, rejected lines with reasons,
+    one row of totals: rows of the file, scored, rejected, positives and the mean
+    and largest score of the positives)."""
+    _, rejected = IO.read_scoring_parts(spark, path)
+    scored = score_file(spark, model, path, features, threshold=-1.0)
+    kept = IO.new_stage_path(spark, "scored-file")
+    scored = IO.read_stage(spark, IO.write_stage(scored, kept))
+    ranked = (scored.where(F.col("probabilidad_compra") > F.lit(threshold))
+              .orderBy(F.col("probabilidad_compra").desc(), *[c for c in IO.SCORING_FILE_SCHEMA.fieldNames() if c in scored.columns], "week"))
+    p = F.when(F.col("probabilidad_compra") > F.lit(threshold), F.col("probabilidad_compra"))
+    bad = rejected.count()
+    totals = scored.agg((F.count("*") + bad).alias("rows"), F.count("*").alias("scored"), F.lit(bad).cast("long").alias("rejected"),
+                        F.count(p).alias("positives"), F.coalesce(F.avg(p), F.lit(0.0)).alias("mean_score"),
+                        F.coalesce(F.max(p), F.lit(0.0)).alias("max_score"))
+    return ranked, rejected, totals
+
+
 def score_next_week(model: PipelineModel, grid: DataFrame, out_csv: str | None = None,
                     threshold: float = 0.5):
     """M6: returns (ranked positives, one-row summary); optionally writes the

@@ -63,15 +63,47 @@ def missing_columns(spark: SparkSession, path: str, required: Sequence[str]) ->
     return [c for c in required if c not in have]
 
 
-def read_scoring_csv(spark: SparkSession, path: str,
-                     schema: T.StructType = SCORING_FILE_SCHEMA) -> DataFrame:
-    """IO4: a scoring file with the required columns; raises listing the
-    missing ones before any full read."""
+CORRUPT = "_corrupt_record"
+
+
+def read_scoring_parts(spark: SparkSession, path: str,
+                       schema: T.StructType = SCORING_FILE_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """IO4 with a channel for bad rows: (good rows with the types of
+    ``schema``, rejected rows as (line, reasons)).
+
+    A row is rejected if it has more or fewer cells than the header, or a
+    cell that is not empty and not of its column's type; ``reasons`` names all
+    of them as ``column: cell``. An empty cell is a null. Every row is in
+    exactly one of the two. Raises listing the missing columns before any full
+    read; other columns of the file are only part of its lines."""
     miss = missing_columns(spark, path, schema.fieldNames())
     if miss:
         raise ValueError(f"missing required columns: {miss}")
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    header = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
+
+    def wrong(f):
+        cell = F.col(f"`{f.name}`")
+        bad = cell.isNotNull() & cell.try_cast(f.dataType).isNull()
+        return F.when(bad, F.concat(F.lit(f"{f.name}: "), cell))
+
+    size = F.when(F.col(CORRUPT).isNotNull(), F.lit("number of cells"))
+    checked = raw.withColumn("reasons", F.when(size.isNotNull(), F.array(size)).otherwise(
+        F.array_compact(F.array(*[wrong(f) for f in schema.fields]))))
+    line = F.coalesce(F.col(CORRUPT), F.array_join(F.array(*[F.col(f"`{c}`") for c in header]), ",", ""))
+    good = checked.where(F.size("reasons") == 0).select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    return good, checked.where(F.size("reasons") > 0).select(line.alias("line"), "reasons")
+
+
+def read_scoring_csv(spark: SparkSession, path: str,
+                     schema: T.StructType = SCORING_FILE_SCHEMA) -> DataFrame:
+    """IO4: a scoring file with the required columns; raises listing the
+    missing ones before any full read. Good rows only: ``read_scoring_parts``
+    gives the rejected ones too."""
+    return read_scoring_parts(spark, path, schema)[0]
 
 
 def write_json_report(spark: SparkSession, report: dict, path: str) -> str:

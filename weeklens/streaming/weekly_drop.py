@@ -5,7 +5,7 @@ pass over what is new there: the stream folds each micro-batch into weekly
 purchase cells and writes them below ``cells/intake=<k>``; when it has ended,
 the cells of the intake are merged (a cell is positive if any batch says so),
 gridded, and merged into the recent history (latest N weeks, new rows win) as
-a new version of the state table. The result depends on the drop alone, not on
+a new version of the state table, of which only the intake's weeks are written. The result depends on the drop alone, not on
 how its rows are laid out in files or dealt to micro-batches.
 
 Versions and batches are folders: a replayed batch after a failure rewrites
@@ -14,15 +14,14 @@ the same folder, and no job reads and overwrites one path.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weeklens.operators.grid import KEYS, LABEL, build_grid, weekly_purchases
-from weeklens.operators.incremental import prepare_incremental
+from weeklens.operators.incremental import merge_weeks
 from weeklens.session import reliable_checkpoint
+from weeklens.sources.versions import Versions
 
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("order_id", T.LongType()),
@@ -32,19 +31,12 @@ TRANSACTION_SCHEMA = T.StructType([
 ])
 
 
+STATE = "state"
+
+
 def latest_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
     """The newest version of the state table, or None."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(state_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    done = [s.getPath().getName() for s in fs.listStatus(path)
-            if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    epochs = sorted(int(n.split("=", 1)[1]) for n in done if n.startswith("epoch="))
-    if not epochs:
-        return None
-    return spark.read.parquet(os.path.join(state_dir, f"epoch={epochs[-1]}"))
+    return Versions(spark, state_dir).read(STATE)
 
 
 def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -82,8 +74,9 @@ def start_weekly_intake(spark: SparkSession, drop_dir: str, state_dir: str, chec
 def publish_intake(spark: SparkSession, customers: DataFrame, products: DataFrame, state_dir: str,
                    intake: int, weeks_to_include: int = 4) -> DataFrame | None:
     """Merge the cells of an ended intake into the state; returns the new state.
-    Without new cells the state stays as it is. Older versions and the folded
-    batches are removed once the new version is written."""
+    Without new cells the state stays as it is. Only the weeks of the intake are
+    written; the folded batches are removed once the version that names them is
+    committed, under the intake's number, so that a replay does not merge twice."""
     cells_dir = f"{state_dir}/cells/intake={intake}"
     if not _children(spark, cells_dir, "batch="):
         return latest_state(spark, state_dir)
@@ -92,12 +85,7 @@ def publish_intake(spark: SparkSession, customers: DataFrame, products: DataFram
     if cells.isEmpty():
         return latest_state(spark, state_dir)
     new = build_grid(None, customers, products, cells=cells)
-    older = _children(spark, state_dir, "epoch=")
-    combined = prepare_incremental(latest_state(spark, state_dir), new, weeks_to_include, unique=True).df
-    combined.write.mode("overwrite").partitionBy("week").parquet(os.path.join(state_dir, f"epoch={intake}"))
-    for k in older:
-        if k < intake:
-            _remove(spark, os.path.join(state_dir, f"epoch={k}"))
+    merge_weeks(Versions(spark, state_dir), STATE, new, weeks_to_include, tag=f"intake={intake}")
     _remove(spark, cells_dir)
     return latest_state(spark, state_dir)
 
@@ -108,7 +96,7 @@ def run_weekly_intake(spark: SparkSession, drop_dir: str, customers: DataFrame,
     """One intake from start to end: everything new in the drop folder is
     folded and merged. After a failure, calling it again goes on where it
     stopped: the intake number changes only when its version is written."""
-    done = _children(spark, state_dir, "epoch=")
+    done = Versions(spark, state_dir).tagged("intake=")
     pending = []
     for k in _children(spark, f"{state_dir}/cells", "intake="):
         if k in done:  # its version was written, only the clean-up is left
