@@ -2,6 +2,8 @@ import corpus_pipeline as cp
 from weeklens.llm import simhash_trie
 from weeklens.llm.queries import QUERIES
 
+from .conftest import rows
+
 SF = "/root/testdata/sf0.001"
 TABLES = "documents"
 
@@ -28,8 +30,10 @@ def test_stages_take_odd_and_empty_documents(spark, odd, empty):
     for name, step in cp.STAGES[:-1]:
         assert step(spark, odd, SF).columns == odd.columns, name
         assert step(spark, odd, SF).count() > 0 and step(spark, empty, SF).count() == 0, name
+    pieces = cp.packing(spark, odd, SF).collect()
+    assert {p.doc_id for p in pieces} == {r[0] for r in rows()} and cp.packing(spark, empty, SF).count() == 0
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in cp.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "packing"]
