@@ -125,3 +125,16 @@ def test_all_null_on_one_side(spark):
     new = spark.range(50).select(F.lit(None).cast("double").alias("a"), F.lit(None).cast("string").alias("c"))
     rep = D.detect_drift(ref, new)
     assert rep.test_details == {} and rep.summary["total_columns_analyzed"] == 2
+
+
+def test_counts_of_large_grids_do_not_overflow(spark):
+    """Weights of a grid of ten billion rows: count x total is beyond a long, the statistic is not."""
+    from weeklens.operators.drift import chi_square_tests
+    big = 5_000_000_000
+    ref = spark.createDataFrame([("a", big), ("b", big), ("c", big)], "k string, w long")
+    new = spark.createDataFrame([("a", big), ("b", big), ("c", 2 * big)], "k string, w long")
+    r = chi_square_tests(ref, new, ["k"], "w", "w").first()
+    rows = [(big, big), (big, big), (big, 2 * big)]
+    t1, t2 = (sum(x[i] for x in rows) for i in (0, 1))
+    want = sum((o - e) ** 2 / e for a, b in rows for o, e in ((a, (a + b) * t1 / (t1 + t2)), (b, (a + b) * t2 / (t1 + t2))))
+    assert abs(r.statistic / want - 1) < 1e-9 and (r.ref_samples, r.new_samples) == (3 * big, 4 * big)

@@ -94,7 +94,8 @@ def chi_square_tests(ref: DataFrame, new: DataFrame, cols: Sequence[str],
                                        F.count("*").alias("n_cat"))
     j = h.join(F.broadcast(tot), "column_name")
     n = F.col("tot1") + F.col("tot2")
-    t = F.col("n1") + F.col("n2")
+    # as doubles: the product of two counts of a large grid is beyond a long
+    t = (F.col("n1") + F.col("n2")).cast("double")
     yates = F.col("n_cat") == 2
 
     def term(o, e):
