@@ -111,3 +111,24 @@ def test_star_from_grid_object_equals_from_rows(spark):
     for x, y in zip(a, b):
         cols = sorted(x.columns)
         assert sorted(map(repr, x.select(cols).collect())) == sorted(map(repr, y.select(cols).collect()))
+
+
+def test_customers_are_dealt_once_and_not_joined_by_week(spark):
+    """The plan of the grid: products come with their attributes, purchases are looked up per week."""
+    tx, cust, prod = frames(spark, [(1, 1, 10, ts(2024, 1, 3)), (1, 1, 20, ts(2024, 1, 4)), (2, 2, 20, ts(2024, 1, 17))])
+    df = G.build_grid(tx, cust, prod).df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+    assert "week" not in " ".join(line for line in plan.splitlines() if "Join " in line)
+    assert {(r.customer_id, r.product_id, r.week) for r in df.where("comprado = 1").collect()} == {
+        (1, 10, ts(2024, 1, 1)), (1, 20, ts(2024, 1, 1)), (2, 20, ts(2024, 1, 15))}
+
+
+def test_latest_attributes_are_folded_without_sorting_the_rows(spark):
+    from weeklens.operators import scoring as SC
+    rows = [(1, 10, ts(2024, 1, 1), "a", 1.0), (1, 20, ts(2024, 1, 1), "b", None), (1, 10, ts(2024, 1, 8), None, 3.0),
+            (1, None, ts(2024, 1, 8), "x", 9.0), (2, 10, None, "n", None), (None, 10, ts(2024, 1, 8), "z", 5.0)]
+    df = spark.createDataFrame(rows, "customer_id long, product_id long, week timestamp, k string, y double")
+    out = SC.latest_attributes(df, "customer_id", ["k", "y"], "product_id")
+    assert sorted(map(tuple, out.collect())) == [(1, "x", 3.0), (2, "n", None)]
+    assert "HashAggregate(keys=[customer_id" in out._jdf.queryExecution().sparkPlan().toString()
