@@ -126,3 +126,23 @@ def test_added_tokens_inside_texts(spark):
         got[p.doc_id] += p.ids
     assert {d: np.frombuffer(i, dtype="<u4").tolist() for d, i in got.items()} == {d: ids_of(own, t) for d, t in enumerate(texts)}
     assert got[0] == np.array([64, 220, 50256, 275, 1], dtype="<u4").tobytes()
+
+
+def test_a_task_holds_few_rows_and_few_known_runs():
+    """Memory of a worker: what is made of a batch is bounded, and so is its table of known runs."""
+    import pyarrow as pa
+
+    from weeklens.llm import mixture_packing as mp
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1201))], names=["doc_id"])
+    parts = list(mp._sliced([batch]))
+    assert [p.num_rows for p in parts] == [500, 500, 201] and pa.Table.from_batches(parts).column(0).to_pylist() == list(range(1201))
+    with open(mp_path(), "rb") as f:
+        bpe = mp.ByteBpe(f.read(), mp.ADDED)
+    for i in range(600):
+        bpe(" ".join(f"w{i}x{k}" for k in range(100)))
+    assert len(bpe.known) <= mp.CACHE_WORDS + 100 <= 50_100
+
+
+def mp_path():
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")

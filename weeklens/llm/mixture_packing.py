@@ -36,7 +36,8 @@ from weeklens.llm.common import column, stage
 
 SHIFT = 16
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 50_000  # a worker's table of known runs: about 13 MB
+BATCH_ROWS = 500  # rows whose ids or pieces a task holds beside its input
 # The added tokens of the vocabulary file: found inside texts too, as the tokenizer does.
 ADDED = {"<|endoftext|>": 50256}
 
@@ -89,13 +90,20 @@ class ByteBpe:
         return b"".join([known[r] for r in runs])
 
 
+def _sliced(batches):
+    """The rows of ``batches``, at most ``BATCH_ROWS`` at a time, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _tokenize(ranks, end_id: int, added: dict[str, int]):
     def run(batches):
         bpe = ByteBpe(ranks.value, added)
         end = array("H", [end_id]).tobytes()
         part = TaskContext.get().partitionId()
         given: dict[str, int] = {}
-        for batch in batches:
+        for batch in _sliced(batches):
             queues = batch.column("queue").to_pylist()
             texts = batch.column("text")
             ids, starts, sizes = [], [], []
@@ -176,7 +184,7 @@ def _place(plan, seq_len: int, with_ids: bool):
     def run(batches):
         phases, index = plan.value
         placer = _Placer(phases)
-        for batch in batches:
+        for batch in _sliced(batches):
             out = {c: [] for c in ("doc_id", "queue", "start", "length", "ids_crc32", "doc_tokens",
                                    "sequence_id", "offset", "window_id", "ids")}
             ids_col = batch.column("ids")
