@@ -99,3 +99,34 @@ def test_an_intake_writes_its_own_weeks_only(spark):
     one = s.read("state").where(F.col("week") == F.lit(ts(2024, 2, 5)))
     assert len(one.inputFiles()) >= len(files(f"{s.base}/{s.entries()['state']['2024-02-05']}"))
     assert one.select(F.input_file_name().alias("f")).distinct().count() == len(files(f"{s.base}/{s.entries()['state']['2024-02-05']}"))
+
+
+def shop(spark, weeks, customers, products, sizes=True):
+    tx = [(100 * w + c, c, p, ts(2024, 1, 1) + dt.timedelta(days=7 * w)) for w in weeks for c in customers for p in products
+          if (w + c + p) % 3]
+    tx += [(None, c, p, ts(2024, 1, 1) + dt.timedelta(days=7 * weeks[0])) for c in customers for p in products]
+    cust = [(c, f"t{c}", None if c == 2 else c, 0, float(c), 0.0, 1, 1) for c in range(1, 6)]
+    prod = [(p, f"b{p}", "c", None if p == 2 else "s", "g", "k", float(p) if sizes else 1.0) for p in range(1, 5)]
+    return build_grid(spark.createDataFrame(tx, TX_SCHEMA), spark.createDataFrame(cust, CUST_SCHEMA),
+                      spark.createDataFrame(prod, PROD_SCHEMA))
+
+
+@pytest.mark.parametrize("written_out", [(), (0,), (1,), (1, 2)])
+def test_stored_grids_take_a_row_per_customer_and_week(spark, monkeypatch, written_out):
+    """The weeks of a grid are stored without a row per product, what a merge keeps of them too."""
+    from weeklens.operators.grid import Grid
+    s, expected, folds = store(spark), None, Grid.folds
+    steps = [(range(5), (1, 2, 3), (1, 2, 3), True), (range(3, 6), (2, 3, 4), (2, 4), False), (range(4, 7), (1, 5), (1, 2, 4), True)]
+    for i, (weeks, customers, products, sizes) in enumerate(steps):
+        new = shop(spark, weeks, customers, products, sizes)
+        expected = new.df if expected is None else prepare_incremental(expected, new, 4).df
+        monkeypatch.setattr(Grid, "folds", lambda self, *a: i not in written_out and folds(self, *a))
+        merge_weeks(s, "state", new, 4)
+        cols = sorted(expected.columns)
+        got = s.read("state")
+        assert sorted(got.columns) == cols and rows(got, cols) == rows(expected, cols)
+        assert dict(got.dtypes) == dict(expected.dtypes)
+    if not written_out:
+        stored = sum(spark.read.parquet(s.path(f)).count() for f in s.folders("state"))
+        # weeks 2 and 3 to 6, of one customer or of up to five, of whom no row is stored per product
+        assert stored <= 5 * len(s.folders("state")) < expected.count()
