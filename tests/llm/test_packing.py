@@ -143,6 +143,23 @@ def test_a_task_holds_few_rows_and_few_known_runs():
     assert len(bpe.known) <= mp.CACHE_WORDS + 100 <= 50_100
 
 
+def test_a_text_goes_to_the_tokenizer_in_one_call(tokenizer):
+    """New words cost no call of their own, whatever their number; the ids are those of the vocabulary file."""
+    bpe, calls = mp.ByteBpe(open(RANKS, "rb").read(), mp.ADDED), []
+
+    class Counted:
+        def __getattr__(self, name, own=bpe.encoder):
+            calls.append(name)
+            return getattr(own, name)
+
+    bpe.encoder = Counted()
+    r = random.Random(11)
+    text = " \n".join("".join(r.choice("abcdeéß東 '9.,") for _ in range(r.randrange(1, 30))) for _ in range(2000))
+    for t in (text, "a short text", "a short text"):
+        assert np.frombuffer(bpe(t), dtype="<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert len(calls) == 2
+
+
 def mp_path():
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")

@@ -36,7 +36,8 @@ from weeklens.llm.common import column, stage
 
 SHIFT = 16
 END_ID = 1
-CACHE_WORDS = 50_000  # a worker's table of known runs: about 13 MB
+SHORT = 64  # code points of a text whose ids a worker remembers
+CACHE_WORDS = 50_000  # a worker's table of short texts: about 13 MB
 BATCH_ROWS = 500  # rows whose ids or pieces a task holds beside its input
 # The added tokens of the vocabulary file: found inside texts too, as the tokenizer does.
 ADDED = {"<|endoftext|>": 50256}
@@ -50,16 +51,15 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 class ByteBpe:
     """Byte-level BPE ids of whole texts as little-endian uint16 bytes.
 
-    The split pattern never joins text across the start of a run " word", so a
-    text is cut there first and the ids of each run are remembered (a bounded
-    table); only new runs go to the tokenizer. ``added`` tokens are cut out first.
+    A text is given to the tokenizer in one call: most runs of real text are new to a worker, so that remembering
+    them costs more than it saves. Only the ids of short texts are remembered (a bounded table). ``added`` tokens
+    are cut out first.
     """
 
     def __init__(self, ranks_file: bytes, added: dict[str, int] | None = None):
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
         self.encoder = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.cut = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
         self.known: dict[str, bytes] = {}
         self.added = {t: array("H", [i]).tobytes() for t, i in (added or {}).items()}
         longest = sorted(self.added, key=len, reverse=True)
@@ -72,22 +72,16 @@ class ByteBpe:
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        runs = self.cut(text)
-        known = self.known
-        try:
-            return b"".join([known[r] for r in runs])
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        encode = self.encoder.encode_ordinary
-        long = {}
-        for r in runs:
-            if r not in known and r not in long:
-                (known if len(r) <= 64 else long)[r] = array("H", encode(r)).tobytes()
-        if long:
-            return b"".join([known[r] if r in known else long[r] for r in runs])
-        return b"".join([known[r] for r in runs])
+        if len(text) > SHORT:
+            return self._ids(text)
+        if text not in self.known:
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
+            self.known[text] = self._ids(text)
+        return self.known[text]
+
+    def _ids(self, text: str) -> bytes:
+        return self.encoder.encode_to_numpy(text, disallowed_special=()).astype("<u2").tobytes()
 
 
 def _sliced(batches):
