@@ -1,8 +1,14 @@
 import random
+import time
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from weeklens.llm import sentence_spans as ss
+from weeklens.llm.common import CLEANUP, stage
 
 from .conftest import rows
 
@@ -140,3 +146,97 @@ def test_repeated_runs_of_one_text_leave_its_first(plain):
     got = {x.doc_id: x.text for x in ss.remove_passages(plain(["no end in sight " * 200, "own " + "no end in sight " * 30])).collect()}
     assert got[0].split() == "no end in sight".split() * (len(got[0].split()) // 4) and 20 <= len(got[0].split()) <= 30
     assert got[1].split() == ["own"]
+
+
+def match_by_match(texts, reach=ss.PASSAGE - ss.WORDS):
+    """Texts without the words of later matches, each of which is held against its first occurrence by itself."""
+    cut = [ss.Pieces(t, ss._Words()) for t in texts]
+    runs = [list(zip(*(c.tolist() for c in p.runs(ss.SENTENCES, ss.WORDS, ss.PASSAGE)))) for p in cut]
+    counts = Counter(h for of in runs for *_, h in of)
+    again = [h for h, n in counts.items() if n > 1]
+    bits = max(16, (len(again) * 16).bit_length())
+    known = set(ss._places(np.array(again, dtype=np.uint64), bits).tolist())
+    first, out = {}, []
+    for i, (text, p) in enumerate(zip(texts, cut)):
+        words = (p.hashes >> np.uint64(32)).tolist()
+        hits = [r for r in runs[i] if int(ss._places(np.array([r[2]], dtype=np.uint64), bits)[0]) in known]
+        short = [a for a, b, _ in hits if b - a == ss.WORDS]
+        gone = set()
+        for a, b, h in hits:
+            told = b - a == ss.WORDS or not any(a - ss.WORDS < s < b for s in short)
+            if h not in first:
+                first[h] = (i, a, told, words)
+                continue
+            doc, fa, first_told, other = first[h]
+            start, end, least = a, b, fa + b - a if doc == i else 0
+            if told and first_told:
+                while start > 0 and fa - (a - start) > 0 and a - start < reach and words[start - 1] == other[fa - (a - start) - 1]:
+                    start -= 1
+                while end < len(words) and end - b < reach and end - a + fa < len(other) and words[end] == other[end - a + fa]:
+                    end += 1
+            gone.update(range(max(start, least), end))
+        out.append([w for k, w in enumerate(text.split()) if k not in gone])
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_stretches_remove_what_single_matches_do(plain, seed):
+    r = random.Random(seed)
+    base = [loose(r, 400, 0.08) for _ in range(4)]
+    texts = []
+    for _ in range(50):  # near copies, parts of copies, parts beside each other, one part twice
+        words = [w if r.random() > r.choice([0, 0.01, 0.04]) else f"x{r.randrange(50_000)}" for w in r.choice(base)]
+        a, b = r.randrange(200), r.randrange(200, 400)
+        words = r.choice([words, words[a:b], words[a:b] + r.choice(base)[a:b], words[a:b] + words[a:b]])
+        texts.append(" ".join(loose(r, r.randrange(40), 0.1) + words + loose(r, r.randrange(40), 0.1)))
+    texts.append(" ".join(["a line that comes again and again."] * 60))
+    got = {x.doc_id: x.text.split() for x in ss.remove_passages(plain(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == match_by_match(texts)
+
+
+def test_long_copies_ask_for_the_words_at_their_ends_only(spark):
+    r = random.Random(11)
+    passage = loose(r, 3000, 0.1)
+    texts = [" ".join(loose(r, 50, 0.1) + passage + loose(r, 50, 0.1)) for _ in range(3)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id as _rid", "doc_id", "text")
+    marks = ss.repeated_runs(rows)
+    assert "binary" not in {kind for _, kind in marks.dtypes}
+    kinds = Counter((m["_rid"], m["kind"]) for m in marks.collect())
+    assert sum(kinds.values()) <= 6 and kinds[1, ss._GONE] == kinds[2, ss._GONE] == 1
+    assert not any(rid == 0 for rid, _ in kinds)
+
+
+def test_runs_are_read_back_as_they_were_cut(monkeypatch):
+    r = random.Random(12)
+    monkeypatch.setattr(ss, "_ROWS", 3)
+    texts = ["", " ".join(loose(r, 500, 0.1)), "short", " ".join(loose(r, 130, 0)), " ".join(loose(r, 900, 0.02))]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts)], names=["_rid", "doc_id", "text"])
+
+    class Full:
+        value = b"\xff" * (1 << 13)
+
+    cut = list(ss._cut_task(2, 20, 50)([batch]))
+    assert len(cut) > 1 and [x for c in cut for x in c.column("_rid").to_pylist()] == list(range(n))
+    whole = pa.Table.from_batches(cut).combine_chunks().to_batches()
+    found = pa.Table.from_batches(list(ss._run_task(2, 20, 50, Full, 16)(whole))).to_pydict()
+    expected = [(i, a, b, h) for i, t in enumerate(texts) for a, b, h in zip(*(c.tolist() for c in ss.Pieces(t, ss._Words()).runs(2, 20, 50)))]
+    assert [(i, a, b, h & (1 << 64) - 1) for i, a, b, h in zip(*(found[c] for c in ("_rid", "a", "b", "h1")))] == expected
+
+
+def test_tidy_stages_leave_no_shuffle_files(spark):
+    before = spark.conf.get(CLEANUP, None)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b.toString() for b in _items(blocks.getAllBlocks()) if b.isShuffle()}
+    kept = files()
+    staged = stage(spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count(), "tidy", tidy=True)
+    for _ in range(50):
+        if not files() - kept:
+            break
+        time.sleep(0.1)
+    assert not files() - kept and spark.conf.get(CLEANUP, None) == before
+    assert staged.count() == 1000
+
+
+def _items(seq):
+    return [seq.apply(i) for i in range(seq.size())]

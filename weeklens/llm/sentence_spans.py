@@ -13,16 +13,23 @@ ends anywhere. ``remove_passages`` therefore hashes runs of ``words`` words
 chosen by window minimum as well: of all runs that start within a window of
 ``passage - words + 1`` words, the one with the least hash. Any two copies of
 ``passage`` words share a whole window and thus a chosen run. Every match is
-extended word by word to both sides, as far as its neighbours, of which each
-row holds the hashes of ``passage - words`` words a side, agree with the first
-occurrence's; beyond those, the next chosen run takes over.
+extended word by word to both sides, as far as ``passage - words`` words a
+side agree with those around the first occurrence; beyond those, the next
+chosen run takes over.
 
 Two passes keep the shuffles small. The first counts 64 bit span hashes only
 and leaves a bit map of the repeated ones (its size is a bounded parameter; a
 fuller map only lets more rows through). The second emits the spans the map
-knows, with 128 bit hashes and places, finds each one's first occurrence by a
+knows, with longer hashes and places, finds each one's first occurrence by a
 grouped minimum and joins it back. A passage that sits in a third of all
 documents is one row per task in the minimum and is split by the join.
+
+``remove_passages`` cuts every text once: its runs are written as one row per
+document, and the second pass reads those. No run carries the words around it.
+Matches with the same document that follow each other at the same distance
+become one stretch, which can grow at its two ends only; the words at the ends
+are fetched once per place of a first occurrence, and each text's own words
+are at hand when it is cleaned.
 """
 
 from __future__ import annotations
@@ -31,11 +38,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weeklens.llm.common import column, settled, stage, with_row_id
+from weeklens.llm.common import column, only_rows, settled, split_rows, stage, with_row_id
 
 SENTENCES = 2
 WORDS = 20
@@ -150,12 +158,18 @@ class Pieces:
     def second(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self._run_hashes(_M2)(a, b)
 
-    def around(self, a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
-        """Per run, 32 bits of the hashes of ``reach`` words before and behind it (zero beyond the text)."""
+    def near(self, reach: int):
+        """Function from places and a side to 32 bits of the hashes of the ``reach`` words before (side -1) or from
+        (side 1) each place on, the nearest first; zero beyond the text."""
         edge = np.zeros(reach, np.uint32)
         held = np.concatenate([edge, (self.hashes >> np.uint64(32)).astype(np.uint32), edge])
         step = np.arange(reach)
-        return np.concatenate([held[a[:, None] + step], held[b[:, None] + reach + step]], axis=1)
+
+        def of(places, side):
+            at = places[:, None] + (reach + step if side > 0 else reach - 1 - step)
+            return held[np.minimum(at, len(held) - 1)]
+
+        return of
 
     def spans(self, sentences: int, words: int):
         """(first piece, pieces, hash, second hash) of every span, as arrays."""
@@ -167,21 +181,21 @@ def _places(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _hash_task(sentences: int, words: int, passage: int | None = None):
-    def hashes(p: Pieces):
-        return p.spans(sentences, words)[2] if passage is None else p.runs(sentences, words, passage)[2]
-
+def _hash_task(sentences: int, words: int):
     def run(batches):
         known = _Words()
         for batch in batches:
-            held = [hashes(Pieces(t.as_py(), known)) for t in batch.column("text")]
-            h = np.concatenate(held) if held else np.zeros(0, np.uint64)
-            for i in range(0, len(h), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[i:i + 200_000].view(np.int64), pa.int64())], names=["h"])
+            held = [Pieces(t.as_py(), known).spans(sentences, words)[2] for t in batch.column("text")]
+            yield from _hash_batches(np.concatenate(held) if held else np.zeros(0, np.uint64))
 
     return run
 
 
+def _hash_batches(h: np.ndarray, step: int = 200_000):
+    for i in range(0, len(h), step):
+        yield pa.RecordBatch.from_arrays([pa.array(h[i:i + step].view(np.int64), pa.int64())], names=["h"])
+
+
 def _bitmap_task(bits: int):
     def run(batches):
         known = np.zeros(1 << (bits - 3), dtype=np.uint8)
@@ -220,85 +234,200 @@ def _span_task(sentences: int, words: int, bitmap, bits: int):
     return run
 
 
-def _run_task(sentences: int, words: int, passage: int, bitmap, bits: int):
-    names, reach = ["_rid", "doc_id", "a", "b", "h1", "h2", "around"], passage - words
-
-    def batch_of(batch, held):
-        row, a, b, h1, h2, told, around = (np.concatenate(c) for c in zip(*held))
-        row = pa.array(row, pa.int64())
-        ends = np.concatenate([[0], np.cumsum(told * (8 * reach))]).astype(np.int32)
-        binary = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(around))])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("_rid").take(row), batch.column("doc_id").take(row), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
-             pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), binary], names=names)
+def _cut_task(sentences: int, words: int, passage: int):
+    """One row per text: its runs' steps (from the start of the run before), sizes and hashes, as bytes."""
+    kind = _step_type(sentences, words, passage)
 
     def run(batches):
-        repeated, known = np.frombuffer(bitmap.value, dtype=np.uint8), _Words()
+        known = _Words()
         for batch in batches:
-            held, size = [], 0
+            held, size, first = [], 0, 0
             for row, text in enumerate(batch.column("text")):
                 pieces = Pieces(text.as_py(), known)
                 a, b, h1 = pieces.runs(sentences, words, passage)
-                p = _places(h1, bits)
-                hit = np.flatnonzero((repeated[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
-                if not len(hit):
-                    continue
-                a, b, h1 = a[hit], b[hit], h1[hit]
-                h2 = pieces.second(a, b)
-                # longer runs that meet a short one leave the extension to it
-                short = b - a == words
-                told, starts = short.copy(), a[short]
-                if len(starts):
-                    told |= starts[np.maximum(np.searchsorted(starts, b) - 1, 0)] <= a - words
-                    told |= starts[0] >= b
-                else:
-                    told[:] = True
-                for i in range(0, len(hit), _ROWS):
-                    c = slice(i, i + _ROWS)
-                    t = told[c]
-                    held.append((np.full(len(t), row), a[c], b[c], h1[c], h2[c], t, pieces.around(a[c][t], b[c][t], reach)))
-                    size += len(t)
-                    if size >= _ROWS:
-                        yield batch_of(batch, held)
-                        held, size = [], 0
-            if held:
-                yield batch_of(batch, held)
+                h2 = (pieces.second(a, b) >> np.uint64(32)).astype(np.uint32)
+                held.append([np.ascontiguousarray(c).tobytes() for c in (np.diff(a, prepend=0).astype(kind), (b - a).astype(kind), h1, h2)])
+                size += len(a)
+                if size >= _ROWS * 10 or row == batch.num_rows - 1:
+                    part = batch.slice(first, len(held))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("_rid"), part.column("doc_id"), *(pa.array(c, pa.binary()) for c in zip(*held))],
+                        names=["_rid", "doc_id", "steps", "sizes", "h1", "h2"])
+                    held, size, first = [], 0, row + 1
 
     return run
 
 
-def _extend_task(reach: int):
-    """Starts and ends of matches, extended to both sides while the words agree with the first occurrence's."""
+def _step_type(sentences: int, words: int, passage: int):
+    # runs start at most ``passage`` words apart; a span ends with the piece that makes it large enough
+    return np.uint16 if max(passage, words + LONG, (sentences + 1) * LONG) < 1 << 16 else np.uint32
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
+def _shares(batches, runs: int = _ROWS * 10):
+    """Batches of whole texts that hold about ``runs`` runs, and each text's number of runs."""
+    for batch in batches:
+        counts = np.asarray(pc.binary_length(batch.column("h1"))).astype(np.int64) // 8
+        share = np.cumsum(counts) // runs
+        cuts = [0, *(np.flatnonzero(share[1:] != share[:-1]) + 1).tolist(), len(counts)]
+        for low, high in zip(cuts, cuts[1:]):
+            if counts[low:high].any():
+                yield batch.slice(low, high - low), counts[low:high]
+
 
-    size = 8 * reach
+def _cut_hashes(batches):
+    for batch, _ in _shares(batches):
+        yield from _hash_batches(_joined(batch.column("h1"), np.uint64))
+
+
+def _run_task(sentences: int, words: int, passage: int, bitmap, bits: int):
+    """The runs the bit map knows; ``told``: whether matches of this run are extended."""
+    names, kind = ["_rid", "doc_id", "a", "b", "h1", "h2", "told"], _step_type(sentences, words, passage)
 
+    def run(batches):
+        repeated = np.frombuffer(bitmap.value, dtype=np.uint8)
+        for batch, counts in _shares(batches):
+            h1, h2 = _joined(batch.column("h1"), np.uint64), _joined(batch.column("h2"), np.uint32)
+            row = np.repeat(np.arange(len(counts)), counts)
+            a = np.cumsum(_joined(batch.column("steps"), kind), dtype=np.int64)
+            begun = np.concatenate([[0], a])[np.cumsum(counts) - counts]  # what the texts before add up to
+            a -= begun[row]
+            n = _joined(batch.column("sizes"), kind).astype(np.int64)
+            p = _places(h1, bits)
+            hit = np.flatnonzero((repeated[p >> 3] >> (p & 7).astype(np.uint8)) & 1)
+            row, a, n, h1, h2 = row[hit], a[hit], n[hit], h1[hit], h2[hit]
+            # longer runs that meet a short one leave the extension to it
+            short, at = n == words, (row << 40) + a
+            starts = at[short]
+            last = np.searchsorted(starts, at + n) - 1
+            told = short | (last < 0)
+            if len(starts):
+                told |= starts[np.maximum(last, 0)] <= at - words
+            for i in range(0, len(hit), _ROWS):
+                c = slice(i, i + _ROWS)
+                of = pa.array(row[c], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_rid").take(of), batch.column("doc_id").take(of), pa.array(a[c], pa.int32()),
+                     pa.array((a + n)[c], pa.int32()), pa.array(h1[c].view(np.int64)), pa.array(h2[c].view(np.int32)),
+                     pa.array(told[c])], names=names)
+
+    return run
+
+
+#: What a mark says: words a to b go; words before, or from a on go while they agree with ``near``, ``reach`` of them at
+#: most; a to b repeats the words from ``reach`` on of the same text, and is extended (_OWN) or not (_OWN_BARE).
+_GONE, _BEFORE, _BEHIND, _OWN, _OWN_BARE = range(5)
+_MARKS = "_rid long, kind byte, a int, b int, reach int, first_rid long, place int, first_doc long"
+
+
+def _stretch_task(reach: int):
+    """Marks of matches that come sorted by document, first document, distance and start.
+
+    Matches of other documents that meet at one distance become one stretch. An extended one reaches ``reach`` words
+    beyond its own ends, so the ends of a stretch reach as far as the furthest of its extended matches.
+    """
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held = [(i, x, y) for i, (x, y) in enumerate(zip(batch.column("around").to_pylist(), batch.column("first_around").to_pylist()))
-                    if len(x) == size == len(y)]
-            row = np.array([i for i, _, _ in held], dtype=np.int64)
-            one, other = (np.frombuffer(b"".join(h[k] for h in held), dtype=np.uint32).reshape(-1, 2 * reach) for k in (1, 2))
-            same = one == other
-            before, behind = (np.zeros(batch.num_rows, np.int64) for _ in range(2))
-            before[row] = np.logical_and.accumulate(same[:, reach - 1::-1], axis=1).sum(axis=1)
-            behind[row] = np.logical_and.accumulate(same[:, reach:], axis=1).sum(axis=1)
-            a, b = (np.asarray(batch.column(c)).astype(np.int64) for c in ("a", "b"))
-            # a match that overlaps its first occurrence starts behind it, so that this one stays whole
-            start = np.maximum(np.maximum(a - before, 0), np.asarray(batch.column("own_end")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_rid"), pa.array(start, pa.int64()), pa.array(np.maximum(b + behind, start), pa.int64()),
-                 batch.column("first_doc")], names=["_rid", "a", "b", "first_doc"])
+            rid, first, doc = (batch.column(c) for c in ("_rid", "first_rid", "first_doc"))
+            r, f, a, b, fa = (np.asarray(batch.column(c)).astype(np.int64) for c in ("_rid", "first_rid", "a", "b", "first_a"))
+            told = np.asarray(batch.column("told").cast(pa.int8())).astype(bool)
+            parts = []
+
+            def add(at, kind, x, y, far, place=None):
+                n, at = len(at), pa.array(at, pa.int64())
+                ends = place is not None
+                parts.append(pa.RecordBatch.from_arrays(
+                    [rid.take(at), pa.array(np.broadcast_to(kind, n).astype(np.int8)), pa.array(x, pa.int32()), pa.array(y, pa.int32()),
+                     pa.array(far, pa.int32()), first.take(at) if ends else pa.nulls(n, pa.int64()),
+                     pa.array(place, pa.int32()) if ends else pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()) if ends else doc.take(at)],
+                    names=["_rid", "kind", "a", "b", "reach", "first_rid", "place", "first_doc"]))
+
+            own = np.flatnonzero(r == f)
+            if len(own):
+                add(own, np.where(told[own], _OWN, _OWN_BARE), a[own], b[own], fa[own])
+            other = np.flatnonzero(r != f)
+            if len(other):
+                r, f, a, b, d, told = r[other], f[other], a[other], b[other], (a - fa)[other], told[other]
+                new = np.ones(len(r), dtype=bool)
+                new[1:] = (r[1:] != r[:-1]) | (f[1:] != f[:-1]) | (d[1:] != d[:-1])
+                shift = np.cumsum(new) << 32
+                so_far = np.maximum.accumulate(shift + b) - shift
+                new[1:] |= a[1:] > so_far[:-1]
+                at = np.flatnonzero(new)
+                start, end, d = a[at], so_far[np.append(at[1:], len(a)) - 1], d[at]
+                left = reach - (np.minimum.reduceat(np.where(told, a, 1 << 40), at) - start)
+                right = reach - (end - np.maximum.reduceat(np.where(told, b, -1 << 40), at))
+                add(other[at], _GONE, start, end, np.zeros(len(at)))
+                for kind, x, far in ((_BEFORE, start, left), (_BEHIND, end, right)):
+                    k = np.flatnonzero(far > 0)
+                    add(other[at[k]], kind, x[k], x[k], far[k], (x - d)[k])
+            yield from parts
+
+    return run
+
+
+def _near_task(reach: int):
+    """The words at the places that matches of other documents ask for."""
+    def run(batches):
+        known = _Words()
+        for batch in batches:
+            for rid, text, asked in zip(*(batch.column(c) for c in ("_rid", "text", "asked"))):
+                near = Pieces(text.as_py(), known).near(reach)
+                kind, place = (np.asarray(asked.values.field(c)) for c in ("kind", "place"))
+                for side, k in ((-1, _BEFORE), (1, _BEHIND)):
+                    at = place[kind == k].astype(np.int64)
+                    for i in range(0, len(at), _ROWS):
+                        c = at[i:i + _ROWS]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([rid.as_py()] * len(c), pa.int64()), pa.array(np.full(len(c), k, np.int8)),
+                             pa.array(c, pa.int32()), _blobs(near(c, side))], names=["first_rid", "kind", "place", "near"])
 
     return run
 
 
-def _repeated_bitmap(rows: DataFrame, task, map_bits: int):
+def _blobs(rows: np.ndarray) -> pa.Array:
+    ends = (np.arange(len(rows) + 1) * rows.shape[1] * rows.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _agreed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per row, how many items agree from the first on."""
+    return np.logical_and.accumulate(x == y, axis=1).sum(axis=1)
+
+
+def _extended(pieces: Pieces, marks, reach: int):
+    """Starts and ends (which may lie beyond the text) of the words that one text's marks remove."""
+    kind, a, b, far = (np.asarray(marks.field(c)).astype(np.int64) for c in ("kind", "a", "b", "reach"))
+    near, words, start, end = pieces.near(reach), marks.field("near"), a.copy(), b.copy()
+    for side, k in ((-1, _BEFORE), (1, _BEHIND)):
+        ends = np.flatnonzero(kind == k)
+        for i in range(0, len(ends), _ROWS):
+            c = ends[i:i + _ROWS]
+            theirs = _joined(words.take(pa.array(c)), np.uint32).reshape(-1, reach)
+            n = np.minimum(_agreed(near(a[c], side), theirs), far[c])
+            if side < 0:
+                start[c] -= n
+            else:
+                end[c] += n
+    own = np.flatnonzero(kind == _OWN)
+    for i in range(0, len(own), _ROWS):
+        c = own[i:i + _ROWS]
+        start[c] -= _agreed(near(a[c], -1), near(far[c], -1))
+        end[c] += _agreed(near(b[c], 1), near(far[c] + b[c] - a[c], 1))
+    # a match that overlaps its first occurrence starts behind it, so that this one stays whole
+    start = np.maximum(np.maximum(start, 0), np.where(kind >= _OWN, far + b - a, 0))
+    return start, np.maximum(end, start)
+
+
+def _repeated_bitmap(hashes: DataFrame, map_bits: int):
     """Broadcast bit map of the hashes that occur more than once, and its bits."""
-    spark = rows.sparkSession
-    again = stage(rows.select("text").mapInArrow(task, "h long")
-                  .groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated-hashes")
+    spark = hashes.sparkSession
+    again = stage(hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated-hashes", tidy=True)
     bits = min(map_bits, max(16, (again.count() * 16).bit_length()))
     cells = (again.mapInArrow(_bitmap_task(bits), "at long, byte int").groupBy("at")
              .agg(F.bit_or("byte").cast("int").alias("byte")))
@@ -308,32 +437,44 @@ def _repeated_bitmap(rows: DataFrame, task, map_bits: int):
     return spark.sparkContext.broadcast(known.tobytes()), bits
 
 
-def repeated_runs(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, passage: int = PASSAGE,
+def repeated_runs(rows: DataFrame, sentences: int = SENTENCES, words: int = WORDS, passage: int = PASSAGE,
                   map_bits: int = MAP_BITS) -> DataFrame:
-    """(_rid, a, b, first_doc): words a to b (exclusive; b may lie beyond the text's end) of occurrences that
-    are not their first one, extended to both sides."""
-    rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
-                                    F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
-    bitmap, bits = _repeated_bitmap(rows, _hash_task(sentences, words, passage), map_bits)
-    found = stage(rows.mapInArrow(_run_task(sentences, words, passage, bitmap, bits),
-                                  "_rid long, doc_id long, a int, b int, h1 long, h2 long, around binary"), "runs")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "a", "around")
+    """Marks (``_MARKS``) of the occurrences of runs that are not their first one, written. ``rows`` hold _rid, doc_id
+    and text; the words that ``_BEFORE`` and ``_BEHIND`` are held against lie at ``place`` of the row ``first_rid``."""
+    cut = stage(rows.mapInArrow(_cut_task(sentences, words, passage),
+                                "_rid long, doc_id long, steps binary, sizes binary, h1 binary, h2 binary"), "cut-runs", tidy=True)
+    bitmap, bits = _repeated_bitmap(cut.select("h1").mapInArrow(_cut_hashes, "h long"), map_bits)
+    found = stage(cut.mapInArrow(_run_task(sentences, words, passage, bitmap, bits),
+                                 "_rid long, doc_id long, a int, b int, h1 long, h2 int, told boolean"), "runs", tidy=True)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "a", "told")
     first = stage(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"))
-                  .filter("rows > 1").drop("rows"), "first-runs")
-    return (found.join(first, ["h1", "h2"])
-            .filter((F.col("first._rid") != F.col("_rid")) | (F.col("first.a") != F.col("a")))
-            .select("_rid", "a", "b", "around", F.col("first.doc_id").alias("first_doc"),
-                    F.col("first.around").alias("first_around"),
-                    F.when(F.col("first._rid") == F.col("_rid"), F.col("first.a") + F.col("b") - F.col("a"))
-                    .otherwise(F.lit(0)).alias("own_end"))
-            .mapInArrow(_extend_task(passage - words), "_rid long, a long, b long, first_doc long"))
+                  .filter("rows > 1").select("h1", "h2", "first.doc_id", "first._rid", "first.a", "first.told")
+                  .toDF("h1", "h2", "first_doc", "first_rid", "first_a", "first_told"), "first-runs", tidy=True)
+    matches = (found.drop("doc_id").join(first, ["h1", "h2"])
+               .filter((F.col("first_rid") != F.col("_rid")) | (F.col("first_a") != F.col("a")))
+               .select("_rid", "a", "b", "first_rid", "first_a", "first_doc", (F.col("told") & F.col("first_told")).alias("told")))
+    return stage(matches.repartition("_rid").sortWithinPartitions("_rid", "first_rid", F.col("a") - F.col("first_a"), "a")
+                 .mapInArrow(_stretch_task(passage - words), _MARKS), "marks", tidy=True)
+
+
+def _with_near(marks: DataFrame, rows: DataFrame, reach: int) -> DataFrame:
+    """``marks`` with the words that the ends of stretches are held against."""
+    ends = F.col("kind").isin(_BEFORE, _BEHIND)
+    places = (marks.filter(ends).select("first_rid", "kind", "place").distinct()
+              .groupBy("first_rid").agg(F.collect_list(F.struct("kind", "place")).alias("asked")))  # one text's places
+    asked = stage(places.withColumnRenamed("first_rid", "_rid"), "asked", tidy=True)
+    near = stage(only_rows(rows.select("_rid", "text"), "_rid", asked).join(asked, "_rid")
+                 .mapInArrow(_near_task(reach), "first_rid long, kind byte, place int, near binary"), "near", tidy=True)
+    told = ["_rid", "kind", "a", "b", "reach", "first_doc", "near"]
+    return (marks.filter(ends).join(near, ["first_rid", "kind", "place"]).select(*told)
+            .unionByName(marks.filter(~ends).withColumn("near", F.lit(None).cast("binary")).select(*told)))
 
 
 def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, map_bits: int = MAP_BITS) -> DataFrame:
     """(_rid, doc_id, pos, n, first_doc): occurrences of spans that are not their first one."""
     rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
                                     F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
-    bitmap, bits = _repeated_bitmap(rows, _hash_task(sentences, words), map_bits)
+    bitmap, bits = _repeated_bitmap(rows.select("text").mapInArrow(_hash_task(sentences, words), "h long"), map_bits)
     found = stage(rows.mapInArrow(_span_task(sentences, words, bitmap, bits),
                                   "_rid long, doc_id long, pos int, n int, h1 long, h2 long"), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_rid", "pos")
@@ -347,42 +488,45 @@ def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
 
 def _in_parts(cells: DataFrame, size: int, step: int = 1 << 20):
     """Arrays (at, byte) of a sparse bit map, a bounded part at a time."""
-    cells = stage(cells, "bitmap")
+    cells = stage(cells, "bitmap", tidy=True)
     for low in range(0, size, step):
         t = cells.filter((F.col("at") >= low) & (F.col("at") < low + step)).toArrow() if size > step else cells.toArrow()
         yield np.asarray(t.column("at").combine_chunks()), np.asarray(t.column("byte").combine_chunks()).astype(np.uint8)
 
 
-def _clean_task(by_words: bool = False):
+def _clean_task(reach: int | None = None):
+    """Texts without the pieces that their marks hold; with ``reach`` without the words (``_extended``)."""
     def run(batches):
         known = _Words()
         for batch in batches:
             out = {"text": [], "n_sentences": [], "n_removed": [], "removed": []}
             for text, marks in zip(batch.column("text"), batch.column("marks")):
-                marks = marks.as_py()
-                if not marks:
+                if not marks.is_valid or not len(marks):
                     for c, v in zip(out, (text.as_py(), 0, 0, [])):
                         out[c].append(v)
                     continue
-                text = text.as_py()
+                text, marks = text.as_py(), marks.values
                 pieces = Pieces(text, known)
-                ends = pieces.word_chars if by_words else pieces.chars
+                if reach is None:
+                    ends, start = pieces.chars, np.asarray(marks.field("pos")).astype(np.int64)
+                    end = start + np.asarray(marks.field("n"))
+                else:
+                    ends, (start, end) = pieces.word_chars, _extended(pieces, marks, reach)
                 drop = np.zeros(len(ends) + 1, dtype=np.int64)
-                for m in marks:
-                    drop[min(m["pos"], len(ends))] += 1
-                    drop[min(m["pos"] + m["n"], len(ends))] -= 1
+                np.add.at(drop, np.minimum(start, len(ends)), 1)
+                np.add.at(drop, np.minimum(end, len(ends)), -1)
                 gone = np.cumsum(drop)[:len(ends)] > 0
                 touched = gone
-                if by_words:
+                if reach is not None:
                     touched = np.add.reduceat(gone, np.concatenate([[0], pieces.words[:-1]])) > 0
+                # the text in stretches of words that stay and words that go
+                turns = np.append(np.flatnonzero(gone[1:] != gone[:-1]), len(ends) - 1)
                 kept, removed, at = [], [], 0
-                for end, dead in zip(ends.tolist(), gone.tolist()):
-                    if not dead:
-                        kept.append(text[at:end])
-                    elif removed and removed[-1]["end"] == at:
-                        removed[-1]["end"] = end
-                    else:
+                for end, dead in zip(ends[turns].tolist(), gone[turns].tolist()):
+                    if dead:
                         removed.append({"start": at, "end": end})
+                    else:
+                        kept.append(text[at:end])
                     at = end
                 for c, v in zip(out, ("".join(kept), len(touched), int(touched.sum()), removed)):
                     out[c].append(v)
@@ -423,12 +567,17 @@ def remove_passages(docs: DataFrame, sentences: int = SENTENCES, words: int = WO
     that an earlier document holds in other company, only what agrees with its first occurrence goes.
     """
     docs = settled(docs)
-    marks = (repeated_runs(docs, sentences, words, passage).groupBy("_rid")  # one document's runs
-             .agg(F.collect_list(F.struct(F.col("a").alias("pos"), (F.col("b") - F.col("a")).alias("n"))).alias("marks"),
-                  F.sort_array(F.collect_set("first_doc")).alias("first_docs")))
     rows = with_row_id(docs).select("_rid", column(docs, "doc_id", "long").alias("doc_id"),
                                     F.coalesce(column(docs, "text", "string"), F.lit("")).alias("text"))
-    joined = rows.join(marks.hint("shuffle_hash"), "_rid", "left")
-    return joined.mapInArrow(
-        _clean_task(by_words=True), "_rid long, doc_id long, text string, n_removed long, "
-        "removed array<struct<start:long,end:long>>, first_docs array<long>")
+    found = repeated_runs(rows, sentences, words, passage)
+    marks = (_with_near(found, rows, passage - words).groupBy("_rid")  # one document's matches
+             .agg(F.collect_list(F.struct("kind", "a", "b", "reach", "near")).alias("marks"),
+                  F.sort_array(F.collect_set("first_doc")).alias("first_docs")))
+    marked, rest = split_rows(rows, "_rid", found)
+    clean = "_rid long, doc_id long, text string, n_removed long, removed array<struct<start:long,end:long>>, first_docs array<long>"
+    joined = marked.join(marks.hint("shuffle_hash"), "_rid", "left").mapInArrow(_clean_task(passage - words), clean)
+    if rest is None:
+        return joined
+    none = {"n_removed": F.lit(0).cast("long"), "removed": F.array().cast("array<struct<start:long,end:long>>"),
+            "first_docs": F.lit(None).cast("array<long>")}
+    return joined.unionByName(rest.withColumns(none))
