@@ -35,6 +35,7 @@ are at hand when it is cleaned.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,24 +57,42 @@ _SPACES = re.compile(r"\s+")
 _BLOCK = 1 << 20
 _KNOWN = 500_000
 _ROWS = 20_000
+_FEW = 1 << 16
 _M1, _M2 = 0x5851F42D4C957F2D, 0xD1342543DE82EF95
 
 
+_CODE = np.dtype([("hash", "<u8"), ("size", "<i4")])
+
+
 class _Words(dict):
-    """Per token (a word and the space behind it): its hash, and in the lowest bit whether a piece ends here:
-    at the end of a sentence or line, or behind one word in sixteen by its hash."""
+    """Per token (a word and the space behind it), as the bytes of a ``_CODE``: its hash, and in the lowest bit whether
+    a piece ends here: at the end of a sentence or line, or behind one word in sixteen by its hash; and its length."""
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: str) -> bytes:
         if len(self) > _KNOWN:
             self.clear()
         word = token.rstrip()
         h = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "replace"))
         ends = word[-1:] in ".!?" or "\n" in token[len(word):] or h >> 60 == 0
-        self[token] = out = h & ~1 | ends
+        self[token] = out = (h & ~1 | ends).to_bytes(8, "little") + len(token).to_bytes(4, "little")
         return out
 
 
 def _powers(m: int, n: int) -> np.ndarray:
+    return _few_powers(m)[:n] if n <= _FEW else _all_powers(m, n)
+
+
+@lru_cache(8)
+def _few_powers(m: int) -> np.ndarray:
+    return _all_powers(m, _FEW)
+
+
+@lru_cache(8)
+def _inverse(m: int) -> int:
+    return pow(m, -1, 1 << 64)
+
+
+def _all_powers(m: int, n: int) -> np.ndarray:
     out = np.full(n, m, dtype=np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)  # modulo 2^64
@@ -101,8 +120,9 @@ class Pieces:
             hit = _SPACES.search(text, at + _BLOCK) if at + _BLOCK < len(text) else None
             end = hit.end() if hit else len(text)
             tokens = _TOKEN.findall(text, at, end)
-            coded.append(np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens)))
-            sizes.append(np.fromiter(map(len, tokens), dtype=np.int32, count=len(tokens)))
+            codes = np.frombuffer(b"".join(map(known.__getitem__, tokens)), dtype=_CODE)
+            coded.append(np.ascontiguousarray(codes["hash"]))
+            sizes.append(np.ascontiguousarray(codes["size"]))
             at = end
         self.hashes = np.concatenate(coded) if coded else np.zeros(0, np.uint64)
         n = len(self.hashes)
@@ -121,7 +141,7 @@ class Pieces:
     def _run_hashes(self, m: int):
         """Function from starts and ends (words) of runs to their hashes."""
         # prefix sums of h_i m^i; a run's share, shifted back to its start, depends on its words alone
-        back = _powers(pow(m, -1, 1 << 64), len(self.hashes) + 1)
+        back = _powers(_inverse(m), len(self.hashes) + 1)
         run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
             (self.hashes | np.uint64(1)) * _powers(m, len(self.hashes)), dtype=np.uint64)])
 
@@ -450,7 +470,7 @@ def repeated_runs(rows: DataFrame, sentences: int = SENTENCES, words: int = WORD
     first = stage(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first"))
                   .filter("rows > 1").select("h1", "h2", "first.doc_id", "first._rid", "first.a", "first.told")
                   .toDF("h1", "h2", "first_doc", "first_rid", "first_a", "first_told"), "first-runs", tidy=True)
-    matches = (found.drop("doc_id").join(first, ["h1", "h2"])
+    matches = (found.drop("doc_id").join(first.hint("shuffle_hash"), ["h1", "h2"])
                .filter((F.col("first_rid") != F.col("_rid")) | (F.col("first_a") != F.col("a")))
                .select("_rid", "a", "b", "first_rid", "first_a", "first_doc", (F.col("told") & F.col("first_told")).alias("told")))
     return stage(matches.repartition("_rid").sortWithinPartitions("_rid", "first_rid", F.col("a") - F.col("first_a"), "a")
@@ -466,7 +486,7 @@ def _with_near(marks: DataFrame, rows: DataFrame, reach: int) -> DataFrame:
     near = stage(only_rows(rows.select("_rid", "text"), "_rid", asked).join(asked, "_rid")
                  .mapInArrow(_near_task(reach), "first_rid long, kind byte, place int, near binary"), "near", tidy=True)
     told = ["_rid", "kind", "a", "b", "reach", "first_doc", "near"]
-    return (marks.filter(ends).join(near, ["first_rid", "kind", "place"]).select(*told)
+    return (marks.filter(ends).join(near.hint("shuffle_hash"), ["first_rid", "kind", "place"]).select(*told)
             .unionByName(marks.filter(~ends).withColumn("near", F.lit(None).cast("binary")).select(*told)))
 
 
